@@ -1,16 +1,25 @@
-"""Wide frames to long ones (P2, R1-R3) and columns to arrays and JSON (K5, K6)."""
+"""Wide frames to long ones (P2, R1-R3) and columns to arrays and JSON (K5, K6).
+
+Frames with one column per date have thousands of columns. Their expressions
+are handed over as one SQL text, since building a Column object per name takes
+milliseconds each.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import dateid, parse_header
 
 
+# columns up to which unpivoting by one projection per column is the faster plan
+FEW_COLUMNS = 64
+
+
 def date_columns(columns: Sequence[str]) -> dict[str, dt.date]:
     """Columns whose name is a date, with that date, in file order."""
     dated = ((name, parse_header(name)) for name in columns)
@@ -41,7 +50,7 @@ def slice_dates(
 ) -> DataFrame:
     """The id columns and only the date columns in ``(after, until]``."""
     wanted = dates_in_range(df.columns, after, until, skip_first)
-    return df.select(*ids, *(_quoted(name) for name in wanted))
+    return df.selectExpr(*map(quoted, ids), *map(quoted, wanted))
 
 
 def same_dtype(df: DataFrame, columns: Sequence[str]) -> str:
@@ -54,40 +63,46 @@ def same_dtype(df: DataFrame, columns: Sequence[str]) -> str:
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], key: str, value: str) -> DataFrame:
-    """Every column outside ``ids`` becomes a (key, value) row."""
+    """Every column outside ``ids`` becomes a (key, value) row.
+
+    Spark's unpivot plans one projection per column, which suits a handful of
+    columns; a frame with many is zipped from two arrays per row.
+    """
     values = [c for c in df.columns if c not in ids]
     same_dtype(df, values)
-    return df.unpivot([F.col(_name(c)) for c in ids], [F.col(_name(c)) for c in values], key, value)
+    if len(values) <= FEW_COLUMNS:
+        return df.unpivot(list(map(quoted, ids)), list(map(quoted, values)), key, value)
+    names = ", ".join(map(_text, values))
+    return df.selectExpr(*map(quoted, ids), f"inline(arrays_zip(array({names}), {_array(values)})) AS ({key}, {value})")
 
 
 def unpivot_structs(df: DataFrame, ids: Sequence[str], key: str, value: str) -> DataFrame:
     """The same rows from an exploded array of structs."""
     values = [c for c in df.columns if c not in ids]
     same_dtype(df, values)
-    pairs = F.array(*(F.struct(F.lit(c).alias(key), _quoted(c).alias(value)) for c in values))
-    return df.select(*ids, F.explode(pairs).alias("pair")).select(*ids, f"pair.{key}", f"pair.{value}")
+    pairs = ", ".join(f"named_struct('{key}', {_text(c)}, '{value}', {quoted(c)})" for c in values)
+    exploded = df.selectExpr(*map(quoted, ids), f"explode(array({pairs})) AS pair")
+    return exploded.select(*map(quoted, ids), f"pair.{key}", f"pair.{value}")
 
 
-def unpivot_dates(
-    df: DataFrame,
-    ids: Sequence[str],
-    dates: Sequence[dt.date],
-    measures: Mapping[str, Sequence[str]],
-    date: str = "date",
+def pack_columns(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
+    """Same-typed columns as one array column, so that a plan carries one column instead of thousands."""
+    same_dtype(df, columns)
+    return df.selectExpr(*map(quoted, ids), f"{_array(columns)} AS {quoted(name)}")
+
+
+def unpack_dates(
+    df: DataFrame, ids: Sequence[str], dates: Sequence[dt.date], measures: Sequence[str], date: str = "date"
 ) -> DataFrame:
-    """R1 for several measures at once: one row per (ids, date) holding every measure.
+    """R1 for several packed measures at once: one row per (ids, date) holding every measure.
 
-    ``measures`` names, per output column, its source columns in the order of
-    ``dates``. The arrays are built row by row, so nothing is shuffled, and the
-    header is parsed once instead of once per row.
+    ``dates`` are the dates of the array positions. Rows are built in place, so
+    nothing is shuffled, and the header is parsed once instead of once per row.
     """
-    for columns in measures.values():
-        same_dtype(df, columns)
-    zipped = F.arrays_zip(
-        F.lit(list(dates)).cast("array<date>").alias(date),
-        *(F.array(*map(_quoted, columns)).alias(name) for name, columns in measures.items()),
-    )
-    return df.select(*ids, F.inline(zipped).alias(date, *measures))
+    days = ", ".join(f"DATE'{d.isoformat()}'" for d in dates)
+    arrays = ", ".join([f"array({days})", *map(quoted, measures)])
+    names = ", ".join([date, *measures])
+    return df.selectExpr(*map(quoted, ids), f"inline(arrays_zip({arrays})) AS ({names})")
 
 
 def series_to_long(df: DataFrame, date: str = "date") -> DataFrame:
@@ -115,9 +130,14 @@ def as_json(df: DataFrame, alias: str = "json") -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias(alias))
 
 
-def _name(column: str) -> str:
+def quoted(column: str) -> str:
+    """A column name as SQL text."""
     return "`" + column.replace("`", "``") + "`"
 
 
-def _quoted(column: str) -> Column:
-    return F.col(_name(column))
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _array(columns: Sequence[str]) -> str:
+    return f"array({', '.join(map(quoted, columns))})"

@@ -13,7 +13,7 @@ from tidemark.functions.dates import dateid
 from tidemark.operators.aggregate import month_rollup, sum_by
 from tidemark.operators.incremental import diff_with_seed, is_resume
 from tidemark.operators.joins import join_totals
-from tidemark.operators.reshape import dates_in_range, unpivot_dates
+from tidemark.operators.reshape import dates_in_range, pack_columns, quoted, unpack_dates
 from tidemark.operators.select import having, without
 from tidemark.operators.windows import add_previous_diff
 from tidemark.plans.steps import bounds, pending, refresh_months, stored_until
@@ -55,14 +55,9 @@ def counts_by_day(
     pair the dates without a comparison per row.
     """
     names = list(dates)
-    other = confirmed.select(f"`{key}`", *(F.col(f"`{n}`").alias(f"confirmed {n}") for n in names))
-    wide = deaths.select(*(f"`{c}`" for c in (*ids, *names))).join(other, key)
-    return unpivot_dates(
-        wide,
-        [f"`{c}`" for c in ids],
-        list(dates.values()),
-        {"confirmed": [f"confirmed {n}" for n in names], "deaths": names},
-    )
+    left = pack_columns(deaths, ids, names, "deaths")
+    right = pack_columns(confirmed, [key], names, "confirmed")
+    return unpack_dates(left.join(right, key), ids, list(dates.values()), COUNTS)
 
 
 def country_rows(wide: DataFrame) -> DataFrame:
@@ -152,7 +147,7 @@ def _extract(
     dates = {n: d for n, d in shared.items() if todo.low is None or d > todo.low}
     rename = {"Country/Region": COUNTRY, "Long": "Long_"}
     rows = counts_by_day(deaths, confirmed, key, ids, dates).withColumnsRenamed(rename)
-    places = deaths.select(*(f"`{c}`" for c in ids)).withColumnsRenamed(rename)
+    places = deaths.selectExpr(*map(quoted, ids)).withColumnsRenamed(rename)
     wh.load(raw, having(rows, "Lat"), todo.low)
     if not is_resume(mark):
         wh.replace(dim, having(places, "Lat"))

@@ -30,7 +30,7 @@ END = dt.date(2000, 12, 31)
 SPLIT = dt.date(1998, 6, 15)
 BEYOND = dt.date(2030, 1, 1)
 SHIFT_MONTHS = 240
-HEADER_DAYS = (dt.date(2015, 1, 1), dt.date(2022, 1, 1))
+HEADER_YEARS = (2015, 2021)
 SLICE = (dt.date(2016, 2, 10), dt.date(2020, 10, 31))
 US = "AMERICA"
 
@@ -45,14 +45,14 @@ def all_queries() -> dict[str, Query]:
 
 
 def present(df: DataFrame, digits: int = 5) -> DataFrame:
-    """Dates as ISO text, doubles and decimals rounded."""
+    """Dates as ISO text, percentages with 5 and other inexact numbers with ``digits`` places."""
     shown = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
             c = dates.iso_text(c)
         elif isinstance(f.dataType, (T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+            c = F.round(c.cast("double"), 5 if f.name.endswith("_pct") else digits)
         shown.append(c.alias(f.name))
     return df.select(*shown)
 
@@ -114,15 +114,18 @@ def _nation_daily(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _header_labels() -> list[str]:
-    first, last = HEADER_DAYS
-    days = (first + dt.timedelta(days=i) for i in range((last - first).days))
-    return [f"{d.month}/{d.day}/{d:%y}" for d in days]
+    first, last = HEADER_YEARS
+    return [f"{month}/1/{year % 100:02d}" for year in range(first, last + 1) for month in range(1, 13)]
 
 
-def _wide(daily: DataFrame, place: str, measure: str) -> DataFrame:
-    """One column per day, named like the landed files (20 years later, as headers mean 20xx)."""
+def _wide(cumulated: DataFrame, place: str, measure: str) -> DataFrame:
+    """Month-end counts, one column per month, named like the columns of the landed files.
+
+    The names are those of 20 years later, as a header means the years 20xx.
+    """
+    monthly = aggregate.month_rollup(cumulated, {measure: "max"}, [place])
     label = F.date_format(F.add_months("date", SHIFT_MONTHS), dates.HEADER_PATTERN)
-    return daily.withColumn("_day", label).groupBy(place).pivot("_day", _header_labels()).agg(F.first(measure))
+    return monthly.withColumn("_label", label).groupBy(place).pivot("_label", _header_labels()).agg(F.first(measure))
 
 
 # -- facts of cases ---------------------------------------------------------
@@ -233,7 +236,7 @@ def index_daily_ffill0(spark, sf):
 @query
 def index_monthly_avg(spark, sf):
     """A5, D3-D5."""
-    return present(markets.index_monthly(views.index_daily(spark, sf)), 4)
+    return present(markets.index_monthly(views.index_daily(spark, sf)), 7)
 
 
 @query
@@ -245,7 +248,7 @@ def price_fact(spark, sf):
 @query
 def price_monthly(spark, sf):
     """A6, D3-D5."""
-    return present(markets.price_monthly(views.price_daily(spark, sf)), 4)
+    return present(markets.price_monthly(views.price_daily(spark, sf)), 7)
 
 
 # -- consolidated facts -----------------------------------------------------
@@ -261,13 +264,13 @@ def cases_index_daily(spark, sf):
 @query
 def cases_index_monthly(spark, sf):
     """A7, W2, W3."""
-    return present(_cases_index_monthly(spark, sf), 4)
+    return present(_cases_index_monthly(spark, sf), 7)
 
 
 @query
 def cases_index_series_monthly(spark, sf):
     """J5, N2, D5."""
-    return present(_cases_index_series(spark, sf), 4)
+    return present(_cases_index_series(spark, sf), 7)
 
 
 # -- reshaping --------------------------------------------------------------
@@ -382,7 +385,7 @@ def peak_month(spark, sf):
 def series_dim_rank(spark, sf):
     """Q8: J7, averages, both ends of the ranking."""
     dim = _series_dim(spark, sf)
-    return present(dashboard.extreme_groups(_series(spark, sf), dim, START, END, "returned"), 4)
+    return present(dashboard.extreme_groups(_series(spark, sf), dim, START, END, "returned"), 7)
 
 
 def _series_dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -399,7 +402,7 @@ def _series_dim(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def pct_vs_base(spark, sf):
     """Q9: mean of a period against the mean before it."""
-    return present(dashboard.change_from_base(_series(spark, sf), START, END, ["series_id"]), 4)
+    return present(dashboard.change_from_base(_series(spark, sf), START, END, ["series_id"]), 7)
 
 
 @query

@@ -109,7 +109,7 @@ TOTALS_DAILY = f"SELECT {dateid('date')}, {iso('date')}, {', '.join(TOTALS)}, {d
 CASES_INDEX = f""", joined AS (
     SELECT b.*, {', '.join(SCORES)} FROM (SELECT date, {', '.join(TOTALS)}, {diffs(TOTALS)} FROM both_day) b
     LEFT JOIN idx ON b.date = idx.date),
-daily AS (SELECT * REPLACE ({fills(SCORES).replace(' AS dowjones_score', ' AS dowjones_score')}) FROM joined)"""
+daily AS (SELECT * REPLACE ({fills(SCORES)}) FROM joined)"""
 
 MONTHLY = f""", month_end AS (
     SELECT CAST(date_trunc('month', date) AS DATE) AS date,
@@ -120,8 +120,8 @@ monthly AS (SELECT date, {', '.join(TOTALS)}, {diffs(TOTALS)}, {', '.join(SCORES
 MEASURES = [*TOTALS, *(f"{t}_{s}" for t in TOTALS for s in ("inc", "inc_pct")), *SCORES]
 
 
-def shown(column: str, digits: int = 4) -> str:
-    return f"ROUND({column}, {digits}) AS {column}" if column in SCORES or column.endswith("_pct") else column
+def shown(column: str, digits: int = 7) -> str:
+    return f"ROUND({column}, {digits}) AS {column}" if column in SCORES else column
 
 
 SERIES_CASES = f""", labour AS (
@@ -200,7 +200,7 @@ SQL: dict[str, str] = {
     "index_monthly_avg": with_views(
         "idx",
         f""", m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS date,
-                    {', '.join(f'ROUND(AVG({s}), 4) AS {s}' for s in SCORES)} FROM idx GROUP BY 1)
+                    {', '.join(f'ROUND(AVG({s}), 7) AS {s}' for s in SCORES)} FROM idx GROUP BY 1)
         SELECT {iso('date')}, {month_keys()}, {', '.join(SCORES)} FROM m""",
     ),
     "price_fact": with_views(
@@ -209,7 +209,7 @@ SQL: dict[str, str] = {
     "price_monthly": with_views(
         "price",
         f""", m AS (SELECT stock_ticker, CAST(date_trunc('month', date) AS DATE) AS date,
-                    {', '.join(f'ROUND(AVG({c}), 4) AS {c}' for c in ('High', 'Low', 'Open', 'Close', 'adj_close'))},
+                    {', '.join(f'ROUND(AVG({c}), 7) AS {c}' for c in ('High', 'Low', 'Open', 'Close', 'adj_close'))},
                     SUM(Volume) AS Volume FROM price GROUP BY 1, 2)
         SELECT stock_ticker, {iso('date')}, {month_keys()}, High, Low, Open, Close, Volume, adj_close FROM m""",
     ),
@@ -229,7 +229,7 @@ SQL: dict[str, str] = {
         + SERIES_CASES
         + f""" SELECT {iso('date')}, {month_keys()}, series_id AS bol_series_id,
               COALESCE(value, 0) AS bol_series_value, value AS bol_series_value_raw,
-              {', '.join(f'ROUND(COALESCE({c}, 0), 4) AS {c}' if shown(c) != c else f'COALESCE({c}, 0) AS {c}'
+              {', '.join(f'ROUND(COALESCE({c}, 0), 7) AS {c}' if shown(c) != c else f'COALESCE({c}, 0) AS {c}'
                          for c in MEASURES)} FROM labour""",
     ),
     "unpivot_index": _UNPIVOT,
@@ -242,12 +242,16 @@ SQL: dict[str, str] = {
     ),
     "wide_date_slice": with_views(
         "state_cum",
-        """SELECT state, strftime(date + INTERVAL 20 YEAR, '%Y-%m-%d') AS date, confirmed FROM state_cum
-        WHERE date + INTERVAL 20 YEAR > DATE '2016-02-10' AND date + INTERVAL 20 YEAR <= DATE '2020-10-31'""",
+        """, m AS (SELECT state, date_trunc('month', date) + INTERVAL 20 YEAR AS date, MAX(confirmed) AS confirmed
+                   FROM state_cum GROUP BY 1, 2)
+        SELECT state, strftime(m.date, '%Y-%m-%d') AS date, confirmed FROM m
+        WHERE m.date > DATE '2016-02-10' AND m.date <= DATE '2020-10-31'""",
     ),
     "wide_counts_join": with_views(
         "country_cum",
-        "SELECT country, strftime(date + INTERVAL 20 YEAR, '%Y-%m-%d') AS date, confirmed, deaths FROM country_cum",
+        """, m AS (SELECT country, date_trunc('month', date) + INTERVAL 20 YEAR AS date,
+                   MAX(confirmed) AS confirmed, MAX(deaths) AS deaths FROM country_cum GROUP BY 1, 2)
+        SELECT country, strftime(m.date, '%Y-%m-%d') AS date, confirmed, deaths FROM m""",
     ),
     "series_dedup": f"""
         SELECT {dateid('date')}, concat(l_returnflag, '-', l_linestatus) AS series_id, {iso('date')},
@@ -320,7 +324,7 @@ SQL: dict[str, str] = {
                    AVG(value) AS mean_value
             FROM series WHERE date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' AND series_id[1] <> 'N'
             GROUP BY series_id)
-        SELECT series_id, subcat2, ROUND(mean_value, 4) AS mean_value, side FROM (
+        SELECT series_id, subcat2, ROUND(mean_value, 7) AS mean_value, side FROM (
             (SELECT *, 'highest' AS side FROM means ORDER BY mean_value DESC, series_id LIMIT 1) UNION ALL
             (SELECT *, 'lowest' AS side FROM means ORDER BY mean_value, series_id LIMIT 1))""",
     ),
@@ -329,8 +333,8 @@ SQL: dict[str, str] = {
         """, means AS (SELECT series_id, AVG(CASE WHEN date < DATE '1996-01-01' THEN value END) AS b,
                    AVG(CASE WHEN date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' THEN value END) AS p
                    FROM series GROUP BY series_id)
-        SELECT series_id, ROUND(b, 4) AS base_mean, ROUND(p, 4) AS period_mean,
-               ROUND((p - b) * CAST(100 AS DOUBLE) / NULLIF(b, 0), 4) AS change_pct FROM means""",
+        SELECT series_id, ROUND(b, 7) AS base_mean, ROUND(p, 7) AS period_mean,
+               ROUND((p - b) * CAST(100 AS DOUBLE) / NULLIF(b, 0), 5) AS change_pct FROM means""",
     ),
     "corr_by_series": with_views(
         "both_day idx series",
