@@ -8,6 +8,7 @@ after the data is stored. A run that dies in between is simply run again.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -34,13 +35,15 @@ class Warehouse:
 
     # -- tables -----------------------------------------------------------
 
-    def reset(self) -> None:
-        """Every table empty, the series dimension and the marks seeded."""
-        for table in TABLES.values():
-            empty = self.spark.createDataFrame([], table.schema)
-            empty.write.mode("overwrite").parquet(self.path(table.name))
-        self.replace("bol_series_dim", labour_series(self.spark))
-        initial_marks(self.spark).write.mode("append").parquet(self.path(MARKS))
+    def reset(self, names: Iterable[str] = tuple(TABLES)) -> None:
+        """Tables empty again, the series dimension and the marks seeded."""
+        names = set(names)
+        for name in names:
+            empty = self.spark.createDataFrame([], TABLES[name].schema)
+            empty.write.mode("overwrite").parquet(self.path(name))
+        if "bol_series_dim" in names:
+            self.replace("bol_series_dim", labour_series(self.spark))
+        initial_marks(self.spark).coalesce(1).write.mode("overwrite").parquet(self.path(MARKS))
 
     def read(self, name: str, after: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
         """S3: a table, or its rows in ``(after, until]`` read from the directories that can hold them."""
@@ -95,13 +98,13 @@ class Warehouse:
     def _overwrite_directories(self, table: Table, rows: DataFrame) -> dict[str, object]:
         observed = Observation()
         counts = violation_counts(table.required, table.lengths)
-        rows = rows.observe(observed, *counts, F.max("date").alias("max_date"))
         if table.layout == BY_MONTH:
             day = F.col("date")
             rows = rows.withColumns({"year": F.year(day), "month": F.month(day)})
         # few files per directory, a large directory still written by many tasks
         spread = rows.hint("rebalance", *table.layout)
-        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        watched = spread.observe(observed, *counts, F.max("date").alias("max_date"))
+        writer = watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*table.layout).parquet(self.path(table.name))
         check_observed(table, observed.get)
         return observed.get
