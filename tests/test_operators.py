@@ -59,7 +59,12 @@ def test_ordered_arrays(spark):
 
 def test_first_per_key_is_deterministic(spark, rows):
     df = spark.createDataFrame([("s", 1, 2.0), ("s", 1, 1.0), ("s", 1, 1.0), ("t", 1, None), ("t", 1, 5.0)], "s string, k int, v double")
-    assert rows(aggregate.first_per_key(df, ["s", "k"])) == [("s", 1, 1.0), ("t", 1, None)]
+    assert rows(aggregate.first_per_key(df, ["s", "k"])) == [("s", 1, 1.0), ("t", 1, 5.0)]
+
+
+def test_first_per_key_keeps_rows_whole(spark, rows):
+    df = spark.createDataFrame([("s", 2.0, "a"), ("s", 1.0, "z"), ("s", 1.0, None), ("t", None, "n")], "s string, v double, n string")
+    assert rows(aggregate.first_per_key(df, ["s"])) == [("s", 1.0, "z"), ("t", None, "n")]
 
 
 def test_month_rollup(spark):

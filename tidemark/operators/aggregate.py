@@ -43,14 +43,17 @@ def month_rollup(
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, the smallest by its remaining columns.
+    """One row per key, the smallest by its remaining columns, nulls last.
 
-    Copies are removed first by a hash aggregate, so a key with very many rows
-    shrinks to its distinct values before it is shuffled. A null sorts before
-    any value.
+    Every task keeps one row per key before the shuffle, so a key with very
+    many rows is as cheap as any other.
     """
     rest = [c for c in df.columns if c not in keys]
-    chosen = df.distinct().groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    if len(rest) == 1:
+        chosen = df.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0]))
+        return chosen.select(*df.columns)
+    ranked = F.struct(*(c for name in rest for c in (F.col(name).isNull().alias(f"_no_{name}"), F.col(name))))
+    chosen = df.groupBy(*keys).agg(F.min(ranked).alias("_row"))
     return chosen.select(*(F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns))
 
 

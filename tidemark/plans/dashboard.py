@@ -1,4 +1,9 @@
-"""Questions asked of the facts (Q1-Q10). Each one is a single plan and a single action."""
+"""Questions asked of the facts (Q1-Q10). Each one is a single plan and a single action.
+
+A requested end date is cut to the last date of ``source``, by default the fact
+itself. Name the source when the fact is a costly view: its last date is then
+read without computing the fact twice.
+"""
 
 from __future__ import annotations
 
@@ -49,40 +54,44 @@ DASHBOARD_SERIES = (
 CASE_COLUMNS = ("date", "us_confirmed", "us_deaths", "us_confirmed_inc", "us_deaths_inc")
 
 
-def cases_and_indexes(fact: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def cases_and_indexes(fact: DataFrame, start: dt.date, end: dt.date, source: DataFrame | None = None) -> DataFrame:
     """Q1: the twelve daily columns of a date range, in date order."""
-    days = in_range(fact, start, clamp_end(end, fact))
+    days = in_range(fact, start, clamp_end(end, source or fact))
     return ordered(days.select(*DAILY_COLUMNS), "date")
 
 
-def cases_and_indexes_arrays(fact: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def cases_and_indexes_arrays(fact: DataFrame, start: dt.date, end: dt.date, source: DataFrame | None = None) -> DataFrame:
     """Q1 for charts: one row, one array per column; the date range bounds the arrays."""
-    days = in_range(fact, start, clamp_end(end, fact))
+    days = in_range(fact, start, clamp_end(end, source or fact))
     return ordered_arrays(days.select(*DAILY_COLUMNS), DAILY_COLUMNS)
 
 
-def top_places(fact: DataFrame, entity: str, end: dt.date, k: int) -> DataFrame:
+def top_places(fact: DataFrame, entity: str, end: dt.date, k: int, source: DataFrame | None = None) -> DataFrame:
     """Q2, Q3: the ``k`` places with most cases on the (clamped) end date."""
-    day = on_date(fact, clamp_end(end, fact))
+    day = on_date(fact, clamp_end(end, source or fact))
     return top_k(day, k, "confirmed", entity).select(entity, "confirmed", "deaths")
 
 
-def top_places_json(fact: DataFrame, entity: str, end: dt.date, k: int) -> DataFrame:
+def top_places_json(fact: DataFrame, entity: str, end: dt.date, k: int, source: DataFrame | None = None) -> DataFrame:
     """Q2, Q3 as JSON objects."""
-    return as_json(top_places(fact, entity, end, k))
+    return as_json(top_places(fact, entity, end, k, source))
 
 
-def monthly_cases(fact: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def monthly_cases(fact: DataFrame, start: dt.date, end: dt.date, source: DataFrame | None = None) -> DataFrame:
     """Q4: the case columns of every month in range, once each, in date order."""
-    months = in_range(fact, start, clamp_end(end, fact))
+    months = in_range(fact, start, clamp_end(end, source or fact))
     return ordered(months.select(*CASE_COLUMNS).distinct(), "date")
 
 
 def series_values(
-    fact: DataFrame, start: dt.date, end: dt.date, series: Sequence[str] = DASHBOARD_SERIES
+    fact: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    series: Sequence[str] = DASHBOARD_SERIES,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Q5: dates and values of every asked-for series, zeros left out, in one scan."""
-    rows = select_series(in_range(fact, start, clamp_end(end, fact)), series, "bol_series_id")
+    rows = select_series(in_range(fact, start, clamp_end(end, source or fact)), series, "bol_series_id")
     values = nonzero(rows, "bol_series_value").select("bol_series_id", "date", "bol_series_value")
     return ordered_arrays(values, ["date", "bol_series_value"], ["bol_series_id"])
 

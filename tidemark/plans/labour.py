@@ -25,9 +25,9 @@ def series_fact(raw: DataFrame) -> DataFrame:
 
     Annual rows (M13) have no month and drop out.
     """
-    dated = having(raw.withColumn("date", period_date(F.col("year"), F.col("period"))), "date")
-    keyed = dated.select("series_id", "date", "value")
-    return first_per_key(keyed, ["series_id", "date"]).select(
+    single = first_per_key(raw.select("series_id", "year", "period", "value"), ["series_id", "year", "period"])
+    dated = having(single.withColumn("date", period_date(F.col("year"), F.col("period"))), "date")
+    return first_per_key(dated.select("series_id", "date", "value"), ["series_id", "date"]).select(
         dateid(F.col("date")).alias("dateid"), "series_id", "date", "value"
     )
 

@@ -70,9 +70,8 @@ def _country_cumulative(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _totals(spark: SparkSession, sf: str, bucketed: bool = False) -> DataFrame:
-    per_country = aggregate.sum_by(views.county_daily(spark, sf), ["country", "date"], cases.COUNTS)
     bucket = dates.month_number(F.col("date")) if bucketed else None
-    return cases.totals_in_one_pass(per_country, F.col("country") == US, bucket)
+    return cases.totals_in_one_pass(views.county_daily(spark, sf), F.col("country") == US, bucket)
 
 
 def _cases_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,19 +95,15 @@ def _nation_daily(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Orders taken and parts shipped per nation and day: two sources with one key."""
     orders = (
         views.table(spark, sf, "orders")
-        .groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("date"))
-        .agg(F.count(F.lit(1)).alias("confirmed"))
         .join(views.table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(F.col("c_nationkey").alias("uid"), "date")
-        .agg(F.sum("confirmed").alias("confirmed"))
+        .groupBy(F.col("c_nationkey").alias("uid"), F.col("o_orderdate").cast("date").alias("date"))
+        .agg(F.count(F.lit(1)).alias("confirmed"))
     )
     shipped = (
         views.table(spark, sf, "lineitem")
-        .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date"))
-        .agg(F.sum("l_quantity").cast("long").alias("deaths"))
         .join(views.table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy(F.col("s_nationkey").alias("uid"), "date")
-        .agg(F.sum("deaths").alias("deaths"))
+        .groupBy(F.col("s_nationkey").alias("uid"), F.col("l_shipdate").cast("date").alias("date"))
+        .agg(F.sum("l_quantity").cast("long").alias("deaths"))
     )
     return orders, shipped
 
@@ -134,13 +129,13 @@ def _wide(cumulated: DataFrame, place: str, measure: str) -> DataFrame:
 @query
 def q2_topk_state(spark, sf):
     """Q2: F6, F9, O2 over A1."""
-    return dashboard.top_places(_state_cumulative(spark, sf), "state", dt.date(2000, 6, 30), 10)
+    return dashboard.top_places(_state_cumulative(spark, sf), "state", dt.date(2000, 6, 30), 10, views.order_days(spark, sf))
 
 
 @query
 def q3_topk_country(spark, sf):
     """Q3: the end date lies beyond the data and is clamped."""
-    return dashboard.top_places(_country_cumulative(spark, sf), "country", BEYOND, 3)
+    return dashboard.top_places(_country_cumulative(spark, sf), "country", BEYOND, 3, views.order_days(spark, sf))
 
 
 @query
@@ -327,7 +322,7 @@ def series_dedup(spark, sf):
 def series_arrays(spark, sf):
     """Q5: F3, F5, F7, K6; the arrays as JSON text (K5)."""
     named = _series(spark, sf).withColumnsRenamed({"series_id": "bol_series_id", "value": "bol_series_value"})
-    arrays = dashboard.series_values(named, START, END, ["A-F", "N-O", "R-F"])
+    arrays = dashboard.series_values(named, START, END, ["A-F", "N-O", "R-F"], views.order_days(spark, sf))
     texts = F.transform("date", lambda d: dates.iso_text(d))
     whole = F.transform("bol_series_value", lambda v: v.cast("long"))
     return arrays.select("bol_series_id", F.to_json(texts).alias("dates"), F.to_json(whole).alias("numbers"))
@@ -336,19 +331,19 @@ def series_arrays(spark, sf):
 @query
 def distinct_cases_range(spark, sf):
     """Q4: F5, A8, O1."""
-    return present(dashboard.monthly_cases(_cases_index_series(spark, sf), START, END))
+    return present(dashboard.monthly_cases(_cases_index_series(spark, sf), START, END, views.order_days(spark, sf)))
 
 
 @query
 def daily_range(spark, sf):
     """Q1: F9, F5, O1."""
-    return present(dashboard.cases_and_indexes(_cases_index(spark, sf), START, END))
+    return present(dashboard.cases_and_indexes(_cases_index(spark, sf), START, END, views.order_days(spark, sf)))
 
 
 @query
 def daily_range_arrays(spark, sf):
     """Q1 for charts: K6 in one pass."""
-    row = dashboard.cases_and_indexes_arrays(_cases_index(spark, sf), START, END)
+    row = dashboard.cases_and_indexes_arrays(_cases_index(spark, sf), START, END, views.order_days(spark, sf))
     numbers = ("us_confirmed", "us_deaths_inc", "global_confirmed_inc")
     texts = F.transform("date", lambda d: dates.iso_text(d))
     return row.select(F.to_json(texts).alias("dates"), *(F.to_json(c).alias(c) for c in numbers))
@@ -496,7 +491,7 @@ def date_keys(spark, sf):
         dates.first_of_month(year, month).alias("month_start"),
         dates.first_dateid(year, month).alias("month_dateid"),
         dates.month_name(F.col("date")).alias("month_name"),
-        dates.period_date(year, F.format_string("M%02d", month)).alias("from_period"),
+        dates.period_date(year, views.period(month)).alias("from_period"),
         dates.iso_date(dates.iso_text(F.col("date"))).alias("from_iso"),
         F.datediff("date", F.lit(dt.date(1995, 1, 1))).alias("day_no"),
         F.date_add("date", 30).alias("in_30_days"),
@@ -537,7 +532,7 @@ def json_nested_flatten(spark, sf):
         F.split("text", "\n"),
         lambda line, i: F.struct(
             (2000 + i % 20).cast("string").alias("year"),
-            F.format_string("M%02d", i % 13 + 1).alias("period"),
+            views.period(i % 13 + 1).alias("period"),
             F.length(line).cast("string").alias("value"),
             F.array(
                 F.struct(F.col("source").alias("text")),

@@ -157,13 +157,13 @@ SQL: dict[str, str] = {
     "q2_topk_state": with_views(
         "state_cum",
         """SELECT state, confirmed, deaths FROM state_cum
-        WHERE date = LEAST(DATE '2000-06-30', (SELECT MAX(date) FROM state_cum))
+        WHERE date = LEAST(DATE '2000-06-30', (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders))
         ORDER BY confirmed DESC, state LIMIT 10""",
     ),
     "q3_topk_country": with_views(
         "country_cum",
         """SELECT country, confirmed, deaths FROM country_cum
-        WHERE date = LEAST(DATE '2030-01-01', (SELECT MAX(date) FROM country_cum))
+        WHERE date = LEAST(DATE '2030-01-01', (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders))
         ORDER BY confirmed DESC, country LIMIT 3""",
     ),
     "state_daily_fact": _FULL_STATE_DAILY,

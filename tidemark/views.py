@@ -6,7 +6,7 @@ order priorities for indexes, lineitems for prices and labour series.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -23,18 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def county_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1: counts per customer and day with state and country.
+    """V1: counts per customer and day with state and country, one row per order.
 
-    Orders shrink to one row per customer and day before they meet the
-    customers, so one very busy customer is no larger than the calendar.
+    Only sums are taken of it, so orders are not grouped per customer first:
+    that would shuffle them once more without making them fewer. Customers are
+    broadcast when they are small enough; otherwise both sides are sorted, and
+    AQE splits the partition of a customer with very many orders.
     """
-    daily = (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("date"))
-        .agg(
-            F.sum(F.floor("o_totalprice")).alias("confirmed"),
-            F.count_if(F.col("o_orderstatus") == "F").alias("deaths"),
-        )
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey",
+        F.col("o_orderdate").cast("date").alias("date"),
+        F.floor("o_totalprice").alias("confirmed"),
+        (F.col("o_orderstatus") == "F").cast("long").alias("deaths"),
     )
     places = (
         table(spark, sf_dir, "customer")
@@ -42,11 +42,16 @@ def county_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", F.col("n_name").alias("state"), F.col("r_name").alias("country"))
     )
-    return daily.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
+    return orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("c_custkey").alias("uid"), "state", "country", "date", "confirmed", "deaths"
     )
 
 
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of the source, to bound a requested range by."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+
+
 def state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 per state and day."""
     counts = county_daily(spark, sf_dir).groupBy("state", "country", "date")
@@ -76,10 +81,12 @@ def index_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3: prices per brand and day; parts shrink to days before they meet their brand."""
-    per_part = (
+    """V3: prices per brand and day; the aggregate is built before its shuffle."""
+    brands = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("stock_ticker"))
+    return (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("date"))
+        .join(brands, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("stock_ticker", F.col("l_shipdate").cast("date").alias("date"))
         .agg(
             F.max("l_extendedprice").alias("High"),
             F.min("l_extendedprice").alias("Low"),
@@ -89,22 +96,14 @@ def price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_tax").alias("adj_close"),
         )
     )
-    brands = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("stock_ticker"))
-    return (
-        per_part.join(brands, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("stock_ticker", "date")
-        .agg(
-            F.max("High").alias("High"),
-            F.min("Low").alias("Low"),
-            F.max("Open").alias("Open"),
-            F.min("Close").alias("Close"),
-            F.sum("Volume").alias("Volume"),
-            F.max("adj_close").alias("adj_close"),
-        )
-    )
 
 
-def _series_id():
+def period(month: Column) -> Column:
+    """Month number to ``M01`` - ``M12`` text."""
+    return F.concat(F.lit("M"), F.lpad(month.cast("string"), 2, "0"))
+
+
+def _series_id() -> Column:
     return F.concat("l_returnflag", F.lit("-"), "l_linestatus")
 
 
@@ -123,7 +122,7 @@ def series_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         _series_id().alias("series_id"),
         F.year("l_shipdate").alias("year"),
-        F.format_string("M%02d", F.month("l_shipdate")).alias("period"),
+        period(F.month("l_shipdate")).alias("period"),
         F.col("l_quantity").alias("value"),
     )
 
