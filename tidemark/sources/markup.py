@@ -34,8 +34,9 @@ def table_rows(df: DataFrame, markup: str, css_class: str, keep: list[str]) -> D
     Header rows have no ``<td>`` cells and drop out.
     """
     rows = element_rows(df.withColumn("_table", first_table(F.col(markup), css_class)), "_table", "tr", keep)
+    data = rows.filter(F.col("inner").contains("<td"))
     cells = F.transform(elements(F.col("inner"), "td"), lambda c: strip_newline(plain_text(c)))
-    return rows.select(*keep, "pos", cells.alias("cells")).filter(F.size("cells") > 0)
+    return data.select(*keep, "pos", cells.alias("cells"))
 
 
 def ticker_rows(df: DataFrame, markup: str = "html") -> DataFrame:
