@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from tidemark.operators import aggregate, incremental, joins, quality, reshape, select
 from tidemark.schemas import TABLES, conform
@@ -120,6 +121,13 @@ def test_clamp(spark):
     assert select.clamp(D(2019, 1, 1), D(2021, 1, 1), None, None) == (D(2019, 1, 1), D(2021, 1, 1))
 
 
+def test_filter_with_counts_in_one_pass(spark):
+    counts = Observation()
+    kept = select.having_counted(spark.createDataFrame([(1,), (None,), (3,)], "k int"), "k", counts)
+    assert kept.count() == 2
+    assert counts.get == {"n_rows": 3, "n_without": 1}
+
+
 def test_market_join_keeps_case_days_only(spark):
     cases = spark.createDataFrame([(20200101, 1), (20200102, 2)], "dateid long, n int")
     market = spark.createDataFrame([(20200102, 7.0), (20200102, 7.0), (20200103, 8.0)], "dateid long, s double")

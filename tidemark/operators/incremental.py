@@ -24,7 +24,7 @@ def is_resume(mark: dt.date | None) -> bool:
 
 def set_mark(marks: DataFrame, table: str, latest: dt.date) -> DataFrame:
     """The mark of one table replaced, or added when the table has none."""
-    moment = F.lit(dt.datetime.combine(latest, dt.time())).cast("timestamp")
+    moment = F.lit(latest).cast("timestamp")
     changed = replace_where(marks, "latest_date", F.col("table_name") == table, moment)
     own = marks.sparkSession.createDataFrame([(table,)], "table_name string")
     missing = own.join(marks, "table_name", "left_anti").withColumn("latest_date", moment)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,13 @@ def having(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
+def having_counted(df: DataFrame, column: str, counts: Observation) -> DataFrame:
+    """F2, A10: as ``having``; ``counts`` tells after the action how many rows came and how many lacked a value."""
+    came = F.count(F.lit(1)).alias("n_rows")
+    lacking = F.count_if(F.col(column).isNull()).alias("n_without")
+    return having(df.observe(counts, came, lacking), column)
+
+
 def in_range(df: DataFrame, start: dt.date | Column, end: dt.date | Column, date: str = "date") -> DataFrame:
     """closed date range."""
     return df.filter(F.col(date).between(start, end))

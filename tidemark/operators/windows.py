@@ -10,13 +10,11 @@ each task sorts one (entity, bucket) and only one row per bucket travels on.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import Window, WindowSpec
 
-_CARRY = "_carry_"
 _PREV = "_prev_"
 
 
@@ -82,41 +80,44 @@ def previous_values(
     ``order_by`` must be unique within an entity and ``bucket`` must not fall
     when it grows.
     """
-    df = df.withColumn("_bucket", bucket)
-    keys = [*partition_by, "_bucket"]
-    tails = df.groupBy(*keys).agg(*(F.max_by(c, order_by).alias(_CARRY + c) for c in targets))
+    rows = df.withColumn("_bucket", bucket)
+    tails = _tails(rows, {c: F.max_by(c, order_by) for c in targets}, partition_by)
     across = Window.partitionBy(*partition_by).orderBy("_bucket")
-    carry = tails.select(*keys, *(F.lag(_CARRY + c).over(across).alias(_CARRY + c) for c in targets))
-    inside = Window.partitionBy(*keys).orderBy(order_by)
-    joined = _join_on(df, carry, keys)
-    is_first = F.row_number().over(inside) == 1
-    return joined.withColumns(
-        {name: F.when(is_first, F.col(_CARRY + c)).otherwise(F.lag(c).over(inside)) for c, name in targets.items()}
-    ).drop("_bucket", *(_CARRY + c for c in targets))
+    carry = tails.withColumns({c: F.lag(c).over(across) for c in targets})
+    inside, both = _with_carry(rows, carry, order_by, partition_by)
+    found = both.withColumns({name: F.lag(c).over(inside) for c, name in targets.items()})
+    return found.filter("NOT _carried").select(*df.columns, *targets.values())
 
 
 def _fill_bucketed(
     df: DataFrame, columns: Sequence[str], order_by: str, bucket: Column, partition_by: Sequence[str]
 ) -> DataFrame:
-    order = df.columns
-    df = df.withColumn("_bucket", bucket)
-    keys = [*partition_by, "_bucket"]
-    tails = df.groupBy(*keys).agg(
-        *(F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))).alias(_CARRY + c) for c in columns)
-    )
+    rows = df.withColumn("_bucket", bucket)
+    known = {c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))) for c in columns}
+    tails = _tails(rows, known, partition_by)
     before = Window.partitionBy(*partition_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(
-        *keys, *(F.last(_CARRY + c, ignorenulls=True).over(before).alias(_CARRY + c) for c in columns)
-    )
-    inside = Window.partitionBy(*keys).orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
-    filled = _join_on(df, carry, keys).withColumns(
-        {c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(_CARRY + c)) for c in columns}
-    )
-    return filled.select(*order)
+    carry = tails.withColumns({c: F.last(c, ignorenulls=True).over(before) for c in columns})
+    inside, both = _with_carry(rows, carry, order_by, partition_by)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    filled = both.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
+    return filled.filter("NOT _carried").select(*df.columns)
+
 
+def _tails(rows: DataFrame, last: Mapping[str, Column], partition_by: Sequence[str]) -> DataFrame:
+    """One row per bucket with its closing values, built before the shuffle."""
+    return rows.groupBy(*partition_by, "_bucket").agg(*(value.alias(c) for c, value in last.items()))
 
-def _join_on(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join on keys that may be null, as a window groups null keys together."""
-    renamed = carry.withColumnsRenamed({k: _CARRY + "key_" + k for k in keys})
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(_CARRY + "key_" + k)) for k in keys))
-    return df.join(renamed, same).drop(*(_CARRY + "key_" + k for k in keys))
+
+def _with_carry(
+    rows: DataFrame, carry: DataFrame, order_by: str, partition_by: Sequence[str]
+) -> tuple[WindowSpec, DataFrame]:
+    """The rows and, ahead of them in every bucket, one row with the values carried in.
+
+    The carried row takes the place of a join: the rows are shuffled once, by
+    bucket, and a null entity needs no care.
+    """
+    both = rows.withColumn("_carried", F.lit(False)).unionByName(
+        carry.withColumn("_carried", F.lit(True)), allowMissingColumns=True
+    )
+    inside = Window.partitionBy(*partition_by, "_bucket").orderBy(F.col("_carried").desc(), order_by)
+    return inside, both

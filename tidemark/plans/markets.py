@@ -102,10 +102,11 @@ def extract_batch_stock(
     start = FIRST_PRICE_DAY if todo.low is None else todo.low + dt.timedelta(days=1)
     lines = read_price_files(wh.spark, price_dir)
     prices = in_range(good_prices(lines), start, todo.end)
+    observed = wh.load(name, prices, todo.low)
     _set_aside(lines, error_dir)
+    stored = wh.read(name, after=start - dt.timedelta(days=1), until=todo.end)
     tickers = wh.read("stock_ticker_raw").select(F.col("ticker").alias("stock_ticker"))
-    write_text_list(missing_entities(tickers, prices, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
-    observed = wh.load(name, prices, todo.low)
+    write_text_list(missing_entities(tickers, stored, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
     if observed["max_date"] is None:
         return False
     wh.set_mark(name, max(observed["max_date"], todo.low or observed["max_date"]))
@@ -125,9 +126,10 @@ def extract_single_date_stock(
     else:
         tickers = read_text_list(wh.spark, ticker_list, "stock_ticker")
     prices = in_range(good_prices(lines), date, date).join(tickers.distinct(), "stock_ticker", "left_semi")
-    _set_aside(lines, error_dir)
-    write_text_list(missing_entities(tickers, prices, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
     wh.load("stock_price_raw", prices, None)
+    _set_aside(lines, error_dir)
+    stored = wh.read("stock_price_raw", after=date - dt.timedelta(days=1), until=date)
+    write_text_list(missing_entities(tickers, stored, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
 
 
 def _set_aside(lines: DataFrame, error_dir: str) -> None:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tidemark.functions import dates, values
 from tidemark.operators import aggregate, incremental, joins, quality, reshape, select, windows
 from tidemark.plans import cases, consolidate, dashboard, labour, markets
-from tidemark.scratch import scratch_folder
+from tidemark.scratch import scratch_folder, use_checkpoints
 from tidemark.sources import markup, nested
 from tidemark.streaming import daily
 from tidemark import views
@@ -144,6 +144,17 @@ def state_daily_fact(spark, sf):
     return present(cases.state_fact(views.county_daily(spark, sf), entity="state"))
 
 
+@query
+def state_totals_sql(spark, sf):
+    """SQL text over a named frame."""
+    counties = views.county_daily(spark, sf)
+    text = """
+        SELECT state, year(date) AS year, sum(confirmed) AS confirmed, sum(deaths) AS deaths
+        FROM {counties} GROUP BY state, year(date) ORDER BY state, year(date)
+    """
+    return spark.sql(text, counties=counties)
+
+
 @query
 def country_daily_fact(spark, sf):
     """A8, D2, W1, W3."""
@@ -580,7 +591,8 @@ def html_tickers(spark, sf):
 def incremental_equals_full(spark, sf):
     """I4: a first load, then an increment with seeded differences, equals one full load."""
     raw = views.county_daily(spark, sf)
-    first = cases.state_fact(incremental.increment(raw, None, SPLIT), entity="state")
+    use_checkpoints(spark)
+    first = cases.state_fact(incremental.increment(raw, None, SPLIT), entity="state").checkpoint()
     later = cases.state_fact(incremental.increment(raw, SPLIT, BEYOND), stored=first, entity="state")
     return present(first.unionByName(later))
 
@@ -590,7 +602,9 @@ def month_upsert(spark, sf):
     """Touched months recomputed beside stored ones equal a full recompute."""
     days = _state_cumulative(spark, sf)
     how = dict.fromkeys(cases.COUNTS, "max")
-    stored = incremental.upsert_months(incremental.increment(days, None, SPLIT), None, None, how, cases.COUNTS, ["state"])
+    before = incremental.increment(days, None, SPLIT)
+    use_checkpoints(spark)
+    stored = incremental.upsert_months(before, None, None, how, cases.COUNTS, ["state"]).checkpoint()
     touched = incremental.upsert_months(days, stored, SPLIT, how, cases.COUNTS, ["state"])
     kept = stored.filter(F.col("date") < F.trunc(F.date_add(F.lit(SPLIT), 1), "MM"))
     return present(kept.unionByName(touched))
@@ -633,7 +647,7 @@ def user_event_diff(spark, sf):
     Event ids grow with time, so a bucket of 100,000 ids holds no more rows
     than that, however many events one user has.
     """
-    bucket = F.floor(F.col("event_id") / 100000)
+    bucket = F.expr("event_id DIV 100000")
     errors = F.when(F.col("event_type") == "error", F.col("value"))
     events = views.table(spark, sf, "events").select("event_id", "user_id", "value", errors.alias("last_error"))
     diffs = windows.add_previous_diff(events, ["value"], "event_id", ["user_id"], bucket)

@@ -167,6 +167,11 @@ SQL: dict[str, str] = {
         ORDER BY confirmed DESC, country LIMIT 3""",
     ),
     "state_daily_fact": _FULL_STATE_DAILY,
+    "state_totals_sql": with_views(
+        "v1",
+        """SELECT state, CAST(year(date) AS INTEGER) AS year, CAST(SUM(confirmed) AS BIGINT) AS confirmed,
+        CAST(SUM(deaths) AS BIGINT) AS deaths FROM v1 GROUP BY ALL""",
+    ),
     "country_daily_fact": _entity_daily("country_cum", "country"),
     "state_monthly_fact": _STATE_MONTHLY,
     "country_monthly_fact": _entity_monthly("country_cum", "country"),

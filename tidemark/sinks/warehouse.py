@@ -61,6 +61,11 @@ class Warehouse:
                 df = df.filter(month <= until.year * 100 + until.month)
         return df.select(*table.schema.names)
 
+    def register_views(self, names: Iterable[str] = tuple(TABLES)) -> None:
+        """The tables as temporary views of their own names, for SQL."""
+        for name in names:
+            self.read(name).createOrReplaceTempView(name)
+
     def load(self, name: str, new: DataFrame, mark: dt.date | None) -> dict[str, object]:
         """K1: store the rows after ``mark`` so that a repeated load changes nothing.
 
@@ -127,6 +132,7 @@ class Warehouse:
 
     def set_mark(self, name: str, latest: dt.date) -> None:
         """Call after the data is stored."""
-        moment = dt.datetime.combine(latest, dt.time())
-        row = self.spark.createDataFrame([(name, moment)], TABLES[MARKS].schema)
+        row = self.spark.range(1).select(
+            F.lit(name).alias("table_name"), F.lit(latest).cast("timestamp").alias("latest_date")
+        )
         row.coalesce(1).write.mode("append").parquet(self.path(MARKS))

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import SEED_MARK
 from tidemark.schemas import TABLES
@@ -49,6 +48,6 @@ def labour_series(spark: SparkSession) -> DataFrame:
 
 def initial_marks(spark: SparkSession) -> DataFrame:
     """One mark per table, before any load."""
-    start = dt.datetime.combine(SEED_MARK, dt.time())
-    rows = [(name, start) for name in TABLES if name != "latest_data"]
-    return spark.createDataFrame(rows, TABLES["latest_data"].schema)
+    names = [(name,) for name in TABLES if name != "latest_data"]
+    tables = spark.createDataFrame(names, "table_name string")
+    return tables.withColumn("latest_date", F.lit(SEED_MARK).cast("timestamp"))
