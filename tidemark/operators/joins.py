@@ -1,8 +1,9 @@
 """Equi joins between facts, dimensions and series.
 
-No join carries a broadcast hint: Catalyst and AQE broadcast a side after
-checking its size against ``spark.sql.autoBroadcastJoinThreshold`` and sort or
-hash both sides beyond it.
+Only frames that hold one row per month by their key are broadcast by hint
+(J5): the calendar bounds them, whatever the data. Elsewhere Catalyst and AQE
+broadcast a side after checking its size against
+``spark.sql.autoBroadcastJoinThreshold`` and sort or hash both sides beyond it.
 """
 
 from __future__ import annotations
@@ -33,8 +34,13 @@ def cases_with_market(cases: DataFrame, market: DataFrame, scores: Sequence[str]
 
 
 def series_with_facts(series: DataFrame, monthly: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Every series value, with the month's facts if there are any."""
-    return series.distinct().join(monthly.select("dateid", *measures), "dateid", "left")
+    """Every series value, with the month's facts if there are any.
+
+    ``dateid`` is the key of ``monthly``, so it has twelve rows a year. There
+    are far fewer months than tasks; a shuffle by month would pile the series
+    up in a few of them.
+    """
+    return series.distinct().join(F.broadcast(monthly.select("dateid", *measures)), "dateid", "left")
 
 
 def enrich_countries(facts: DataFrame, countries: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:

@@ -141,8 +141,12 @@ def change_from_base(
 
 
 def correlations(series: DataFrame, monthly: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Q10: correlation of every series with each measure over the months both have."""
-    joined = series.select("dateid", "series_id", "value").join(monthly.select("dateid", *measures), "dateid")
+    """Q10: correlation of every series with each measure over the months both have.
+
+    ``monthly`` has one row per month and is broadcast for it, as in J5.
+    """
+    months = F.broadcast(monthly.select("dateid", *measures))
+    joined = series.select("dateid", "series_id", "value").join(months, "dateid")
     return joined.groupBy("series_id").agg(
         F.count("value").alias("n_months"), *(F.corr("value", F.col(m).cast("double")).alias(f"corr_{m}") for m in measures)
     )

@@ -631,11 +631,11 @@ def stream_equals_batch(spark, sf):
     target, state = scratch_folder(spark, "stream"), scratch_folder(spark, "stream-state")
     daily.process_new_files(
         spark,
-        sf,
+        # the table may be one file or a folder of files
+        f"{sf}/events.parquet*",
         events.schema,
         lambda batch: daily.store_days(daily.daily_counts(batch), target),
         state,
-        options={"pathGlobFilter": "events.parquet"},
     )
     return present(spark.read.schema("event_type string, n long, cents long, date date").parquet(target))
 
