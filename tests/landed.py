@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from pathlib import Path
 
 FIRST = dt.date(2020, 1, 22)
@@ -119,6 +120,18 @@ def price_files(folder: Path) -> str:
     return str(target)
 
 
+def series_json(folder: Path, year: int) -> str:
+    def point(period, value, *notes):
+        return {"year": str(year), "period": period, "value": value, "footnotes": [{"text": n} for n in notes] or [{}]}
+
+    data = [point("M01", "3.5"), point("M02", "3.6", "preliminary", "revised"), point("M13", "3.55")]
+    series = [{"seriesID": "unrate", "data": data}, {"seriesID": "payems", "data": [point("M02", "-")]}]
+    target = folder / "answers"
+    target.mkdir(exist_ok=True)
+    (target / f"{year}.json").write_text(json.dumps({"status": "ok", "Results": {"series": series}}, indent=1))
+    return str(target)
+
+
 def ticker_page() -> str:
     def line(*cells):
         return "<tr>" + "".join(f"<td>{c}\n</td>" for c in cells) + "</tr>"

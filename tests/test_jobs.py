@@ -8,7 +8,7 @@ import landed
 import pytest
 from pyspark.sql import functions as F
 from tidemark.operators.quality import duplicate_keys, orphans
-from tidemark.plans import cases, dashboard, markets
+from tidemark.plans import cases, dashboard, labour, markets
 from tidemark.plans.run import Landed, load_all
 from tidemark.schemas import TABLES
 from tidemark.sinks.warehouse import Warehouse
@@ -301,3 +301,36 @@ def test_dashboard_questions_on_the_loaded_tables(loads):
         once.read("bol_series_fact"), once.read("bol_series_dim"), dt.date(2020, 1, 1), LAST, "Unemployment Rate"
     ).collect()
     assert {r.side: r.subcat2 for r in extremes} == {"highest": "Service", "lowest": "Overall"}
+
+
+def test_series_answers_to_facts(spark, tmp_path):
+    wh = warehouse(spark, tmp_path / "wh", ("latest_data", "bol_series_raw", "bol_series_fact"))
+    labour.extract_series_json(wh, landed.series_json(tmp_path, 2019))
+    assert labour.transform_raw_to_fact_bol(wh, LAST)
+    labour.extract_series_json(wh, landed.series_json(tmp_path, 2020))
+    labour.extract_series_json(wh, landed.series_json(tmp_path, 2020))
+    assert labour.transform_raw_to_fact_bol(wh, LAST)
+    raw = wh.read("bol_series_raw")
+    assert raw.count() == 6
+    assert raw.filter("year = 2020 AND period = 'M02' AND series_id = 'unrate'").collect()[0].footnotes == "preliminary,revised"
+    facts = sorted((r.dateid, r.series_id, r.value) for r in wh.read("bol_series_fact").collect())
+    assert facts == [
+        (20190101, "unrate", 3.5), (20190201, "payems", None), (20190201, "unrate", 3.6),
+        (20200101, "unrate", 3.5), (20200201, "payems", None), (20200201, "unrate", 3.6),
+    ]
+
+
+def test_totals_wait_for_the_slower_source(spark, tmp_path):
+    us_c, us_d = landed.us_files(tmp_path, 8)
+    gl_c, gl_d = landed.global_files(tmp_path, 8)
+    names = (*US_TABLES, "covid19_global_raw", "covid19_global_dim", "covid19_global_fact", "covid19_sum_fact")
+    wh = warehouse(spark, tmp_path / "wh", names)
+    cases.extract_us(wh, us_c, us_d)
+    cases.transform_raw_to_fact_us(wh)
+    assert not cases.aggregate_fact_to_sum_fact(wh)
+    for end in (landed.days()[4], landed.days()[7]):
+        cases.extract_global(wh, gl_c, gl_d, end)
+        cases.transform_raw_to_fact_global(wh)
+        assert cases.aggregate_fact_to_sum_fact(wh)
+        assert wh.mark("covid19_sum_fact") == end
+    assert wh.read("covid19_sum_fact").count() == 8

@@ -258,13 +258,19 @@ def transform_raw_to_dim_country(wh: Warehouse, country_csv: str) -> bool:
 
 
 def aggregate_fact_to_sum_fact(wh: Warehouse, lookback_days: int = 0) -> bool:
-    """New days of both facts to totals."""
-    target, source = "covid19_sum_fact", "covid19_us_fact"
-    todo = pending(wh, target, source, lookback_days)
+    """New days that both facts have reached to totals.
+
+    A day waits until the slower of the two has it; it would be lost if the
+    mark passed it before.
+    """
+    target, source, other = "covid19_sum_fact", "covid19_us_fact", "covid19_global_fact"
+    marks = wh.marks()
+    end = min(marks[source], marks[other])
+    todo = bounds(marks[target], end, lookback_days) if is_resume(end) else None
     if todo is None:
         return False
     us = wh.read(source, after=todo.low, until=todo.end)
-    world = wh.read("covid19_global_fact", after=todo.low, until=todo.end)
+    world = wh.read(other, after=todo.low, until=todo.end)
     wh.load(target, totals_fact(us, world, stored_until(wh, target, todo.low)), todo.low)
     wh.set_mark(target, todo.end)
     return True

@@ -18,6 +18,7 @@ PCT = T.DecimalType(18, 5)
 
 BY_DATE = ("date",)
 BY_MONTH = ("year", "month")
+BY_YEAR = ("year",)
 
 
 @dataclass(frozen=True)
@@ -269,6 +270,7 @@ _ALL = [
         "bol_series_raw",
         _fields("series_id string!", "year int!", "period string", "value double", "footnotes string"),
         lengths={"series_id": 64, "period": 8, "footnotes": 128},
+        layout=BY_YEAR,
     ),
     _table(
         "bol_series_dim",

@@ -85,6 +85,12 @@ class Warehouse:
         table = TABLES[name]
         return self._overwrite_directories(table, conform(months, table))
 
+    def add_years(self, name: str, new: DataFrame) -> dict[str, object]:
+        """U1, K1 for a table laid out by year: the stored rows of the touched years and the new ones, once each."""
+        rows = conform(new, TABLES[name])
+        touched = self.read(name).join(rows.select("year").distinct(), "year", "left_semi")
+        return self._overwrite_directories(TABLES[name], conform(touched, name).unionByName(rows).distinct())
+
     def replace(self, name: str, df: DataFrame) -> dict[str, object]:
         """K2, K3: new content under the declared schema.
 
@@ -103,12 +109,14 @@ class Warehouse:
     def _overwrite_directories(self, table: Table, rows: DataFrame) -> dict[str, object]:
         observed = Observation()
         counts = violation_counts(table.required, table.lengths)
+        if "date" in table.schema.names:
+            counts.append(F.max("date").alias("max_date"))
         if table.layout == BY_MONTH:
             day = F.col("date")
             rows = rows.withColumns({"year": F.year(day), "month": F.month(day)})
         # few files per directory, a large directory still written by many tasks
         spread = rows.hint("rebalance", *table.layout)
-        watched = spread.observe(observed, *counts, F.max("date").alias("max_date"))
+        watched = spread.observe(observed, *counts)
         writer = watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*table.layout).parquet(self.path(table.name))
         check_observed(table, observed.get)

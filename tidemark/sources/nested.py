@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import is_month_period
@@ -14,6 +14,11 @@ SERIES_JSON = (
 )
 
 
+def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Landed answers, one JSON document per file."""
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("json"))
+
+
 def flatten_series(df: DataFrame, json: str = "json") -> DataFrame:
     """One row per monthly observation, footnote texts joined by commas."""
     parsed = df.select(F.from_json(json, SERIES_JSON).alias("doc"))
