@@ -7,6 +7,7 @@ import datetime as dt
 import landed
 import pytest
 from pyspark.sql import functions as F
+from tidemark import __main__ as command
 from tidemark.operators.quality import duplicate_keys, orphans
 from tidemark.plans import cases, dashboard, labour, markets
 from tidemark.plans.run import Landed, load_all
@@ -334,3 +335,26 @@ def test_totals_wait_for_the_slower_source(spark, tmp_path):
         assert cases.aggregate_fact_to_sum_fact(wh)
         assert wh.mark("covid19_sum_fact") == end
     assert wh.read("covid19_sum_fact").count() == 8
+
+
+def test_command_line(spark, tmp_path):
+    us_c, us_d = landed.us_files(tmp_path, 4)
+    (tmp_path / "tickers.html").write_text(landed.ticker_page())
+    arguments = [str(tmp_path / "wh"), "--reset", "--end", "2020-01-23", "--us-confirmed", us_c, "--us-deaths", us_d]
+    done = command.run(spark, command.parse([*arguments, "--ticker-pages", str(tmp_path / "tickers.html")]))
+    assert done["extract_us"] and done["extract_sp500_tickers"] and not done["aggregate_fact_to_sum_fact"]
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    assert wh.mark("covid19_us_monthly_fact") == dt.date(2020, 1, 23)
+    assert wh.read("stock_ticker_raw").count() == 3
+
+
+def test_files_without_places(spark, tmp_path):
+    us_c, us_d = landed.us_files(tmp_path, 3)
+    for path in (us_c, us_d):
+        header = open(path).read().splitlines()[0]
+        open(path, "w").write(header + "\n")
+    wh = warehouse(spark, tmp_path / "wh")
+    assert cases.extract_us(wh, us_c, us_d)
+    assert cases.transform_raw_to_fact_us(wh)
+    assert wh.read("covid19_us_fact").count() == 0
+    assert wh.mark("covid19_us_fact") == landed.days()[2]

@@ -14,7 +14,7 @@ from tidemark.operators.select import having
 from tidemark.plans.steps import bounds
 from tidemark.sinks.warehouse import Warehouse
 from tidemark.sources.files import csv_header, read_series_csv
-from tidemark.sources.nested import flatten_series, read_json_documents
+from tidemark.sources.nested import flatten_series, read_documents
 from tidemark.sources.seeds import LABOUR_SERIES
 
 # Fixed value: the oldest month that is loaded.
@@ -52,7 +52,7 @@ def extract_BOL(wh: Warehouse, series_csv: str, end: dt.date | None = None, look
 
 def extract_series_json(wh: Warehouse, path: str) -> None:
     """Landed JSON answers to raw series rows; rows that are there already stay single."""
-    wh.add_years("bol_series_raw", flatten_series(read_json_documents(wh.spark, path)))
+    wh.add_years("bol_series_raw", flatten_series(read_documents(wh.spark, path)))
 
 
 def transform_raw_to_fact_bol(wh: Warehouse, end: dt.date | None = None, lookback_days: int = 0) -> bool:

@@ -11,7 +11,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PCT = T.DecimalType(18, 5)
@@ -321,4 +320,4 @@ def conform(df: DataFrame, table: Table | str) -> DataFrame:
     instead of being stored wrong.
     """
     schema = (TABLES[table] if isinstance(table, str) else table).schema
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+    return df.selectExpr(*(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema))

@@ -14,9 +14,9 @@ SERIES_JSON = (
 )
 
 
-def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed answers, one JSON document per file."""
-    return spark.read.text(path, wholetext=True).select(F.col("value").alias("json"))
+def read_documents(spark: SparkSession, path: str, column: str = "json") -> DataFrame:
+    """Landed documents (JSON answers, HTML pages), one per file."""
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias(column))
 
 
 def flatten_series(df: DataFrame, json: str = "json") -> DataFrame:
