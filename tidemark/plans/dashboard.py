@@ -60,7 +60,9 @@ def cases_and_indexes(fact: DataFrame, start: dt.date, end: dt.date, source: Dat
     return ordered(days.select(*DAILY_COLUMNS), "date")
 
 
-def cases_and_indexes_arrays(fact: DataFrame, start: dt.date, end: dt.date, source: DataFrame | None = None) -> DataFrame:
+def cases_and_indexes_arrays(
+    fact: DataFrame, start: dt.date, end: dt.date, source: DataFrame | None = None
+) -> DataFrame:
     """Q1 for charts: one row, one array per column; the date range bounds the arrays."""
     days = in_range(fact, start, clamp_end(end, source or fact))
     return ordered_arrays(days.select(*DAILY_COLUMNS), DAILY_COLUMNS)
@@ -147,6 +149,5 @@ def correlations(series: DataFrame, monthly: DataFrame, measures: Sequence[str])
     """
     months = F.broadcast(monthly.select("dateid", *measures))
     joined = series.select("dateid", "series_id", "value").join(months, "dateid")
-    return joined.groupBy("series_id").agg(
-        F.count("value").alias("n_months"), *(F.corr("value", F.col(m).cast("double")).alias(f"corr_{m}") for m in measures)
-    )
+    found = (F.corr("value", F.col(m).cast("double")).alias(f"corr_{m}") for m in measures)
+    return joined.groupBy("series_id").agg(F.count("value").alias("n_months"), *found)

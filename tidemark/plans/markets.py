@@ -15,7 +15,7 @@ from tidemark.operators.quality import missing_entities
 from tidemark.operators.select import in_range
 from tidemark.operators.windows import forward_fill
 from tidemark.plans.steps import bounds, pending, refresh_months, stored_until
-from tidemark.schemas import TABLES, conform
+from tidemark.schemas import conform
 from tidemark.sinks.texts import write_text_list
 from tidemark.sinks.warehouse import Warehouse
 from tidemark.sources.files import read_series_csv, read_text_list

@@ -129,7 +129,8 @@ def _wide(cumulated: DataFrame, place: str, measure: str) -> DataFrame:
 @query
 def q2_topk_state(spark, sf):
     """Q2: F6, F9, O2 over A1."""
-    return dashboard.top_places(_state_cumulative(spark, sf), "state", dt.date(2000, 6, 30), 10, views.order_days(spark, sf))
+    source = views.order_days(spark, sf)
+    return dashboard.top_places(_state_cumulative(spark, sf), "state", dt.date(2000, 6, 30), 10, source)
 
 
 @query
@@ -533,7 +534,8 @@ def parsed_values(spark, sf):
 def json_props(spark, sf):
     """A field of a JSON column, counted."""
     props = F.from_json("props", "struct<k: int>")
-    return views.table(spark, sf, "events").groupBy("event_type", props["k"].alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    counts = views.table(spark, sf, "events").groupBy("event_type", props["k"].alias("k"))
+    return counts.agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
