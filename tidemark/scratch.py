@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its
-    own; on a cluster other machines could not read it.
+    Where it is unset, a folder below the warehouse, which the executors share
+    as well.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root
@@ -33,3 +34,29 @@ def use_checkpoints(spark: SparkSession) -> None:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go when each job ends, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to a fresh scratch folder and read it back: the lineage ends there."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
+    with tidy_shuffles(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more, on whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
