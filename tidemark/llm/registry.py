@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import binpack, chat, langmix, linedup, tokenfile, weakrules
+from tidemark.llm import binpack, chat, kneser, langmix, linedup, metricjoin, tokenfile, weakrules
 from tidemark.scratch import scratch_folder, stored
 
 
@@ -96,6 +96,26 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.drop_lines(docs, frequent, keep_text=False)
 
 
+def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of 85 in 100 four-word shingles."""
+    found = metricjoin.joined(_table(spark, sf_dir, "documents"), metricjoin.Measure(words=4, num=85, den=100))
+    own = lambda c: F.when(F.col(c) < metricjoin.NO_ID, F.col(c))
+    return found.select(own("doc").alias("doc_id"), F.col("n").alias("n_shingles"), own("component").alias("component_id"))
+
+
+def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents labelled good and not toxic."""
+    labels = _table(spark, sf_dir, "labels")
+    return labels.where("quality = 1 and toxic = 0").select("doc_id")
+
+
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of all documents under a model of the trusted ones, and which documents it keeps."""
+    docs = _table(spark, sf_dir, "documents")
+    found = kneser.classified(docs, trusted(spark, sf_dir))
+    return found.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -105,6 +125,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_token_blocks,
         op5_vector_shards,
         op8_line_runs,
+        op9_metric_join,
+        op10_kneser_ney,
     )
 }
 
