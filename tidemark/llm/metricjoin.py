@@ -83,7 +83,8 @@ _PART = pa.schema(
     [("part", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary()),
      ("shared", pa.binary()), ("about", pa.binary())]
 )
-_ABOUT = np.dtype([("doc", "<i8"), ("n", "<i8"), ("h1", "<i8"), ("h2", "<i8"), ("known", "<i8")])
+_ABOUT = np.dtype([(name, "<i8") for name in ("doc", "text_hash", "n", "h1", "h2", "known")])
+_MET = "doc long, text_hash long, n long, h1 long, h2 long, shared long"
 
 
 def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,10 +137,10 @@ def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Ite
     first_ids: list[int] = []
     size = 0
     for batch in batches:
-        ids = batch.column("doc").to_pylist()
+        ids = zip(batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist())
         texts = zip(ids, (t.as_py() for t in batch.column("text")))
         for tags, some in batched(texts):
-            for doc, shingles in zip(tags, shingle_sets(some, words)):
+            for (doc, text_hash), shingles in zip(tags, shingle_sets(some, words)):
                 h1, h2 = _set_hashes(shingles)
                 key = (len(shingles), h1, h2)
                 if len(shingles) and key not in seen:
@@ -150,7 +151,7 @@ def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Ite
                     at = seen[key]
                 else:
                     at = -1  # its set is told by another document of the chunk
-                about.append((doc, len(shingles), h1, h2, at))
+                about.append((doc, text_hash, len(shingles), h1, h2, at))
                 if size >= CHUNK_SHINGLES:
                     yield flush()
                     about, sets, seen, first_ids, size = [], [], {}, [], 0
@@ -178,32 +179,29 @@ def _met(table: pa.Table) -> pa.Table:
         again[order[:-1][same]] = True
     who, counts = np.unique(docs[again[: len(every)]], return_counts=True)
     about = np.concatenate(rows)
-    known = about["known"] > 0
-    return pa.table(
-        {
-            "doc": pa.array(np.concatenate([about["doc"], who]), pa.int64()),
-            "n": pa.array([*about["n"].tolist(), *[None] * len(who)], pa.int64()),
-            "h1": pa.array([*about["h1"].tolist(), *[None] * len(who)], pa.int64()),
-            "h2": pa.array([*about["h2"].tolist(), *[None] * len(who)], pa.int64()),
-            "shared": pa.array(np.concatenate([np.where(known, about["known"], 0), counts]), pa.int64()),
-        }
-    )
+    nothing = [None] * len(who)
+    columns = {"doc": pa.array(np.concatenate([about["doc"], who]), pa.int64())}
+    for name in ("text_hash", "n", "h1", "h2"):
+        columns[name] = pa.array([*about[name].tolist(), *nothing], pa.int64())
+    columns["shared"] = pa.array(np.concatenate([about["known"], counts]), pa.int64())
+    return pa.table(columns)
 
 
 def sketched(docs: DataFrame, measure: Measure) -> DataFrame:
-    """Rows (doc, n, h1, h2, shared) of each document, and (doc, null, null, null, shared) that add to ``shared``."""
+    """(doc, text_hash, n, h1, h2, shared) of each row of (doc, text_hash, text), and rows with nulls that add to
+    ``shared``."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.mapInArrow(
         partial(_exchanged, measure.words, parts),
         "part int, hashes binary, docs binary, sizes binary, shared binary, about binary",
     )
-    return sent.groupBy("part").applyInArrow(_met, "doc long, n long, h1 long, h2 long, shared long")
+    return sent.groupBy("part").applyInArrow(_met, _MET)
 
 
 def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, n, shingles) of the rows that have the set they stand for."""
+    """(doc, n, shingles) of the rows that have the set they stand for; ``doc`` numbers the set."""
     for batch in batches:
-        tags = zip(*(batch.column(c).to_pylist() for c in ("doc", "h1", "h2")))
+        tags = zip(*(batch.column(c).to_pylist() for c in ("class", "h1", "h2")))
         for some, texts in batched(zip(tags, (t.as_py() for t in batch.column("text")))):
             ids, sets = [], []
             for (doc, h1, h2), shingles in zip(some, shingle_sets(texts, words)):
@@ -322,25 +320,48 @@ def linked(members: DataFrame, sets: DataFrame, measure: Measure, pivots: int =
 
 
 def joined(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, n, component) for every row; ``doc`` is the id or a number from 2 ** 62 on for rows without one."""
-    docs = df.select(_number(id_col, text_col).alias("doc"), F.col(text_col).alias("text"))
+    """(doc, text_hash, class, n, component) for every row of ``df``.
+
+    ``doc`` is the id, or a number from ``NO_ID`` on for rows without one;
+    ``component`` is the smallest ``doc`` that links lead to.
+    """
+    text = F.col(text_col)
+    docs = df.select(_number(id_col, text_col).alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     rows = stored(sketched(docs, measure), "sketches")
-    about = rows.where(F.col("n").isNotNull()).drop("shared")
-    classes = stored(
-        about.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep")), "classes"
-    )
-    shared = rows.groupBy("doc").agg(F.sum("shared").alias("shared"))
-    told = about.where("n > 0").join(shared, "doc")
-    near = told.where(measure.den * F.col("shared") >= measure.num * F.col("n")).select("n", "h1", "h2").distinct()
-    # of equal sets some rows are told by others: a class is near if any of its rows is
-    ask = stored(classes.join(near, ["n", "h1", "h2"]).select(F.col("rep").alias("doc"), "h1", "h2"), "candidates")
+    about = rows.where(F.col("n").isNotNull()).withColumn("class", F.xxhash64("n", "h1", "h2"))
+    some = about.where("n > 0")
+    classes = stored(some.groupBy("class", "n", "h1", "h2").agg(F.min("doc").alias("rep")), "classes")
+    shared = rows.groupBy("doc").agg(F.sum("shared").alias("_all"))
+    # equal sets of a chunk are told by one row: a class may have partners if any of its rows may
+    near = some.join(shared, "doc").where(measure.den * F.col("_all") >= measure.num * F.col("n"))
+    ask = classes.join(near.select("class").distinct(), "class").select("class", "h1", "h2", F.col("rep").alias("doc"))
+    ask = stored(ask, "candidates")
     sets = docs.join(ask, "doc").mapInArrow(partial(_sets, measure.words), "doc long, n long, shingles array<long>")
     sets = stored(sets, "shingle-sets")
     total = sets.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc").alias("d")).first()
     if total["n"] > total["d"]:  # rows that repeat
         sets = stored(sets.dropDuplicates(["doc"]), "shingle-sets")
     labels = linked(regions(sets, measure), sets, measure)
-    named = classes.join(labels, F.col("rep") == F.col("node"), "left")
-    named = named.select("n", "h1", "h2", F.coalesce("component", "rep").alias("component"))
-    out = about.join(named, ["n", "h1", "h2"], "left")
-    return out.select("doc", "n", F.coalesce("component", "doc").alias("component"))
+    named = classes.join(labels, F.col("class") == F.col("node"), "left")
+    named = named.select("class", "rep", F.coalesce("component", "class").alias("_group"))
+    least = named.groupBy("_group").agg(F.min("rep").alias("component"))
+    named = named.join(least, "_group").select("class", "component")
+    out = about.join(named, "class", "left")
+    return out.select("doc", "text_hash", "class", "n", F.coalesce("component", "doc").alias("component"))
+
+
+def keep_one(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``df`` with one document of each component, that with the smallest id; rows without words all stay."""
+    found = stored(joined(df, measure, id_col, text_col), "components")
+    own = F.when(F.col("n") > 0, F.lit(0)).otherwise(F.col("text_hash"))
+    alone = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
+    first = found.groupBy(alone.alias("_c"), (F.col("n") > 0).alias("_w"), own.alias("_o")).agg(
+        F.min(F.struct("doc", "text_hash")).alias("_first")
+    )
+    first = stored(first.select("_first.doc", "_first.text_hash"), "kept")
+    keyed = df.withColumns({"_number": _number(id_col, text_col), "_hash": F.xxhash64(F.col(text_col))})
+    same = (F.col("_number") == F.col("doc")) & (F.col("_hash") == F.col("text_hash"))
+    kept = keyed.join(first, same, "left_semi")
+    if found.count() > found.select("doc", "text_hash").distinct().count():  # rows that repeat
+        kept = kept.dropDuplicates(["_number", "_hash"])
+    return kept.drop("_number", "_hash")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import binpack, chat, kneser, langmix, linedup, metricjoin, tokenfile, weakrules
+from tidemark.llm import binpack, chat, kneser, langmix, linedup, metricjoin, raking, spacedseed, tokenfile, weakrules
 from tidemark.scratch import scratch_folder, stored
 
 
@@ -89,6 +90,28 @@ def op5_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap with benchmark items, and where."""
+    found = spacedseed.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+#: Shares of tokens to these powers are the targets.
+POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
+
+
+def op7_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the probability that brings sources, languages and topics to their targets."""
+    text = F.col("text")
+    docs = _table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "source", "lang", raking.topic_of(text).alias("topic"),
+                       raking.tokens_of(text).alias("tokens"), F.lit(None).cast("string").alias("text"))
+    docs = stored(docs, "cell-rows")
+    return raking.mixed(docs, POWERS, keep=0.8).select(
+        "doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "kept"
+    )
+
+
 def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that ten of them or more hold."""
     docs = _table(spark, sf_dir, "documents")
@@ -124,12 +147,16 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality_rules,
         op4_token_blocks,
         op5_vector_shards,
+        op6_spaced_seeds,
+        op7_raked_mixture,
         op8_line_runs,
         op9_metric_join,
         op10_kneser_ney,
     )
 }
 
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+
 LLM_SQL: dict[str, str] = {
     "op2_chat_format": r"""
         WITH rows AS (
