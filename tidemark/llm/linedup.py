@@ -102,10 +102,15 @@ class LineRuns:
         self.levels[level].append(path)
 
     def add(self, lines: DataFrame) -> None:
-        """Add a batch of ``document_lines`` as a run, then compact full levels."""
+        """Add a batch of ``document_lines`` as a run, then compact full levels.
+
+        Lines are counted within tasks before they travel, so that a line that
+        is everywhere is a row per task when it meets the runs.
+        """
+        counts = lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
         if self.levels:
-            lines = lines.join(self.frequent(), "hash", "left_anti")
-        self._write(lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n")), 0)
+            counts = counts.join(self.frequent(), "hash", "left_anti")
+        self._write(counts, 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             merged, self.levels[level] = self.levels[level], []
