@@ -56,6 +56,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shelf:
+    """Intermediate tables by name; a name that is stored anew drops what it held before."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_folder(self._spark, name)
+        with tidy_shuffles(self._spark):
+            df.write.parquet(path)
+        self.drop(name)
+        self._paths[name] = path
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self._paths:
+                remove_folder(self._spark, self._paths.pop(name))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that nothing reads any more, on whatever store it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
