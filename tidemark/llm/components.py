@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.scratch import stored
+from tidemark.scratch import Shelf
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,11 +29,12 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating star contraction: the number of rounds grows with the logarithm
     of the longest path, and no round holds a component together.
     """
-    links = stored(edges.select("u", "v").where("u <> v").distinct(), "links")
+    shelf = Shelf(edges.sparkSession)
+    links = shelf.put(edges.select("u", "v").where("u <> v").distinct(), "links")
     mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     before = None
     while True:
-        links = stored(_small_star(_large_star(links)).distinct(), "links")
+        links = shelf.put(_small_star(_large_star(links)).distinct(), "links")
         now = links.agg(F.count(F.lit(1)), mark).first()
         if now == before:
             break

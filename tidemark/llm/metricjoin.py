@@ -10,15 +10,14 @@ at most ``r`` = 1 - similarity. The join never forms all pairs of a group:
    first; to share a region is necessary for a link, and a document enters as
    many regions as the triangle inequality of the symmetric difference asks for
    (its first n - ceil(t n) + 1 shingles). Regions with equal members are one.
-3. ``linked``: every region elects pivots, the members' distances to them are
-   computed, and a member belongs to the Voronoi cell of its nearest pivot.
-   Linked members of a cell are connected through their pivot and need no
-   comparison with each other. What goes on to the next level is what the
-   triangle inequality cannot settle: members without a linked pivot, and
-   boundary members x of the cell of p to which a document y of another
-   component may be as near as d(y, p) - d(x, p) <= r. Levels repeat, with four
-   times as many pivots each, until no region has anything open. Pivots meet
-   all open members of their region, so nothing is lost.
+3. ``linked``: every region elects a pivot and the distances of its members to
+   it are computed. Members linked to the pivot are its cell; they are connected
+   and need no comparison with each other. Only what the triangle inequality
+   cannot settle goes on to the next level: members outside the cell, and
+   boundary members of the cell within whose window a document outside may lie.
+   Levels repeat with new pivots, sixteen times as many each, until no region has
+   anything open. Pivots meet all open members of their region, so nothing is
+   lost.
 
 Distances are exact (integers compared with the threshold); bounds only ever
 skip pairs that cannot link. ``components`` then joins the links.
@@ -34,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +43,10 @@ from pyspark.sql import Window
 
 from tidemark.llm.components import components
 from tidemark.llm.shingles import batched, mixed, shingle_sets
-from tidemark.scratch import stored
+from tidemark.scratch import Shelf, stored
 
 CHUNK_SHINGLES = 1 << 21
 NO_ID = 1 << 62  # numbers of rows without an id begin here
-_SLACK = 1e-9  # distances are compared with bounds in floating point, never to the harm of a link
 
 
 @dataclass(frozen=True)
@@ -59,10 +57,6 @@ class Measure:
     num: int = 4
     den: int = 5
 
-    @property
-    def radius(self) -> float:
-        return 1 - self.num / self.den
-
     def links(self, inter: Column, union: Column) -> Column:
         return self.den * inter >= self.num * union
 
@@ -220,15 +214,17 @@ def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def regions(sets: DataFrame, measure: Measure) -> DataFrame:
-    """(region, doc, n): classes by the first of their shingles, rarest first; regions of one member are left out."""
+    """(region, doc, n, own): classes by the first of their shingles, rarest first; ``own`` counts shingles that no
+    other class has. Regions of one member are left out."""
     each = sets.select("doc", "n", F.explode("shingles").alias("s"))
     often = each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = each.join(often, "s").groupBy("doc", "n")
     ranked = shared.agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("_ranked"))
     # shingles of one document only come first in the order, and need no region
     room = F.floor(F.col("n") - F.ceil(F.col("n") * measure.num / measure.den) + 1) - (F.col("n") - F.size("_ranked"))
-    ranked = ranked.where(room > 0).select("doc", "n", F.slice("_ranked", F.lit(1), room.cast("int")).alias("_ranked"))
-    placed = ranked.select(F.explode("_ranked.s").alias("region"), "doc", "n")
+    first = F.slice("_ranked", F.lit(1), room.cast("int")).alias("_first")
+    ranked = ranked.where(room > 0).select("doc", "n", (F.col("n") - F.size("_ranked")).alias("own"), first)
+    placed = ranked.select(F.explode("_first.s").alias("region"), "doc", "n", "own")
     placed = stored(placed, "regions")
     key = F.xxhash64("doc").cast("decimal(38,0)")
     alike = placed.groupBy("region").agg(
@@ -247,76 +243,95 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", inter.alias("inter"), (F.col("_na") + F.col("_nb") - inter).alias("union"))
 
 
+def _may_link(measure: Measure, sizes: Column, apart: Column) -> Column:
+    """Whether sets of together ``sizes`` shingles link if at least ``apart`` shingles are in one of them only."""
+    return measure.den * (sizes - apart) >= measure.num * (sizes + apart)
+
+
 def linked(members: DataFrame, sets: DataFrame, measure: Measure, pivots: int = 1) -> DataFrame:
-    """(u, v): links that connect whatever the join connects, from (region, doc, n)."""
-    r = measure.radius + _SLACK
-    known = None
+    """(node, component) of the links, from (region, doc, n, own).
+
+    The first pivot of a region is the member with the fewest shingles of its
+    own, the middle of a family of near copies. ``apart`` is the size of the
+    symmetric difference to it. For members x and y the triangle inequality
+    gives |x - y| >= |apart(x) - apart(y)|; and as shingles of one's own are in
+    no other set, at most min(apart - own) of the differences are common, so
+    |x - y| >= apart(x) + apart(y) - 2 min(apart - own).
+    """
+    shelf = Shelf(members.sparkSession)
+    known: list[DataFrame] = []
+    level = 0
     open_ = members.withColumns(
-        {"home": F.lit(None).cast("long"), "near": F.lit(None).cast("double"), "component": F.col("doc")}
+        {"apart": F.lit(None).cast("long"), "inside": F.lit(False), "component": F.col("doc")}
     )
+    kept = ("doc", "n", "own", "apart", "component")
     while True:
-        order = Window.partitionBy("region").orderBy(F.col("home").isNotNull(), F.xxhash64("doc"), "doc")
+        order = Window.partitionBy("region").orderBy("inside", "own", F.xxhash64("doc"), "doc")
         chosen = open_.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= pivots)
-        chosen = chosen.select("region", *(F.col(c).alias(f"p_{c}") for c in ("doc", "n", "home", "near", "component")))
-        met = open_.join(chosen, "region").where("doc <> p_doc")
-        fits = measure.den * F.least("n", "p_n") >= measure.num * F.greatest("n", "p_n")
-        apart = F.col("component") != F.col("p_component")
-        # lower bounds of the distance: sizes, and known distances to a common pivot
-        low = F.lit(1.0) - F.least("n", "p_n") / F.greatest("n", "p_n")
-        same = F.col("home") == F.col("p_home")
-        low = F.greatest(low, F.when(same, F.abs(F.col("near") - F.col("p_near"))).otherwise(F.lit(0.0)))
-        met = stored(
-            met.withColumns({"_low": low, "_ask": apart & fits & (low <= r)})
-            .withColumns({"a": F.least("doc", "p_doc"), "b": F.greatest("doc", "p_doc")})
-            .select("region", "doc", "p_doc", "a", "b", "_low", "_ask"),
-            "met",
+        chosen = chosen.select("region", *(F.col(c).alias(f"p_{c}") for c in kept))
+        met = open_.join(chosen, "region").where("doc <> p_doc").withColumns(
+            {"a": F.least("doc", "p_doc"), "b": F.greatest("doc", "p_doc")}
         )
-        asked = met.where("_ask").select("a", "b").distinct()
-        if known is not None:
-            asked = asked.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        found = stored(_distances(asked, sets), "distances")
-        known = found if known is None else stored(known.union(found), "distances")
-        links = known.where(measure.links(F.col("inter"), F.col("union"))).select(
-            F.col("a").alias("u"), F.col("b").alias("v")
-        )
-        labels = stored(components(links), "labels")
-        exact = known.select("a", "b", (1 - F.col("inter") / F.col("union")).alias("_d"),
-                             measure.links(F.col("inter"), F.col("union")).alias("_link"))
-        met = met.join(exact, ["a", "b"], "left").withColumn("_d", F.coalesce("_d", "_low"))
-        own = F.when(F.col("_link"), F.struct("_d", "p_doc"))
-        homes = met.groupBy("region", "doc").agg(F.min(own).alias("_home"))
-        rest = open_.drop("component").join(homes, ["region", "doc"], "left")
-        better = F.col("_home").isNotNull() & (F.col("near").isNull() | (F.col("_home._d") < F.col("near")))
-        rest = rest.select(
-            "region", "doc", "n",
-            F.when(better, F.col("_home.p_doc")).otherwise(F.col("home")).alias("home"),
-            F.when(better, F.col("_home._d")).otherwise(F.col("near")).alias("near"),
-        )
-        rest = rest.join(labels, F.col("doc") == F.col("node"), "left").drop("node")
+        if level:
+            common = F.least(F.col("apart") - F.col("own"), F.col("p_apart") - F.col("p_own"))
+            least = F.greatest(
+                F.col("own") + F.col("p_own"),
+                F.abs(F.col("apart") - F.col("p_apart")),
+                F.col("apart") + F.col("p_apart") - 2 * common,
+            )
+            met = met.where("component <> p_component").where(_may_link(measure, F.col("n") + F.col("p_n"), least))
+        else:
+            met = shelf.put(met.select("region", "doc", "n", "p_doc", "p_n", "a", "b"), "met")
+        asked = met.select("a", "b").distinct()
+        for before in known:
+            asked = asked.join(before.select("a", "b"), ["a", "b"], "left_anti")
+        known.append(shelf.put(_distances(asked, sets), f"distances-{level}"))
+        every = reduce(DataFrame.union, known)
+        links = every.where(measure.links(F.col("inter"), F.col("union")))
+        new = known[-1].where(measure.links(F.col("inter"), F.col("union")))
+        if not level or not new.isEmpty():
+            labels = shelf.put(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), f"labels-{level}")
+        rest = open_.drop("component", "inside").join(labels, F.col("doc") == F.col("node"), "left").drop("node")
         rest = rest.withColumn("component", F.coalesce("component", "doc"))
-        rest = stored(
-            rest.join(chosen.select("region", F.col("p_doc").alias("doc"), F.lit(True).alias("_pivot")),
-                      ["region", "doc"], "left"),
-            "members",
-        )
-        # regions of one component are settled
-        mixed_ = rest.groupBy("region").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-        mixed_ = mixed_.where("_lo <> _hi").select("region")
-        rest = rest.join(mixed_, "region")
-        # how near documents of other components come to each pivot
-        by_pivot = met.join(rest.select("region", "doc", "component"), ["region", "doc"])
-        of_pivot = rest.where("_pivot").select("region", F.col("doc").alias("p_doc"), F.col("component").alias("_pc"))
-        reach = by_pivot.join(of_pivot, ["region", "p_doc"]).where("component <> _pc")
-        reach = reach.groupBy("region", F.col("p_doc").alias("home")).agg(F.min("_d").alias("_reach"))
-        rest = rest.where(F.col("_pivot").isNull()).join(reach, ["region", "home"], "left")
-        # a home of an earlier level has met all of the region then; without a figure for it nothing is excluded
-        undecided = F.col("home").isNull() | F.col("_reach").isNull() | (F.col("near") >= F.col("_reach") - r)
-        open_ = stored(rest.where(undecided).select(*open_.columns), "members")
-        left = open_.groupBy("region").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("region")
-        open_ = open_.join(left, "region")
+        if not level:
+            to_pivot = met.join(known[0], ["a", "b"]).select(
+                "region", "doc", (F.col("n") + F.col("p_n") - 2 * F.col("inter")).alias("apart")
+            )
+            rest = rest.drop("apart").join(to_pivot, ["region", "doc"], "left")
+            rest = rest.withColumn("apart", F.coalesce("apart", F.lit(0).cast("long")))  # the pivot itself
+            first = rest.join(chosen.select("region", F.col("p_doc").alias("doc")), ["region", "doc"])
+            firsts = shelf.put(first.select("region", "doc"), "firsts")
+        cells = firsts.join(labels, F.col("doc") == F.col("node"), "left")
+        cells = cells.select("region", F.coalesce("component", "doc").alias("_cell"))
+        rest = rest.join(cells, "region").withColumn("inside", F.col("component") == F.col("_cell")).drop("_cell")
+        # pivots have met all open members of their region
+        was_pivot = chosen.select("region", F.col("p_doc").alias("doc"))
+        rest = shelf.put(rest.join(was_pivot, ["region", "doc"], "left_anti").select(*open_.columns), "rest")
+        # windows: what of a region may still link beyond its component
+        spare = F.col("apart") - 2 * F.col("own")
+        outer = ~F.col("inside")
+        windows = rest.groupBy("region").agg(
+            F.max(spare).alias("_spare"),
+            F.min("apart").alias("_near"),
+            F.max(F.when(outer, spare)).alias("_outer_spare"),
+            F.min(F.when(outer, F.col("apart"))).alias("_outer_near"),
+            F.min("component").alias("_lo"),
+            F.max("component").alias("_hi"),
+        )
+        windows = windows.where("_lo <> _hi and _outer_near is not null")
+        partner = F.when(F.col("inside"), F.col("_outer_spare")).otherwise(F.col("_spare"))
+        nearest = F.when(F.col("inside"), F.col("_outer_near")).otherwise(F.col("_near"))
+        # a partner has at most n * den / num shingles
+        most = F.floor(F.col("n") * (measure.num + measure.den) / measure.num)
+        undecided = _may_link(measure, most, F.col("apart") - partner) & _may_link(measure, most, nearest - spare)
+        left = rest.join(windows, "region").where(undecided).select(*open_.columns)
+        size = left.groupBy("region").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("region")
+        open_ = shelf.put(left.join(size, "region", "left_semi"), f"open-{level}")
+        shelf.drop(f"open-{level - 1}", "rest", "met")
         if open_.isEmpty():
             return labels
-        pivots *= 4
+        level += 1
+        pivots *= 16
 
 
 def joined(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
