@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.scratch import stored
+from tidemark.scratch import Shelf, stored
 
 ORDER = 5
 START = "\x02"  # stands before the first characters of a text
@@ -205,55 +205,60 @@ def block_grams(documents: DataFrame, trusted: DataFrame, blocks: int) -> DataFr
     return both.applyInArrow(_counted, "block int, gram string, n long")
 
 
-def _levels(counts: DataFrame) -> DataFrame:
-    """(k, gram, n) for n-grams of length k: raw counts at the top, below it the number of distinct characters before."""
-    top = counts.where(F.col("n") > 0).select(F.lit(ORDER).alias("k"), "gram", "n")
-    levels, above = top, top
-    for k in range(ORDER - 1, 0, -1):
-        above = above.groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-        above = above.select(F.lit(k).alias("k"), "gram", "n")
-        levels = levels.union(above)
-    return levels
+def _shorter(above: DataFrame, k: int) -> DataFrame:
+    """(gram, n) of length k: the number of distinct characters that stand before it in the n-grams ``above``."""
+    return above.groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def discounts(levels: DataFrame) -> dict[int, tuple[float, float, float]]:
-    """Per length the discounts of counts 1, 2 and 3 or more, from the counts of counts."""
+def discounts(level: DataFrame) -> tuple[float, float, float]:
+    """Discounts of counts 1, 2 and 3 or more, from the counts of counts of one length."""
     ones = [F.sum((F.col("n") == c).cast("long")).alias(f"c{c}") for c in (1, 2, 3, 4)]
-    out = {k: (0.5, 0.5, 0.5) for k in range(1, ORDER + 1)}
-    for row in levels.groupBy("k").agg(*ones).collect():  # ORDER rows
-        c = [row[f"c{i}"] for i in (1, 2, 3, 4)]
-        if min(c) > 0:
-            y = c[0] / (c[0] + 2 * c[1])
-            given = (1 - 2 * y * c[1] / c[0], 2 - 3 * y * c[2] / c[1], 3 - 4 * y * c[3] / c[2])
-            out[row["k"]] = tuple(min(max(d, 0.1), i - 0.1) for i, d in enumerate(given, 1))
-    return out
+    c = [x or 0 for x in level.agg(*ones).first()]
+    if min(c) == 0:
+        return 0.5, 0.5, 0.5
+    y = c[0] / (c[0] + 2 * c[1])
+    given = (1 - 2 * y * c[1] / c[0], 2 - 3 * y * c[2] / c[1], 3 - 4 * y * c[3] / c[2])
+    return tuple(min(max(d, 0.1), i - 0.1) for i, d in enumerate(given, 1))
 
 
 def gram_costs(grams: DataFrame) -> DataFrame:
-    """(gram, cost) for each distinct n-gram of ``block_grams``: -log of its interpolated probability."""
-    counts = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "gram-counts")
-    levels = stored(_levels(counts), "gram-levels")
-    by_length = discounts(levels)
-    n, out = F.col("n"), counts.select("gram")
-    alphabet = levels.where(F.col("k") == 1).agg(F.count(F.lit(1)).alias("a"), F.sum("n").alias("t")).first()
-    probability = F.lit(1.0 / (alphabet["a"] + 1))
+    """(gram, cost) for each distinct n-gram of ``block_grams``: -log of its interpolated probability.
+
+    Lengths are done from 1 up, each for the distinct endings of that length
+    only, and joined by n-gram, by context and by the ending one shorter.
+    """
+    shelf = Shelf(grams.sparkSession)
+    counts = shelf.put(grams.groupBy("gram").agg(F.sum("n").alias("n")), "counts")
+    levels = {ORDER: counts.where(F.col("n") > 0)}
+    for k in range(ORDER - 1, 0, -1):
+        levels[k] = shelf.put(_shorter(levels[k + 1], k), f"level-{k}")
+    n, lower = F.col("n"), None
     for k in range(1, ORDER + 1):
-        one, two, more = by_length[k]
+        level = levels[k]
+        one, two, more = discounts(level)
         discount = F.when(n == 1, one).when(n == 2, two).otherwise(more)
-        level = levels.where(F.col("k") == k)
+        if k == ORDER:
+            asked = counts.withColumn("_n", F.when(n > 0, n - discount)).drop("n")
+        else:
+            asked = counts.select(F.substring("gram", ORDER - k + 1, k).alias("gram")).distinct()
+            asked = asked.join(level.select("gram", (n - discount).alias("_n")), "gram", "left")
         if k == 1:
-            total, left = F.lit(float(alphabet["t"] or 1)), level.agg(F.sum(discount)).first()[0] or 1.0
-            weight = F.lit(float(left)) / total
+            all_ = level.agg(F.count(F.lit(1)), F.sum("n"), F.sum(discount)).first()
+            total = F.lit(float(all_[1] or 1))
+            weight, shorter = F.lit((all_[2] or 1.0) / (all_[1] or 1)), F.lit(1.0 / (all_[0] + 1))
         else:
-            contexts = level.groupBy(F.substring("gram", 1, k - 1).alias(f"_x{k}"))
-            contexts = contexts.agg(F.sum("n").alias(f"_t{k}"), F.sum(discount).alias(f"_w{k}"))
-            out = out.withColumn(f"_x{k}", F.substring("gram", ORDER - k + 1, k - 1)).join(contexts, f"_x{k}", "left")
-            total = F.col(f"_t{k}")
-            weight = F.coalesce(F.col(f"_w{k}") / total, F.lit(1.0))
-        seen = level.select(F.col("gram").alias(f"_g{k}"), (n - discount).alias(f"_n{k}"))
-        out = out.withColumn(f"_g{k}", F.substring("gram", ORDER - k + 1, k)).join(seen, f"_g{k}", "left")
-        probability = F.coalesce(F.col(f"_n{k}") / total, F.lit(0.0)) + weight * probability
-    return out.select("gram", (-F.log(probability)).cast("float").alias("cost"))
+            contexts = level.groupBy(F.substring("gram", 1, k - 1).alias("_context"))
+            contexts = contexts.agg(F.sum("n").alias("_total"), F.sum(discount).alias("_weight"))
+            asked = asked.withColumn("_context", F.substring("gram", 1, k - 1)).join(contexts, "_context", "left")
+            ending = lower.select(F.col("gram").alias("_ending"), F.col("p").alias("_shorter"))
+            asked = asked.drop("_context").withColumn("_ending", F.substring("gram", 2, k - 1)).join(ending, "_ending")
+            total, shorter = F.col("_total"), F.col("_shorter")
+            weight = F.coalesce(F.col("_weight") / total, F.lit(1.0))
+        p = F.coalesce(F.col("_n") / total, F.lit(0.0)) + weight * shorter
+        lower = shelf.put(asked.select("gram", p.alias("p")), f"p-{k}")
+        shelf.drop(f"p-{k - 1}")
+    shelf.drop("counts", *(f"level-{k}" for k in range(1, ORDER)))
+    return lower.select("gram", (-F.log("p")).cast("float").alias("cost"))
 
 
 def _added_up(documents: pa.Table, costs: pa.Table) -> pa.Table:
@@ -290,13 +295,12 @@ def _row_keys(codes: np.ndarray) -> np.ndarray:
     return _keys(np.ascontiguousarray(codes).reshape(-1))[::ORDER]
 
 
-def scored(documents: DataFrame, grams: DataFrame, costs: DataFrame, blocks: int) -> DataFrame:
-    """(doc, text_hash, chars, cost) from (doc, text) and the costs of the n-grams each block reported."""
+def scored(documents: DataFrame, answers: DataFrame, blocks: int) -> DataFrame:
+    """(doc, text_hash, chars, cost) from (doc, text) and (block, gram, cost) for the n-grams each block reported."""
     left = documents.select(
         _block(F.col("doc"), blocks).alias("block"), "doc", F.xxhash64("text").alias("text_hash"), "text"
     )
-    right = grams.select("block", "gram").join(costs, "gram").select("block", "gram", "cost")
-    both = left.groupBy("block").cogroup(right.groupBy("block"))
+    both = left.groupBy("block").cogroup(answers.groupBy("block"))
     kind = documents.schema["doc"].dataType.simpleString()
     return both.applyInArrow(_added_up, f"doc {kind}, text_hash long, chars long, cost double")
 
@@ -306,9 +310,14 @@ def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     documents = df.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     learn = trusted.select(F.col(id_col).alias("doc")).where(~_held_out(F.col("doc"))).distinct()
-    grams = stored(block_grams(documents, learn, blocks), "block-grams")
-    costs = stored(gram_costs(grams), "gram-costs")
-    return stored(scored(documents, grams, costs, blocks), "perplexities")
+    shelf = Shelf(df.sparkSession)
+    grams = shelf.put(block_grams(documents, learn, blocks), "grams")
+    costs = gram_costs(grams)
+    answers = shelf.put(grams.select("block", "gram").join(costs, "gram").select("block", "gram", "cost"), "answers")
+    shelf.drop("grams")
+    found = stored(scored(documents, answers, blocks), "perplexities")
+    shelf.drop("answers")
+    return found
 
 
 def classified(
