@@ -212,7 +212,7 @@ def test_crash_between_data_and_mark_is_repaired_by_the_next_run(spark, tmp_path
     # the data of the next step is stored, but the run dies before the mark is set
     mark = wh.mark("covid19_us_fact")
     fact = cases.state_fact(wh.read("covid19_us_raw", after=mark), wh.read("covid19_us_fact", until=mark))
-    wh.load("covid19_us_fact", fact, mark)
+    wh.load("covid19_us_fact", fact)
     stored = tuples(wh, "covid19_us_fact")
     assert cases.transform_raw_to_fact_us(wh)
     assert tuples(wh, "covid19_us_fact") == stored

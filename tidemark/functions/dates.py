@@ -7,22 +7,29 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HEADER_PATTERN = "M/d/yy"
 ISO_PATTERN = "yyyy-MM-dd"
 
 
 def header_date(text: Column) -> Column:
-    """``M/D/YY`` text to a date in the years 2000-2099."""
-    return F.to_date(text, HEADER_PATTERN)
+    """``M/D/YY`` text to a date in the years 2000-2099, ``M/D/YYYY`` to that year; null for other texts."""
+    parts = F.regexp_extract(text, r"^(\d{1,2}/\d{1,2}/)(\d{2}|\d{4})$", 1)
+    year = F.regexp_extract(text, r"^(\d{1,2}/\d{1,2}/)(\d{2}|\d{4})$", 2)
+    full = F.concat(parts, F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year))
+    return F.try_to_date(F.nullif(full, F.lit("")), "M/d/yyyy")
 
 
 def parse_header(name: str) -> dt.date | None:
     """D1 for one column *name*; None when the name is not a date."""
     parts = name.split("/")
-    if len(parts) != 3 or not all(p.isdigit() for p in parts):
+    if len(parts) != 3 or not all(p.isascii() and p.isdigit() for p in parts):
+        return None
+    if not all(len(p) in sizes for p, sizes in zip(parts, ((1, 2), (1, 2), (2, 4)))):
         return None
     month, day, year = (int(p) for p in parts)
-    return dt.date(2000 + year % 100, month, day)
+    try:
+        return dt.date(year + 2000 if len(parts[2]) == 2 else year, month, day)
+    except ValueError:
+        return None
 
 
 def dateid(date: Column) -> Column:
@@ -85,3 +92,8 @@ def same_month(a: Column, b: Column) -> Column:
 def month_number(date: Column) -> Column:
     """Months since year 0: a bucket that grows with the date."""
     return F.year(date) * 12 + F.month(date) - 1
+
+
+def month_of(day: dt.date) -> int:
+    """As ``month_number``, for one date."""
+    return day.year * 12 + day.month - 1

@@ -36,11 +36,10 @@ def cases_with_market(cases: DataFrame, market: DataFrame, scores: Sequence[str]
 def series_with_facts(series: DataFrame, monthly: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Every series value, with the month's facts if there are any.
 
-    ``dateid`` is the key of ``monthly``, so it has twelve rows a year. There
-    are far fewer months than tasks; a shuffle by month would pile the series
-    up in a few of them.
+    ``series`` is unique by series and month, ``monthly`` by month. Catalyst
+    and AQE send the months to the series where they are small enough.
     """
-    return series.distinct().join(F.broadcast(monthly.select("dateid", *measures)), "dateid", "left")
+    return series.join(monthly.select("dateid", *measures), "dateid", "left")
 
 
 def enrich_countries(facts: DataFrame, countries: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import dateid, parse_header
 
 
-# columns up to which unpivoting by one projection per column is the faster plan
-FEW_COLUMNS = 64
-
-
 def date_columns(columns: Sequence[str]) -> dict[str, dt.date]:
     """Columns whose name is a date, with that date, in file order."""
     dated = ((name, parse_header(name)) for name in columns)
@@ -65,13 +61,10 @@ def same_dtype(df: DataFrame, columns: Sequence[str]) -> str:
 def unpivot(df: DataFrame, ids: Sequence[str], key: str, value: str) -> DataFrame:
     """Every column outside ``ids`` becomes a (key, value) row.
 
-    Spark's unpivot plans one projection per column, which suits a handful of
-    columns; a frame with many is zipped from two arrays per row.
+    Rows are zipped from two arrays, in one projection however many columns there are.
     """
     values = [c for c in df.columns if c not in ids]
     same_dtype(df, values)
-    if len(values) <= FEW_COLUMNS:
-        return df.unpivot(list(map(quoted, ids)), list(map(quoted, values)), key, value)
     names = ", ".join(map(_text, values))
     return df.selectExpr(*map(quoted, ids), f"inline(arrays_zip(array({names}), {_array(values)})) AS ({key}, {value})")
 

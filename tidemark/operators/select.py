@@ -26,9 +26,10 @@ def having_counted(df: DataFrame, column: str, counts: Observation) -> DataFrame
     return having(df.observe(counts, came, lacking), column)
 
 
-def in_range(df: DataFrame, start: dt.date | Column, end: dt.date | Column, date: str = "date") -> DataFrame:
-    """closed date range."""
-    return df.filter(F.col(date).between(start, end))
+def in_range(df: DataFrame, start: dt.date | Column | None, end: dt.date | Column, date: str = "date") -> DataFrame:
+    """closed date range, open below without a start."""
+    df = df if start is None else df.filter(F.col(date) >= start)
+    return df.filter(F.col(date) <= end)
 
 
 def on_date(df: DataFrame, day: dt.date | Column, date: str = "date") -> DataFrame:

@@ -74,33 +74,40 @@ def previous_values(
     order_by: str,
     bucket: Column,
     partition_by: Sequence[str] = (),
+    fill: Sequence[str] = (),
 ) -> DataFrame:
-    """Bucketed lag: ``targets`` maps a column to the name of its previous value.
+    """Bucketed lag and forward fill in one pass.
 
-    ``order_by`` must be unique within an entity and ``bucket`` must not fall
-    when it grows.
+    ``targets`` maps a column to the name of its previous value, columns in
+    ``fill`` repeat their last known value. ``order_by`` must be unique within
+    an entity and ``bucket`` must not fall when it grows.
     """
     rows = df.withColumn("_bucket", bucket)
-    tails = _tails(rows, {c: F.max_by(c, order_by) for c in targets}, partition_by)
+    last = {f"_at_{c}": F.max_by(c, order_by) for c in targets}
+    last |= {f"_of_{c}": F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))) for c in fill}
+    tails = _tails(rows, last, partition_by)
     across = Window.partitionBy(*partition_by).orderBy("_bucket")
-    carry = tails.withColumns({c: F.lag(c).over(across) for c in targets})
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.withColumns(
+        {f"_at_{c}": F.lag(f"_at_{c}").over(across) for c in targets}
+        | {f"_of_{c}": F.last(f"_of_{c}", ignorenulls=True).over(before) for c in fill}
+    )
     inside, both = _with_carry(rows, carry, order_by, partition_by)
-    found = both.withColumns({name: F.lag(c).over(inside) for c, name in targets.items()})
-    return found.filter("NOT _carried").select(*df.columns, *targets.values())
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    values = {c: F.when(F.col("_carried"), F.col(f"_at_{c}")).otherwise(F.col(c)) for c in targets}
+    known = {c: F.when(F.col("_carried"), F.col(f"_of_{c}")).otherwise(F.col(c)) for c in fill}
+    found = both.withColumns(
+        {name: F.lag(values[c]).over(inside) for c, name in targets.items()}
+        | {f"_full_{c}": F.last(known[c], ignorenulls=True).over(so_far) for c in fill}
+    )
+    kept = [F.col(f"_full_{c}").alias(c) if c in fill else F.col(c) for c in df.columns]
+    return found.filter("NOT _carried").select(*kept, *targets.values())
 
 
 def _fill_bucketed(
     df: DataFrame, columns: Sequence[str], order_by: str, bucket: Column, partition_by: Sequence[str]
 ) -> DataFrame:
-    rows = df.withColumn("_bucket", bucket)
-    known = {c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))) for c in columns}
-    tails = _tails(rows, known, partition_by)
-    before = Window.partitionBy(*partition_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.withColumns({c: F.last(c, ignorenulls=True).over(before) for c in columns})
-    inside, both = _with_carry(rows, carry, order_by, partition_by)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    filled = both.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
-    return filled.filter("NOT _carried").select(*df.columns)
+    return previous_values(df, {}, order_by, bucket, partition_by, columns)
 
 
 def _tails(rows: DataFrame, last: Mapping[str, Column], partition_by: Sequence[str]) -> DataFrame:

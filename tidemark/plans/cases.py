@@ -5,19 +5,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import dateid
 from tidemark.operators.aggregate import month_rollup, sum_by
-from tidemark.operators.incremental import diff_with_seed, is_resume
+from tidemark.operators.incremental import FIRST_MARK, diff_with_seed, is_resume
 from tidemark.operators.joins import join_totals
 from tidemark.operators.reshape import dates_in_range, pack_columns, quoted, unpack_dates
 from tidemark.operators.select import having, without
 from tidemark.operators.windows import add_previous_diff
-from tidemark.plans.steps import bounds, pending, refresh_months, stored_until
-from tidemark.schemas import TABLES
+from tidemark.plans.steps import UP_TO_DATE, Report, bounds, finished, pending, refresh_months, seed_rows
+from tidemark.schemas import TABLES, conform
 from tidemark.sinks.warehouse import Warehouse
 from tidemark.sources.files import read_delimited, read_wide_csv
 
@@ -136,24 +136,36 @@ def _extract(
     end: dt.date | None,
     skip_first: int,
     lookback_days: int,
-) -> bool:
+) -> Report:
     deaths, confirmed = frames
     mark = wh.mark(raw)
     available = dates_in_range(deaths.columns, until=end or dt.date.today(), skip_first=skip_first)
     shared = {n: d for n, d in available.items() if n in set(confirmed.columns)}
     todo = bounds(mark, max(shared.values()), lookback_days) if shared else None
     if todo is None:
-        return False
+        return UP_TO_DATE
     dates = {n: d for n, d in shared.items() if todo.low is None or d > todo.low}
     rename = {"Country/Region": COUNTRY, "Long": "Long_"}
     rows = counts_by_day(deaths, confirmed, key, ids, dates).withColumnsRenamed(rename)
-    places = deaths.selectExpr(*map(quoted, ids)).withColumnsRenamed(rename)
-    wh.load(raw, having(rows, "Lat"), todo.low)
-    if not is_resume(mark):
-        wh.replace(dim, having(places, "Lat"))
-        wh.set_mark(dim, todo.end)
-    wh.set_mark(raw, todo.end)
-    return True
+    read = Observation()
+    observed = wh.load(raw, having(rows.observe(read, F.count(F.lit(1)).alias("n")), "Lat"))
+    places = having(deaths.selectExpr(*map(quoted, ids)).withColumnsRenamed(rename), "Lat")
+    _add_places(wh, dim, places, rename.get(key, key), todo.end)
+    finished(wh, raw, todo)
+    return Report(True, observed["n_rows"], {"without a position": read.get["n"] - observed["n_rows"]})
+
+
+def _add_places(wh: Warehouse, dim: str, places: DataFrame, key: str, end: dt.date) -> None:
+    """Places of the first file, later those that a file has for the first time."""
+    if not is_resume(wh.mark(dim)):
+        wh.replace(dim, places)
+    else:
+        stored = wh.read(dim)
+        new = conform(places, dim).join(stored, key, "left_anti")
+        if new.isEmpty():
+            return
+        wh.replace(dim, stored.unionByName(new))
+    wh.set_mark(dim, end)
 
 
 def extract_us(
@@ -163,7 +175,7 @@ def extract_us(
     end: dt.date | None = None,
     skip_first: int = 0,
     lookback_days: int = 0,
-) -> bool:
+) -> Report:
     """B1: the county files to raw rows and, on the first load, the county dimension."""
     frames = (
         read_wide_csv(wh.spark, deaths_csv, US_IDS),
@@ -181,7 +193,7 @@ def extract_global(
     end: dt.date | None = None,
     skip_first: int = 0,
     lookback_days: int = 0,
-) -> bool:
+) -> Report:
     """B2: the country files to raw rows and, on the first load, the country list."""
     frames = (
         country_rows(read_wide_csv(wh.spark, deaths_csv, GLOBAL_IDS)),
@@ -201,27 +213,27 @@ def extract_global(
     )
 
 
-def transform_raw_to_fact_us(wh: Warehouse, lookback_days: int = 0) -> bool:
+def transform_raw_to_fact_us(wh: Warehouse, lookback_days: int = 0) -> Report:
     """New county days to state facts."""
-    return _transform(wh, "covid19_us_fact", "covid19_us_raw", state_fact, lookback_days)
+    return _transform(wh, "covid19_us_fact", "covid19_us_raw", state_fact, STATE, lookback_days)
 
 
-def transform_raw_to_fact_global(wh: Warehouse, lookback_days: int = 0) -> bool:
+def transform_raw_to_fact_global(wh: Warehouse, lookback_days: int = 0) -> Report:
     """New country days to country facts."""
-    return _transform(wh, "covid19_global_fact", "covid19_global_raw", country_fact, lookback_days)
+    return _transform(wh, "covid19_global_fact", "covid19_global_raw", country_fact, COUNTRY, lookback_days)
 
 
-def _transform(wh: Warehouse, target: str, source: str, build, lookback_days: int) -> bool:
+def _transform(wh: Warehouse, target: str, source: str, build, entity: str, lookback_days: int) -> Report:
     todo = pending(wh, target, source, lookback_days)
     if todo is None:
-        return False
+        return UP_TO_DATE
     new = wh.read(source, after=todo.low, until=todo.end)
-    wh.load(target, build(new, stored_until(wh, target, todo.low)), todo.low)
-    wh.set_mark(target, todo.end)
-    return True
+    observed = wh.load(target, build(new, seed_rows(wh, target, todo.low, entity, new)))
+    finished(wh, target, todo)
+    return Report(True, observed["n_rows"])
 
 
-def aggregate_fact_to_monthly_fact_us(wh: Warehouse, lookback_days: int = 0) -> bool:
+def aggregate_fact_to_monthly_fact_us(wh: Warehouse, lookback_days: int = 0) -> Report:
     """State months touched by new days."""
     return refresh_months(
         wh,
@@ -234,7 +246,7 @@ def aggregate_fact_to_monthly_fact_us(wh: Warehouse, lookback_days: int = 0) ->
     )
 
 
-def aggregate_fact_to_monthly_fact_global(wh: Warehouse, lookback_days: int = 0) -> bool:
+def aggregate_fact_to_monthly_fact_global(wh: Warehouse, lookback_days: int = 0) -> Report:
     """Country months touched by new days."""
     return refresh_months(
         wh,
@@ -247,17 +259,17 @@ def aggregate_fact_to_monthly_fact_global(wh: Warehouse, lookback_days: int = 0)
     )
 
 
-def transform_raw_to_dim_country(wh: Warehouse, country_csv: str) -> bool:
+def transform_raw_to_dim_country(wh: Warehouse, country_csv: str) -> Report:
     """The ``;`` separated country file to the country dimension."""
     if is_resume(wh.mark("country_dim")):
-        return False
+        return UP_TO_DATE
     schema = TABLES["country_dim"].schema
-    wh.replace("country_dim", read_delimited(wh.spark, country_csv, schema))
+    observed = wh.replace("country_dim", read_delimited(wh.spark, country_csv, schema))
     wh.set_mark("country_dim", dt.date.today())
-    return True
+    return Report(True, observed["n_rows"])
 
 
-def aggregate_fact_to_sum_fact(wh: Warehouse, lookback_days: int = 0) -> bool:
+def aggregate_fact_to_sum_fact(wh: Warehouse, lookback_days: int = 0) -> Report:
     """New days that both facts have reached to totals.
 
     A day waits until the slower of the two has it; it would be lost if the
@@ -265,18 +277,18 @@ def aggregate_fact_to_sum_fact(wh: Warehouse, lookback_days: int = 0) -> bool:
     """
     target, source, other = "covid19_sum_fact", "covid19_us_fact", "covid19_global_fact"
     marks = wh.marks()
-    end = min(marks[source], marks[other])
-    todo = bounds(marks[target], end, lookback_days) if is_resume(end) else None
+    end = min(marks.get(source, FIRST_MARK), marks.get(other, FIRST_MARK))
+    todo = bounds(marks.get(target, FIRST_MARK), end, lookback_days) if is_resume(end) else None
     if todo is None:
-        return False
+        return UP_TO_DATE
     us = wh.read(source, after=todo.low, until=todo.end)
     world = wh.read(other, after=todo.low, until=todo.end)
-    wh.load(target, totals_fact(us, world, stored_until(wh, target, todo.low)), todo.low)
-    wh.set_mark(target, todo.end)
-    return True
+    observed = wh.load(target, totals_fact(us, world, seed_rows(wh, target, todo.low, None, us)))
+    finished(wh, target, todo)
+    return Report(True, observed["n_rows"])
 
 
-def aggregate_fact_to_sum_monthly_fact(wh: Warehouse, lookback_days: int = 0) -> bool:
+def aggregate_fact_to_sum_monthly_fact(wh: Warehouse, lookback_days: int = 0) -> Report:
     """Total months touched by new days."""
     return refresh_months(
         wh,

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_name
 from tidemark.functions.values import zero_all_numbers
-from tidemark.operators.aggregate import month_rollup
+from tidemark.operators.aggregate import last_per_key, month_rollup
+from tidemark.operators.incremental import FIRST_MARK, is_resume
 from tidemark.operators.joins import cases_with_market, series_with_facts
 from tidemark.operators.windows import add_previous_diff, forward_fill
 from tidemark.plans.cases import TOTALS
 from tidemark.plans.markets import SCORES
-from tidemark.plans.steps import pending, refresh_months
+from tidemark.plans.steps import UP_TO_DATE, Report, bounds, finished, pending, refresh_months, seed_rows
 from tidemark.sinks.warehouse import Warehouse
 
 ROLLUP = {**dict.fromkeys(TOTALS, "max"), **dict.fromkeys(SCORES, "avg")}
@@ -64,35 +67,45 @@ def series_and_cases(series: DataFrame, monthly: DataFrame) -> DataFrame:
 # -- jobs -----------------------------------------------------------------
 
 
-def consolidate_covid_stock(wh: Warehouse, lookback_days: int = 0) -> bool:
-    """New case days with market levels filled from the whole history."""
+def consolidate_covid_stock(wh: Warehouse, lookback_days: int = 0) -> Report:
+    """New case days, and days whose market levels came later, with levels filled from the last stored ones.
+
+    Levels that arrive for days already stored take the mark back to before
+    them (``finished``), so these days are among the ones loaded here.
+    """
     target, source = "covid_stock_fact", "covid19_sum_fact"
     todo = pending(wh, target, source, lookback_days)
     if todo is None:
-        return False
-    joined = cases_and_market(wh.read(source, until=todo.end), wh.read("stock_index_fact"))
-    if todo.low is not None:
-        joined = joined.filter(F.col("date") > todo.low)
-    wh.load(target, joined, todo.low)
-    wh.set_mark(target, todo.end)
-    return True
-
-
-def aggregate_covid_stock_monthly_fact(wh: Warehouse, lookback_days: int = 0) -> bool:
+        return UP_TO_DATE
+    cases = wh.read(source, after=todo.low, until=todo.end)
+    market = wh.read("stock_index_fact", after=todo.low, until=todo.end)
+    joined = cases_with_market(cases, market, SCORES)
+    earlier = seed_rows(wh, target, todo.low, None, cases)
+    if earlier is not None:
+        last = last_per_key(earlier, [], "date").select(*joined.columns)
+        joined = joined.unionByName(last)
+    filled = forward_fill(joined, SCORES, "dateid")
+    observed = wh.load(target, filled if todo.low is None else filled.filter(F.col("date") > todo.low))
+    finished(wh, target, todo)
+    return Report(True, observed["n_rows"])
+
+
+def aggregate_covid_stock_monthly_fact(wh: Warehouse, lookback_days: int = 0) -> Report:
     """Months touched by new days."""
     return refresh_months(
         wh, "covid_stock_monthly_fact", "covid_stock_fact", ROLLUP, TOTALS, lookback_days=lookback_days
     )
 
 
-def consolidate_covid_stock_bol(wh: Warehouse) -> bool:
-    """The labour table, written anew whenever months or series have moved on."""
-    target = "covid_stock_bol_monthly_fact"
+def consolidate_covid_stock_bol(wh: Warehouse, lookback_days: int = 0) -> Report:
+    """The labour table; months that either input has touched are written anew, others stay."""
+    target, months, series = "covid_stock_bol_monthly_fact", "covid_stock_monthly_fact", "bol_series_fact"
     marks = wh.marks()
-    end = max(marks["covid_stock_monthly_fact"], marks["bol_series_fact"])
-    if marks[target] >= end:
-        return False
-    rows = series_and_cases(wh.read("bol_series_fact"), wh.read("covid_stock_monthly_fact"))
-    wh.replace(target, rows)
-    wh.set_mark(target, end)
-    return True
+    end = max(marks.get(months, FIRST_MARK), marks.get(series, FIRST_MARK))
+    todo = bounds(marks.get(target, FIRST_MARK), end, lookback_days) if is_resume(end) else None
+    if todo is None:
+        return UP_TO_DATE
+    after = None if todo.low is None else (todo.low + dt.timedelta(days=1)).replace(day=1) - dt.timedelta(days=1)
+    observed = wh.load(target, series_and_cases(wh.read(series, after=after), wh.read(months, after=after)))
+    finished(wh, target, todo)
+    return Report(True, observed["n_rows"])

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tidemark.operators.joins import describe_series
 from tidemark.operators.reshape import as_json, ordered_arrays
@@ -74,6 +75,21 @@ def top_places(fact: DataFrame, entity: str, end: dt.date, k: int, source: DataF
     return top_k(day, k, "confirmed", entity).select(entity, "confirmed", "deaths")
 
 
+def top_places_of_days(daily: DataFrame, entity: str, end: dt.date, k: int) -> DataFrame:
+    """Q2, Q3 from counts per place and day: the totals of the ``k`` first places on the (clamped) end date.
+
+    Days after the end are left out before anything is summed, and the last
+    day of the data is found in the same pass: one scan, one shuffle of days.
+    """
+    day, last = F.col("date"), F.lit(end)
+    upto = F.when(day <= last, day)
+    sums = [F.sum(F.when(day <= last, F.col(c))).alias(c) for c in ("confirmed", "deaths")]
+    places = daily.groupBy(entity).agg(*sums, F.max(upto).alias("_own"), F.max(day).alias("_last"))
+    whole = F.max("_last").over(Window.partitionBy(F.lit(1)))
+    shown = places.withColumn("_day", F.least(last, whole)).filter(F.col("_own") == F.col("_day"))
+    return top_k(shown, k, "confirmed", entity, "_day").select(entity, "confirmed", "deaths")
+
+
 def top_places_json(fact: DataFrame, entity: str, end: dt.date, k: int, source: DataFrame | None = None) -> DataFrame:
     """Q2, Q3 as JSON objects."""
     return as_json(top_places(fact, entity, end, k, source))
@@ -143,11 +159,8 @@ def change_from_base(
 
 
 def correlations(series: DataFrame, monthly: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Q10: correlation of every series with each measure over the months both have.
-
-    ``monthly`` has one row per month and is broadcast for it, as in J5.
-    """
-    months = F.broadcast(monthly.select("dateid", *measures))
+    """Q10: correlation of every series with each measure over the months both have."""
+    months = monthly.select("dateid", *measures)
     joined = series.select("dateid", "series_id", "value").join(months, "dateid")
     found = (F.corr("value", F.col(m).cast("double")).alias(f"corr_{m}") for m in measures)
     return joined.groupBy("series_id").agg(F.count("value").alias("n_months"), *found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import dateid
@@ -14,18 +14,17 @@ from tidemark.operators.incremental import is_resume
 from tidemark.operators.quality import missing_entities
 from tidemark.operators.select import in_range
 from tidemark.operators.windows import forward_fill
-from tidemark.plans.steps import bounds, pending, refresh_months, stored_until
+from tidemark.plans.steps import UP_TO_DATE, Bounds, Report, bounds, finished, pending, refresh_months, seed_rows
 from tidemark.schemas import conform
+from tidemark.scratch import stored
 from tidemark.sinks.texts import write_text_list
 from tidemark.sinks.warehouse import Warehouse
 from tidemark.sources.files import read_series_csv, read_text_list
 from tidemark.sources.markup import ticker_rows
 from tidemark.sources.prices import good_prices, quarantined, read_price_files
 
-# Index series and the score columns they fill; the first day of prices and indexes.
+# Index series and the score columns they fill.
 INDEX_COLUMNS = {"djia": "dowjones_score", "nasdaq100": "nasdaq100_score", "sp500": "sp500_score"}
-FIRST_INDEX_DAY = dt.date(2020, 1, 2)
-FIRST_PRICE_DAY = dt.date(2020, 1, 1)
 
 SCORES = tuple(INDEX_COLUMNS.values())
 PRICE_ROLLUP = {"High": "avg", "Low": "avg", "Open": "avg", "Close": "avg", "Volume": "sum", "adj_close": "avg"}
@@ -35,17 +34,17 @@ PRICE_ROLLUP = {"High": "avg", "Low": "avg", "Open": "avg", "Close": "avg", "Vol
 
 
 def index_fact(
-    wide: DataFrame, stored: DataFrame | None = None, columns: Mapping[str, str] = INDEX_COLUMNS
+    wide: DataFrame, earlier: DataFrame | None = None, columns: Mapping[str, str] = INDEX_COLUMNS
 ) -> DataFrame:
     """Index levels per day; a missing level repeats the last known one.
 
-    Days before the first known level get 0. ``stored`` hands over the last
-    levels of an earlier load.
+    Days before the first known level get 0. ``earlier`` hands over the last
+    levels of loads before.
     """
     scores = list(columns.values())
     days = wide.select("date", *(F.col(c).alias(name) for c, name in columns.items())).withColumn("_new", F.lit(True))
-    if stored is not None:
-        seed = last_per_key(stored.select("date", *scores), [], "date")
+    if earlier is not None:
+        seed = last_per_key(earlier.select("date", *scores), [], "date")
         days = days.unionByName(seed.withColumn("_new", F.lit(False)))
     filled = forward_fill(days, scores, "date", initial=0.0).filter("_new")
     return filled.select(dateid(F.col("date")).alias("dateid"), "date", *scores)
@@ -71,17 +70,17 @@ def price_monthly(fact: DataFrame) -> DataFrame:
 
 def extract_sp500_tickers(
     wh: Warehouse, pages: DataFrame, ticker_list: str | None = None, markup: str = "html"
-) -> bool:
+) -> Report:
     """The ticker table of a landed page to ticker rows and, if wanted, a ticker list."""
     name = "stock_ticker_raw"
     if is_resume(wh.mark(name)):
-        return False
+        return UP_TO_DATE
     rows = ticker_rows(pages, markup)
-    wh.replace(name, rows)
+    observed = wh.replace(name, rows)
     if ticker_list is not None:
         write_text_list(wh.read(name), "ticker", ticker_list)
     wh.set_mark(name, dt.date.today())
-    return True
+    return Report(True, observed["n_rows"])
 
 
 def extract_batch_stock(
@@ -90,70 +89,83 @@ def extract_batch_stock(
     error_dir: str,
     end: dt.date | None = None,
     lookback_days: int = 0,
-) -> bool:
+    start: dt.date | None = None,
+) -> Report:
     """Price files to raw rows; broken lines and tickers without rows are set aside.
 
-    A file that cannot be used does not stop the others.
+    A first load takes all days from ``start`` on, without it all there are. A
+    file that cannot be used does not stop the others. The folder is parsed
+    once, its lines are kept until good and broken ones are stored.
     """
     name = "stock_price_raw"
     todo = bounds(wh.mark(name), end or dt.date.today(), lookback_days)
     if todo is None:
-        return False
-    start = FIRST_PRICE_DAY if todo.low is None else todo.low + dt.timedelta(days=1)
-    lines = read_price_files(wh.spark, price_dir)
-    prices = in_range(good_prices(lines), start, todo.end)
-    observed = wh.load(name, prices, todo.low)
-    _set_aside(lines, error_dir)
-    stored = wh.read(name, after=start - dt.timedelta(days=1), until=todo.end)
+        return UP_TO_DATE
+    first = start if todo.low is None else todo.low + dt.timedelta(days=1)
+    lines = stored(read_price_files(wh.spark, price_dir), "price-lines")
+    observed = wh.load(name, in_range(good_prices(lines), first, todo.end))
+    broken = _set_aside(lines, error_dir)
+    recent = wh.read(name, after=None if first is None else first - dt.timedelta(days=1), until=todo.end)
     tickers = wh.read("stock_ticker_raw").select(F.col("ticker").alias("stock_ticker"))
-    write_text_list(missing_entities(tickers, stored, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
+    write_text_list(missing_entities(tickers, recent, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
     if observed["max_date"] is None:
-        return False
-    wh.set_mark(name, max(observed["max_date"], todo.low or observed["max_date"]))
-    return True
+        return UP_TO_DATE
+    finished(wh, name, todo, observed["max_date"])
+    return Report(True, observed["n_rows"], {"broken lines": broken})
 
 
 def extract_single_date_stock(
     wh: Warehouse, price_dir: str, error_dir: str, date: dt.date, ticker_list: str | None = None
-) -> None:
+) -> Report:
     """Prices of one day, for the tickers of a text list or of the ticker table.
 
     The day is stored again if it was there before. The mark stays.
     """
-    lines = read_price_files(wh.spark, price_dir)
+    lines = stored(read_price_files(wh.spark, price_dir), "price-lines")
     if ticker_list is None:
         tickers = wh.read("stock_ticker_raw").select(F.col("ticker").alias("stock_ticker"))
     else:
         tickers = read_text_list(wh.spark, ticker_list, "stock_ticker")
     prices = in_range(good_prices(lines), date, date).join(tickers.distinct(), "stock_ticker", "left_semi")
-    wh.load("stock_price_raw", prices, None)
-    _set_aside(lines, error_dir)
-    stored = wh.read("stock_price_raw", after=date - dt.timedelta(days=1), until=date)
-    write_text_list(missing_entities(tickers, stored, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
+    observed = wh.load("stock_price_raw", prices)
+    broken = _set_aside(lines, error_dir)
+    loaded = wh.read("stock_price_raw", after=date - dt.timedelta(days=1), until=date)
+    write_text_list(missing_entities(tickers, loaded, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
+    if wh.mark("stock_price_raw") >= date:
+        finished(wh, "stock_price_raw", Bounds(date - dt.timedelta(days=1), date))
+    return Report(True, observed["n_rows"], {"broken lines": broken})
 
 
-def _set_aside(lines: DataFrame, error_dir: str) -> None:
-    quarantined(lines).write.mode("overwrite").json(f"{error_dir}/broken_lines")
+def _set_aside(lines: DataFrame, error_dir: str) -> int:
+    """Add the broken lines of a run to those of earlier runs; how many there were."""
+    found = Observation()
+    broken = quarantined(lines).observe(found, F.count(F.lit(1)).alias("n"))
+    broken.write.mode("append").json(f"{error_dir}/broken_lines")
+    return found.get["n"]
 
 
 def extract_major_stock_indexes(
-    wh: Warehouse, index_csv: str, end: dt.date | None = None, lookback_days: int = 0
-) -> bool:
-    """Index levels to index facts."""
+    wh: Warehouse,
+    index_csv: str,
+    end: dt.date | None = None,
+    lookback_days: int = 0,
+    start: dt.date | None = None,
+) -> Report:
+    """Index levels to index facts; a first load takes all days from ``start`` on, without it all there are."""
     name = "stock_index_fact"
     todo = bounds(wh.mark(name), end or dt.date.today(), lookback_days)
     if todo is None:
-        return False
-    start = FIRST_INDEX_DAY if todo.low is None else todo.low + dt.timedelta(days=1)
-    wide = read_series_csv(wh.spark, index_csv, list(INDEX_COLUMNS), start, todo.end)
-    observed = wh.load(name, index_fact(wide, stored_until(wh, name, todo.low)), todo.low)
+        return UP_TO_DATE
+    first = start if todo.low is None else todo.low + dt.timedelta(days=1)
+    wide = read_series_csv(wh.spark, index_csv, list(INDEX_COLUMNS), first, todo.end)
+    observed = wh.load(name, index_fact(wide, seed_rows(wh, name, todo.low, None, wide)))
     if observed["max_date"] is None:
-        return False
-    wh.set_mark(name, observed["max_date"])
-    return True
+        return UP_TO_DATE
+    finished(wh, name, todo, observed["max_date"])
+    return Report(True, observed["n_rows"])
 
 
-def aggregate_fact_to_monthly_fact_stock_index(wh: Warehouse, lookback_days: int = 0) -> bool:
+def aggregate_fact_to_monthly_fact_stock_index(wh: Warehouse, lookback_days: int = 0) -> Report:
     """Index months touched by new days."""
     return refresh_months(
         wh,
@@ -164,18 +176,18 @@ def aggregate_fact_to_monthly_fact_stock_index(wh: Warehouse, lookback_days: int
     )
 
 
-def transform_raw_to_fact_stock(wh: Warehouse, lookback_days: int = 0) -> bool:
+def transform_raw_to_fact_stock(wh: Warehouse, lookback_days: int = 0) -> Report:
     """New price rows to price facts."""
     target, source = "stock_price_fact", "stock_price_raw"
     todo = pending(wh, target, source, lookback_days)
     if todo is None:
-        return False
-    wh.load(target, price_fact(wh.read(source, after=todo.low, until=todo.end)), todo.low)
-    wh.set_mark(target, todo.end)
-    return True
+        return UP_TO_DATE
+    observed = wh.load(target, price_fact(wh.read(source, after=todo.low, until=todo.end)))
+    finished(wh, target, todo)
+    return Report(True, observed["n_rows"])
 
 
-def aggregate_fact_to_monthly_fact_stock(wh: Warehouse, lookback_days: int = 0) -> bool:
+def aggregate_fact_to_monthly_fact_stock(wh: Warehouse, lookback_days: int = 0) -> Report:
     """Price months touched by new days; earlier months stay."""
     return refresh_months(
         wh,

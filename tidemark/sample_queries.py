@@ -15,9 +15,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions import dates, values
 from tidemark.operators import aggregate, incremental, joins, quality, reshape, select, windows
-from tidemark.plans import cases, consolidate, dashboard, labour, markets
-from tidemark.scratch import scratch_folder, use_checkpoints
-from tidemark.sources import markup, nested
+from tidemark.plans import cases, consolidate, dashboard, labour, markets, steps
+from tidemark.schemas import TABLES
+from tidemark.scratch import scratch_folder, stored
+from tidemark.sinks.texts import write_text_list
+from tidemark.sinks.warehouse import Warehouse
+from tidemark.sources import files, markup, nested
 from tidemark.streaming import daily
 from tidemark import views
 
@@ -30,7 +33,6 @@ END = dt.date(2000, 12, 31)
 SPLIT = dt.date(1998, 6, 15)
 BEYOND = dt.date(2030, 1, 1)
 SHIFT_MONTHS = 240
-HEADER_YEARS = (2015, 2021)
 SLICE = (dt.date(2016, 2, 10), dt.date(2020, 10, 31))
 US = "AMERICA"
 
@@ -108,19 +110,24 @@ def _nation_daily(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return orders, shipped
 
 
-def _header_labels() -> list[str]:
-    first, last = HEADER_YEARS
-    return [f"{month}/1/{year % 100:02d}" for year in range(first, last + 1) for month in range(1, 13)]
+def _header_labels(spark: SparkSession, sf: str) -> list[str]:
+    """A header for every month from the first to the last order: the names of a wide frame are part of its plan."""
+    first, last = views.order_days(spark, sf).agg(F.min("date"), F.max("date")).first()
+    if first is None:
+        return []
+    months = range(dates.month_of(first) + SHIFT_MONTHS, dates.month_of(last) + SHIFT_MONTHS + 1)
+    return [f"{m % 12 + 1}/1/{m // 12 % 100:02d}" for m in months]
 
 
-def _wide(cumulated: DataFrame, place: str, measure: str) -> DataFrame:
+def _wide(spark: SparkSession, sf: str, cumulated: DataFrame, place: str, measure: str) -> DataFrame:
     """Month-end counts, one column per month, named like the columns of the landed files.
 
     The names are those of 20 years later, as a header means the years 20xx.
     """
     monthly = aggregate.month_rollup(cumulated, {measure: "max"}, [place])
-    label = F.date_format(F.add_months("date", SHIFT_MONTHS), dates.HEADER_PATTERN)
-    return monthly.withColumn("_label", label).groupBy(place).pivot("_label", _header_labels()).agg(F.first(measure))
+    label = F.date_format(F.add_months("date", SHIFT_MONTHS), "M/d/yy")
+    labels = _header_labels(spark, sf)
+    return monthly.withColumn("_label", label).groupBy(place).pivot("_label", labels).agg(F.first(measure))
 
 
 # -- facts of cases ---------------------------------------------------------
@@ -129,14 +136,14 @@ def _wide(cumulated: DataFrame, place: str, measure: str) -> DataFrame:
 @query
 def q2_topk_state(spark, sf):
     """Q2: F6, F9, O2 over A1."""
-    source = views.order_days(spark, sf)
-    return dashboard.top_places(_state_cumulative(spark, sf), "state", dt.date(2000, 6, 30), 10, source)
+    return dashboard.top_places_of_days(views.state_daily(spark, sf), "state", dt.date(2000, 6, 30), 10)
 
 
 @query
 def q3_topk_country(spark, sf):
     """Q3: the end date lies beyond the data and is clamped."""
-    return dashboard.top_places(_country_cumulative(spark, sf), "country", BEYOND, 3, views.order_days(spark, sf))
+    per_day = aggregate.sum_by(views.county_daily(spark, sf), ["country", "date"], cases.COUNTS)
+    return dashboard.top_places_of_days(per_day, "country", BEYOND, 3)
 
 
 @query
@@ -304,7 +311,7 @@ def unpivot_series(spark, sf):
 @query
 def wide_date_slice(spark, sf):
     """The date columns of ``(latest, end]`` of a wide frame, then long."""
-    wide = _wide(_state_cumulative(spark, sf), "state", "confirmed")
+    wide = _wide(spark, sf, _state_cumulative(spark, sf), "state", "confirmed")
     sliced = reshape.slice_dates(wide, ["state"], *SLICE)
     long = reshape.unpivot(sliced, ["state"], "label", "confirmed")
     dated = select.having(long, "confirmed").withColumn("date", dates.header_date(F.col("label")))
@@ -315,7 +322,7 @@ def wide_date_slice(spark, sf):
 def wide_counts_join(spark, sf):
     """Two wide frames joined on the place, both measures unpivoted together."""
     cumulated = _country_cumulative(spark, sf)
-    deaths, confirmed = (_wide(cumulated, "country", m) for m in ("deaths", "confirmed"))
+    deaths, confirmed = (_wide(spark, sf, cumulated, "country", m) for m in ("deaths", "confirmed"))
     header = reshape.dates_in_range(deaths.columns)
     long = cases.counts_by_day(deaths, confirmed, "country", ["country"], header)
     return present(select.having(long, "confirmed"))
@@ -493,7 +500,7 @@ def date_keys(spark, sf):
     """Every date function over every order date."""
     day = F.col("o_orderdate").cast("date")
     days = views.table(spark, sf, "orders").select(day.alias("date")).distinct()
-    label = F.date_format(F.add_months("date", SHIFT_MONTHS), dates.HEADER_PATTERN)
+    label = F.date_format(F.add_months("date", SHIFT_MONTHS), "M/d/yy")
     year, month = F.year("date"), F.month("date")
     keys = days.select(
         "date",
@@ -593,8 +600,7 @@ def html_tickers(spark, sf):
 def incremental_equals_full(spark, sf):
     """I4: a first load, then an increment with seeded differences, equals one full load."""
     raw = views.county_daily(spark, sf)
-    use_checkpoints(spark)
-    first = cases.state_fact(incremental.increment(raw, None, SPLIT), entity="state").checkpoint()
+    first = cases.state_fact(incremental.increment(raw, None, SPLIT), entity="state")
     later = cases.state_fact(incremental.increment(raw, SPLIT, BEYOND), stored=first, entity="state")
     return present(first.unionByName(later))
 
@@ -605,10 +611,9 @@ def month_upsert(spark, sf):
     days = _state_cumulative(spark, sf)
     how = dict.fromkeys(cases.COUNTS, "max")
     before = incremental.increment(days, None, SPLIT)
-    use_checkpoints(spark)
-    stored = incremental.upsert_months(before, None, None, how, cases.COUNTS, ["state"]).checkpoint()
-    touched = incremental.upsert_months(days, stored, SPLIT, how, cases.COUNTS, ["state"])
-    kept = stored.filter(F.col("date") < F.trunc(F.date_add(F.lit(SPLIT), 1), "MM"))
+    earlier = incremental.upsert_months(before, None, None, how, cases.COUNTS, ["state"])
+    touched = incremental.upsert_months(days, earlier, SPLIT, how, cases.COUNTS, ["state"])
+    kept = earlier.filter(F.col("date") < F.trunc(F.date_add(F.lit(SPLIT), 1), "MM"))
     return present(kept.unionByName(touched))
 
 
@@ -628,32 +633,221 @@ def high_water_marks(spark, sf):
 
 @query
 def stream_equals_batch(spark, sf):
-    """I8: the events as a file stream, loaded day by day, equal the batch result."""
+    """I8: the events as a file stream equal the batch result."""
+    # the table may be one file or a folder of files
+    return _streamed(spark, views.table(spark, sf, "events").schema, f"{sf}/events.parquet*", None)
+
+
+@query
+def stream_many_files(spark, sf):
+    """I8: events in several files, one file per micro-batch, every file with parts of every day."""
     events = views.table(spark, sf, "events")
+    folder = scratch_folder(spark, "landed")
+    events.repartition(5, "event_id").write.parquet(folder)
+    return _streamed(spark, events.schema, folder, 1)
+
+
+def _streamed(spark, schema, folder, files_per_batch):
     target, state = scratch_folder(spark, "stream"), scratch_folder(spark, "stream-state")
     daily.process_new_files(
         spark,
-        # the table may be one file or a folder of files
-        f"{sf}/events.parquet*",
-        events.schema,
-        lambda batch: daily.store_days(daily.daily_counts(batch), target),
+        folder,
+        schema,
+        lambda batch, number: daily.store_batch(daily.daily_counts(batch), target, number),
         state,
+        files_per_batch=files_per_batch,
+        numbered=True,
     )
-    return present(spark.read.schema("event_type string, n long, cents long, date date").parquet(target))
+    return present(daily.summed_batches(spark, target, ["event_type", "date"], ["n", "cents"]))
 
 
 @query
 def user_event_diff(spark, sf):
     """W1, W3, W4 on rows: the event before of each user, in buckets of bounded size.
 
-    Event ids grow with time, so a bucket of 100,000 ids holds no more rows
-    than that, however many events one user has.
+    Event ids grow with time, so a bucket of 1,000 ids holds no more rows than
+    that, however many events one user has. Both values travel in one pass.
     """
-    bucket = F.expr("event_id DIV 100000")
+    bucket = F.expr("event_id DIV 1000")
     errors = F.when(F.col("event_type") == "error", F.col("value"))
     events = views.table(spark, sf, "events").select("event_id", "user_id", "value", errors.alias("last_error"))
-    diffs = windows.add_previous_diff(events, ["value"], "event_id", ["user_id"], bucket)
-    return present(windows.forward_fill(diffs, ["last_error"], "event_id", ["user_id"], bucket=bucket))
+    both = windows.previous_values(events, {"value": "_before"}, "event_id", bucket, ["user_id"], ["last_error"])
+    return present(windows.with_differences(both, {"value": "_before"}).drop("_before"))
+
+
+# -- files, loads and marks ----------------------------------------------------
+
+
+def _warehouse(spark, names) -> Warehouse:
+    wh = Warehouse(spark, scratch_folder(spark, "warehouse"))
+    wh.reset(names)
+    return wh
+
+
+def _csv(df: DataFrame, sep: str = ",") -> str:
+    """One landed CSV file with a header."""
+    folder = scratch_folder(df.sparkSession, "landed")
+    df.coalesce(1).write.option("header", True).option("sep", sep).csv(folder)
+    return folder
+
+
+def _county_files(spark, sf) -> tuple[str, str]:
+    """Month-end counts of the nations as the wide files of counties: confirmed, deaths."""
+    cumulated = _state_cumulative(spark, sf)
+    nations = views.table(spark, sf, "nation").join(
+        views.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    place = nations.select(
+        F.col("n_name").alias("state"),
+        (F.col("n_nationkey") + 84000000).alias("UID"),
+        F.lit("US").alias("iso2"),
+        F.lit("USA").alias("iso3"),
+        F.lit(840).alias("code3"),
+        F.col("n_nationkey").cast("double").alias("FIPS"),
+        F.concat(F.lit("county, "), "n_name").alias("Admin2"),
+        F.col("n_name").alias("Province_State"),
+        F.col("r_name").alias("Country_Region"),
+        F.lit(32.5).alias("Lat"),
+        F.lit(-86.6).alias("Long_"),
+        F.concat("n_name", F.lit(", US")).alias("Combined_Key"),
+        F.lit(1000).alias("Population"),
+    )
+    files = []
+    for measure in cases.COUNTS:
+        wide = _wide(spark, sf, cumulated, "state", measure).na.fill(0)
+        ids = place if measure == "deaths" else place.drop("Population")
+        files.append(_csv(ids.join(wide, "state").drop("state")))
+    return files[0], files[1]
+
+
+US_TABLES = ("covid19_us_raw", "covid19_us_dim", "covid19_us_fact", "covid19_us_monthly_fact")
+
+
+@query
+def county_files_loaded(spark, sf):
+    """Wide files loaded in two steps by their marks, the second one repeated."""
+    confirmed, deaths = _county_files(spark, sf)
+    wh = _warehouse(spark, US_TABLES)
+    for end in (SLICE[0], SLICE[1], SLICE[1]):
+        cases.extract_us(wh, confirmed, deaths, end)
+        cases.transform_raw_to_fact_us(wh)
+    return present(wh.read("covid19_us_fact"))
+
+
+@query
+def country_file_loaded(spark, sf):
+    """A file with ``;`` to the country dimension."""
+    nation = views.table(spark, sf, "nation").join(
+        views.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    number = F.col("n_nationkey")
+    given = {
+        "code": F.format_string("%03d", number), "Name": F.col("n_name"), "Continent": F.col("r_name"),
+        "SurfaceArea": number * 1.5, "IndepYear": number + 1900, "Population": number * 1000, "Capital": number,
+    }
+    columns = [given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in TABLES["country_dim"].schema]
+    wh = _warehouse(spark, ["country_dim"])
+    cases.transform_raw_to_dim_country(wh, _csv(nation.select(*reversed(columns)), ";"))
+    return wh.read("country_dim").select("code", "Name", "Continent", "SurfaceArea", "IndepYear", "Population", "Capital")
+
+
+@query
+def series_file_loaded(spark, sf):
+    """A wide file of series, for the series of the stored dimension, in two steps."""
+    wide = views.series_wide(spark, sf)
+    wh = _warehouse(spark, ["bol_series_dim", "bol_series_fact"])
+    ids = [c for c in wide.columns if c not in ("date", "A-F")]
+    wh.replace("bol_series_dim", spark.createDataFrame([(c, "flag", None, None) for c in ids], TABLES["bol_series_dim"].schema))
+    path = _csv(wide)
+    for end in (SPLIT, BEYOND):
+        labour.extract_BOL(wh, path, end)
+    return present(wh.read("bol_series_fact"))
+
+
+@query
+def series_answers_loaded(spark, sf):
+    """Raw rows as JSON answers, stored once each, to one value per series and month."""
+    raw = views.series_raw(spark, sf)
+    points = F.collect_set(F.struct(F.col("year").cast("string").alias("year"), "period",
+                                    F.col("value").cast("string").alias("value"),
+                                    F.array().cast("array<struct<text:string>>").alias("footnotes")))
+    series = raw.groupBy(F.col("series_id").alias("seriesID")).agg(points.alias("data"))
+    answer = series.agg(F.struct(F.collect_list(F.struct("seriesID", "data")).alias("series")).alias("Results"))
+    folder = scratch_folder(spark, "answers")
+    answer.select(F.to_json(F.struct("Results"))).coalesce(1).write.text(folder)
+    wh = _warehouse(spark, ["bol_series_raw", "bol_series_fact"])
+    for _ in range(2):
+        labour.extract_series_json(wh, folder)
+    labour.transform_raw_to_fact_bol(wh, BEYOND)
+    return present(wh.read("bol_series_fact"))
+
+
+@query
+def text_list_round_trip(spark, sf):
+    """A text list written and read back."""
+    folder = scratch_folder(spark, "list")
+    write_text_list(views.table(spark, sf, "part").select("p_brand").distinct(), "p_brand", folder)
+    return files.read_text_list(spark, folder, "ticker")
+
+
+def _market_rows(spark, sf) -> DataFrame:
+    market = views.index_daily(spark, sf).withColumn("dateid", dates.dateid(F.col("date")))
+    return windows.forward_fill(market, markets.SCORES, "date", initial=0.0)
+
+
+MARKET_TABLES = ("covid19_sum_fact", "stock_index_fact", "covid_stock_fact", "covid_stock_monthly_fact")
+
+
+def _loaded_part(wh: Warehouse, name: str, rows: DataFrame, low: dt.date | None, end: dt.date) -> None:
+    """Rows in (low, end] of a table that other jobs fill, with their mark."""
+    wh.load(name, incremental.increment(rows, low, end))
+    steps.finished(wh, name, steps.Bounds(low, end))
+
+
+@query
+def late_index_equals_full(spark, sf):
+    """Cases consolidated while the index lags, and again when it has come, equal one full load."""
+    wh = _warehouse(spark, MARKET_TABLES)
+    market = stored(_market_rows(spark, sf), "market")
+    _loaded_part(wh, "covid19_sum_fact", _totals(spark, sf), None, END)
+    _loaded_part(wh, "stock_index_fact", market, None, SPLIT)
+    consolidate.consolidate_covid_stock(wh)
+    _loaded_part(wh, "stock_index_fact", market, SPLIT, END)
+    consolidate.consolidate_covid_stock(wh)
+    return present(wh.read("covid_stock_fact"))
+
+
+@query
+def late_series_equals_full(spark, sf):
+    """Series that come after the cases are beside them, whatever came first."""
+    wh = _warehouse(spark, (*MARKET_TABLES, "bol_series_fact", "covid_stock_bol_monthly_fact"))
+    series = stored(_series(spark, sf), "series")
+    _loaded_part(wh, "stock_index_fact", _market_rows(spark, sf), None, END)
+    _loaded_part(wh, "covid19_sum_fact", _totals(spark, sf), None, END)
+    _loaded_part(wh, "bol_series_fact", series, None, SPLIT)
+    for low, end in ((None, None), (SPLIT, END)):
+        if end is not None:
+            _loaded_part(wh, "bol_series_fact", series, low, end)
+        consolidate.consolidate_covid_stock(wh)
+        consolidate.aggregate_covid_stock_monthly_fact(wh)
+        consolidate.consolidate_covid_stock_bol(wh)
+    kept = ("date", "bol_series_id", "bol_series_value", "us_confirmed", "global_deaths_inc", "sp500_score")
+    return present(wh.read("covid_stock_bol_monthly_fact").select(*kept), 7)
+
+
+@query
+def warehouse_marks(spark, sf):
+    """Marks set from the data, one table reset, read back."""
+    wh = _warehouse(spark, US_TABLES)
+    last = {
+        name: views.table(spark, sf, source).agg(F.max(F.col(column).cast("date"))).first()[0]
+        for name, source, column in (("covid19_us_raw", "orders", "o_orderdate"), ("covid19_us_fact", "lineitem", "l_shipdate"),
+                                     ("covid19_us_dim", "events", "ts"))
+    }
+    wh.set_marks(last)
+    wh.reset(["covid19_us_dim"])
+    marks = wh.read("latest_data").filter(F.col("table_name").isin(*US_TABLES))
+    return marks.select("table_name", dates.iso_text(F.col("latest_date")).alias("latest"))
 
 
 # -- quality ----------------------------------------------------------------

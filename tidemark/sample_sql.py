@@ -408,11 +408,11 @@ SQL: dict[str, str] = {
         WITH items AS (SELECT page_id, regexp_extract_all(html, '(?s)<li(?:\s[^>]*)?>(.*?)</li>', 1) AS all_items FROM pages),
         one AS (SELECT page_id, unnest(all_items) AS item,
                        CAST(generate_subscripts(all_items, 1) - 1 AS INTEGER) AS pos FROM items)
-        SELECT page_id, pos, regexp_extract(item, '<a href="([^"]*)"', 1) AS href,
+        SELECT page_id, pos, split_part(split_part(substr(item, position('<a ' IN item)), 'href="', 2), '"', 1) AS href,
                rtrim(replace(replace(replace(replace(replace(replace(regexp_replace(item, '<[^>]*>', '', 'g'),
                    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
                    chr(13) || chr(10)) AS label
-        FROM one""",
+        FROM one WHERE item LIKE '%<a %href="%'""",
     "html_tickers": """
         SELECT p_brand || '-' || p_partkey AS ticker, p_name AS name, p_type AS industry, 'a & b' AS subindustry,
                p_name AS hq_location, CAST(p_partkey AS VARCHAR) AS cik, CAST(p_size + 1900 AS INTEGER) AS founded_year
@@ -429,6 +429,64 @@ SQL: dict[str, str] = {
     "stream_equals_batch": """
         SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, COUNT(*) AS n,
                CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1, 2""",
+    "stream_many_files": """
+        SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, COUNT(*) AS n,
+               CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1, 2""",
+    "county_files_loaded": with_views(
+        "state_cum",
+        f""", m AS (SELECT state, CAST(date_trunc('month', date) + INTERVAL 20 YEAR AS DATE) AS date,
+                    MAX(confirmed) AS confirmed, MAX(deaths) AS deaths FROM state_cum GROUP BY 1, 2),
+        span AS (SELECT MIN(date) AS a, MAX(date) AS b FROM m),
+        months AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE) AS date FROM span),
+        grid AS (SELECT g.state, g.date, COALESCE(m.confirmed, 0) AS confirmed, COALESCE(m.deaths, 0) AS deaths
+                 FROM (SELECT DISTINCT state, months.date FROM m CROSS JOIN months) g
+                 LEFT JOIN m ON m.state = g.state AND m.date = g.date)
+        SELECT {dateid('date')}, state AS "Province_State", {iso('date')}, confirmed, deaths, {diffs(COUNTS, 'state')}
+        FROM grid WHERE grid.date <= DATE '2020-10-31'""",
+    ),
+    "country_file_loaded": """
+        SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS code, n_name AS "Name", r_name AS "Continent",
+               n_nationkey * CAST(1.5 AS DOUBLE) AS "SurfaceArea", n_nationkey + 1900 AS "IndepYear",
+               n_nationkey * 1000 AS "Population", n_nationkey AS "Capital"
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "series_file_loaded": with_views(
+        "series",
+        f""", ids AS (SELECT DISTINCT series_id FROM series WHERE series_id <> 'A-F'),
+        days AS (SELECT DISTINCT date FROM series)
+        SELECT {iso('days.date')}, {dateid('days.date')}, ids.series_id, value FROM days CROSS JOIN ids
+        LEFT JOIN series s ON s.date = days.date AND s.series_id = ids.series_id""",
+    ),
+    "series_answers_loaded": f"""
+        SELECT {dateid('date')}, concat(l_returnflag, '-', l_linestatus) AS series_id, {iso('date')},
+               MIN(l_quantity) AS value
+        FROM (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS date FROM lineitem)
+        GROUP BY l_returnflag, l_linestatus, date""",
+    "text_list_round_trip": "SELECT DISTINCT p_brand AS ticker FROM part",
+    "late_index_equals_full": with_views(
+        "both_day idx",
+        f""", levels AS (SELECT date, {fills(SCORES, initial='0')} FROM idx),
+        days AS (SELECT date, {', '.join(TOTALS)}, {diffs(TOTALS)} FROM both_day),
+        joined AS (SELECT days.*, {', '.join(SCORES)} FROM days LEFT JOIN levels ON days.date = levels.date)
+        SELECT {dateid('date')}, * REPLACE (strftime(date, '%Y-%m-%d') AS date, {fills(SCORES)}) FROM joined
+        WHERE joined.date <= DATE '2000-12-31'""",
+    ),
+    "late_series_equals_full": with_views(
+        "both_day idx series",
+        f""", levels AS (SELECT date, {fills(SCORES, initial='0')} FROM idx),
+        days AS (SELECT date, {', '.join(TOTALS)}, {diffs(TOTALS)} FROM both_day WHERE date <= DATE '2000-12-31'),
+        joined AS (SELECT days.*, {', '.join(SCORES)} FROM days LEFT JOIN levels ON days.date = levels.date),
+        daily AS (SELECT * REPLACE ({fills(SCORES)}) FROM joined)"""
+        + MONTHLY
+        + SERIES_CASES
+        + f""" SELECT {iso('date')}, series_id AS bol_series_id, COALESCE(value, 0) AS bol_series_value,
+            COALESCE(us_confirmed, 0) AS us_confirmed, COALESCE(global_deaths_inc, 0) AS global_deaths_inc,
+            ROUND(COALESCE(sp500_score, 0), 7) AS sp500_score
+        FROM labour WHERE labour.date <= DATE '2000-12-31'""",
+    ),
+    "warehouse_marks": """
+        SELECT 'covid19_us_raw' AS table_name, strftime(MAX(o_orderdate), '%Y-%m-%d') AS latest FROM orders
+        UNION ALL SELECT 'covid19_us_fact', strftime(MAX(l_shipdate), '%Y-%m-%d') FROM lineitem
+        UNION ALL SELECT 'covid19_us_dim', '1990-01-01' UNION ALL SELECT 'covid19_us_monthly_fact', '1990-01-01'""",
     "user_event_diff": """
         WITH w AS (SELECT event_id, user_id, value,
                           COALESCE(LAG(value) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS prev,

@@ -117,6 +117,7 @@ def _table(name: str, fields, **options) -> Table:
     return Table(name, schema, **options)
 
 
+# Names, columns, types, keys and text lengths of the tables.
 _COUNTRY = {"Country_Region": ("covid19_global_dim", "Country_Region")}
 _TICKER = {"stock_ticker": ("stock_ticker_raw", "ticker")}
 
@@ -307,6 +308,7 @@ _ALL = [
         key=("dateid", "bol_series_id"),
         references={"bol_series_id": ("bol_series_dim", "series_id")},
         lengths={"month_name": 32, "bol_series_id": 64},
+        layout=BY_MONTH,
     ),
 ]
 

@@ -1,31 +1,39 @@
 """The star schema as Parquet directories.
 
-Every write can be repeated: daily loads replace whole date or month
-directories by dynamic partition overwrite, and the high-water mark moves only
-after the data is stored. A run that dies in between is simply run again.
+Every write is staged, checked and then published. Staged rows lie in a folder
+of their own until NOT NULL, lengths and keys have been checked; a violation
+leaves the table as it was. A marker file then declares them ready and their
+directories are moved into place. If a run dies while moving, the next write
+(or ``recover``) finishes the moves; without the marker the staged rows are
+thrown away. A month that has begun is staged whole, so nothing is ever read
+from what is being replaced. Marks move only after the data is stored.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.incremental import FIRST_MARK, is_resume
-from tidemark.operators.quality import check_observed, violation_counts
+from tidemark.operators.incremental import FIRST_MARK, SEED_MARK
+from tidemark.operators.quality import check_observed, duplicate_keys, violation_counts
 from tidemark.schemas import BY_MONTH, TABLES, Table, conform
+from tidemark.scratch import stored
 from tidemark.sources.seeds import initial_marks, labour_series
-from tidemark.scratch import use_checkpoints
+from tidemark.storage import Folders
 
 MARKS = "latest_data"
+_STAGED = "_staged"
+_WHOLE, _PARTS = "_READY_WHOLE", "_READY_PARTS"
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables under one root directory, used with one session."""
+    """Tables under one root directory, used with one session and one writer at a time."""
 
     spark: SparkSession
     root: str
@@ -36,17 +44,22 @@ class Warehouse:
     # -- tables -----------------------------------------------------------
 
     def reset(self, names: Iterable[str] = tuple(TABLES)) -> None:
-        """Tables empty again, the series dimension and the marks seeded."""
+        """The named tables empty again with their first marks, the series dimension seeded.
+
+        Other tables and their marks stay.
+        """
         names = set(names)
-        for name in names:
-            empty = self.spark.createDataFrame([], TABLES[name].schema)
-            empty.write.mode("overwrite").parquet(self.path(name))
-        if "bol_series_dim" in names:
-            self.replace("bol_series_dim", labour_series(self.spark))
-        initial_marks(self.spark).coalesce(1).write.mode("overwrite").parquet(self.path(MARKS))
+        known = Folders(self.spark).exists(self.path(MARKS)) and MARKS not in names
+        marks = self.marks() if known else {}
+        for name in names - {MARKS}:
+            rows = labour_series(self.spark) if name == "bol_series_dim" else None
+            self.replace(name, self.spark.createDataFrame([], TABLES[name].schema) if rows is None else rows)
+        seeds = {row["table_name"]: SEED_MARK for row in initial_marks(self.spark).collect()}
+        kept = {mark: day for mark, day in marks.items() if mark.partition(":")[0] not in names}
+        self._write_marks(seeds | kept)
 
     def read(self, name: str, after: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
-        """S3: a table, or its rows in ``(after, until]`` read from the directories that can hold them."""
+        """S3: a table, or its rows in ``(after, until]`` read from the directories that hold them."""
         table = TABLES[name]
         df = self.spark.read.schema(table.stored_schema).parquet(self.path(name))
         if after is not None:
@@ -66,70 +79,94 @@ class Warehouse:
         for name in names:
             self.read(name).createOrReplaceTempView(name)
 
-    def load(self, name: str, new: DataFrame, mark: dt.date | None) -> dict[str, object]:
-        """K1: store the rows after ``mark`` so that a repeated load changes nothing.
+    def load(self, name: str, new: DataFrame) -> dict[str, object]:
+        """The dates of the given rows are replaced by them, others stay.
 
-        A table laid out by date gets its new dates. A table laid out by month
-        gets its new months, with the stored days of a month already begun.
+        A repeated load changes nothing. Where a directory is a month, the
+        stored days of it that did not come are staged beside the new ones.
         """
-        table = TABLES[name]
-        rows = conform(new, table)
-        if table.layout == BY_MONTH and is_resume(mark):
-            month_start = (mark + dt.timedelta(days=1)).replace(day=1)
-            begun = self.read(name, after=month_start - dt.timedelta(days=1), until=mark)
-            rows = begun.unionByName(rows)
-        return self._overwrite_directories(table, rows)
-
-    def load_months(self, name: str, months: DataFrame) -> dict[str, object]:
-        """The given months replace their stored rows, other months stay."""
-        table = TABLES[name]
-        return self._overwrite_directories(table, conform(months, table))
+        if not TABLES[name].layout:
+            raise ValueError(f"{name} has no directories to load; replace it")
+        return self._staged(TABLES[name], conform(new, name), _PARTS)
 
     def add_years(self, name: str, new: DataFrame) -> dict[str, object]:
         """U1, K1 for a table laid out by year: the stored rows of the touched years and the new ones, once each."""
+        self.recover(name)
         rows = conform(new, TABLES[name])
         touched = self.read(name).join(rows.select("year").distinct(), "year", "left_semi")
-        return self._overwrite_directories(TABLES[name], conform(touched, name).unionByName(rows).distinct())
+        return self._staged(TABLES[name], conform(touched, name).unionByName(rows).distinct(), _PARTS)
 
     def replace(self, name: str, df: DataFrame) -> dict[str, object]:
-        """K2, K3: new content under the declared schema.
+        """K2, K3: new content under the declared schema; the rows may come from the table itself."""
+        return self._staged(TABLES[name], conform(df, name), _WHOLE)
 
-        The rows are checkpointed first, as they may come from the very files
-        that the write removes.
-        """
-        table = TABLES[name]
-        use_checkpoints(self.spark)
-        rows = conform(df, table).checkpoint()
-        observed = Observation()
-        watched = rows.observe(observed, *violation_counts(table.required, table.lengths))
-        watched.write.mode("overwrite").parquet(self.path(name))
-        check_observed(table, observed.get)
-        return observed.get
-
-    def _overwrite_directories(self, table: Table, rows: DataFrame) -> dict[str, object]:
+    def _staged(self, table: Table, rows: DataFrame, kind: str) -> dict[str, object]:
+        self.recover(table.name)
         observed = Observation()
         counts = violation_counts(table.required, table.lengths)
         if "date" in table.schema.names:
-            counts.append(F.max("date").alias("max_date"))
+            counts += [F.max("date").alias("max_date"), F.min("date").alias("min_date")]
+        folder = f"{self.path(_STAGED)}/{table.name}-{uuid.uuid4().hex}"
+        self._write(table, rows, folder, lambda spread: spread.observe(observed, *counts))
+        found = observed.get
+        check_observed(table, found)
+        staged = self.spark.read.schema(table.stored_schema).parquet(folder)
+        if kind == _PARTS and table.layout == BY_MONTH and found["n_rows"]:
+            edge, last = found["min_date"].replace(day=1) - dt.timedelta(days=1), found["max_date"]
+            end = (last.replace(day=1) + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+            months = staged.select(F.trunc("date", "MM").alias("_month")).distinct()
+            begun = self.read(table.name, after=edge, until=end).withColumn("_month", F.trunc("date", "MM"))
+            begun = begun.join(months, "_month", "left_semi").join(staged.select("date").distinct(), "date", "left_anti")
+            kept = conform(begun, table)
+            if not kept.isEmpty():
+                self._write(table, stored(kept, "begun"), folder)  # reads the staging folder, so not straight into it
+                staged = self.spark.read.schema(table.stored_schema).parquet(folder)
+        if table.key and found["n_rows"]:
+            twice = duplicate_keys(staged, table.key).first()
+            if twice is not None:
+                raise ValueError(f"{table.name}: key that occurs more than once: {twice.asDict()}")
+        folders = Folders(self.spark)
+        folders.mark(f"{folder}/{kind}")
+        self._publish(folders, table.name, folder)
+        return found
+
+    def _write(self, table: Table, rows: DataFrame, folder: str, watch=lambda df: df) -> None:
+        """Add rows to a staging folder: few files per directory, a large directory still written by many tasks."""
         if table.layout == BY_MONTH:
             day = F.col("date")
             rows = rows.withColumns({"year": F.year(day), "month": F.month(day)})
-        # few files per directory, a large directory still written by many tasks
-        spread = rows.hint("rebalance", *table.layout)
-        watched = spread.observe(observed, *counts)
-        writer = watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*table.layout).parquet(self.path(table.name))
-        check_observed(table, observed.get)
-        return observed.get
+        spread = rows.hint("rebalance", *table.layout) if table.layout else rows
+        writer = watch(spread).write.mode("append")
+        (writer.partitionBy(*table.layout) if table.layout else writer).parquet(folder)
+
+    def _publish(self, folders: Folders, name: str, folder: str) -> None:
+        if folders.exists(f"{folder}/{_WHOLE}"):
+            folders.move(folder, self.path(name))
+            return
+        for part in folders.names(folder):
+            if "=" in part:  # a date, a year, or a year with its months
+                for below in [b for b in folders.names(f"{folder}/{part}") if "=" in b] or [""]:
+                    moved = f"{part}/{below}".rstrip("/")
+                    folders.move(f"{folder}/{moved}", f"{self.path(name)}/{moved}")
+        folders.remove(folder)
+
+    def recover(self, name: str | None = None) -> None:
+        """Finish what an earlier run had declared ready; drop what it had not."""
+        folders = Folders(self.spark)
+        for staged in folders.names(self.path(_STAGED)):
+            of = staged.rpartition("-")[0]
+            if name in (None, of):
+                folder = f"{self.path(_STAGED)}/{staged}"
+                if any(folders.exists(f"{folder}/{kind}") for kind in (_WHOLE, _PARTS)):
+                    self._publish(folders, of, folder)
+                else:
+                    folders.remove(folder)
 
     # -- high-water marks -------------------------------------------------
 
     def marks(self) -> dict[str, dt.date]:
-        """The mark of every table, in one action.
-
-        A mark is set by adding a row, never by rewriting the file that is
-        read, so no crash can lose one. The latest row of a table counts.
-        """
+        """The mark of every table, in one action. The table has a row per table and is replaced as a whole."""
+        self.recover(MARKS)
         df = self.spark.read.schema(TABLES[MARKS].schema).parquet(self.path(MARKS))
         latest = df.groupBy("table_name").agg(F.to_date(F.max("latest_date")).alias("latest"))
         return {row["table_name"]: row["latest"] for row in latest.collect()}
@@ -140,7 +177,13 @@ class Warehouse:
 
     def set_mark(self, name: str, latest: dt.date) -> None:
         """Call after the data is stored."""
-        row = self.spark.range(1).select(
-            F.lit(name).alias("table_name"), F.lit(latest).cast("timestamp").alias("latest_date")
-        )
-        row.coalesce(1).write.mode("append").parquet(self.path(MARKS))
+        self.set_marks({name: latest})
+
+    def set_marks(self, latest: Mapping[str, dt.date]) -> None:
+        """Several marks at once."""
+        self._write_marks(self.marks() | dict(latest))
+
+    def _write_marks(self, marks: Mapping[str, dt.date]) -> None:
+        rows = [(name, dt.datetime.combine(day, dt.time())) for name, day in sorted(marks.items())]
+        df = self.spark.createDataFrame(rows, TABLES[MARKS].schema)
+        self.replace(MARKS, df.coalesce(1))

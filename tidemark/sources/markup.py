@@ -52,5 +52,7 @@ def ticker_rows(df: DataFrame, markup: str = "html") -> DataFrame:
 def link_rows(df: DataFrame, markup: str, keep: list[str]) -> DataFrame:
     """List items that hold a link: position, target and text."""
     items = element_rows(df, markup, "li", keep)
-    target = F.regexp_extract("inner", r'<a href="([^"]*)"', 1)
-    return items.select(*keep, "pos", target.alias("href"), strip_newline(plain_text(F.col("inner"))).alias("label"))
+    link = r'<a\s(?:[^>]*?\s)?href="([^"]*)"'
+    linked = items.filter(F.col("inner").rlike(link))
+    target = F.regexp_extract("inner", link, 1)
+    return linked.select(*keep, "pos", target.alias("href"), strip_newline(plain_text(F.col("inner"))).alias("label"))

@@ -4,22 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_BROKEN = "_corrupt_record"
-
-PRICE_FILE = T.StructType(
-    [
-        T.StructField("Date", T.DateType()),
-        T.StructField("High", T.DoubleType()),
-        T.StructField("Low", T.DoubleType()),
-        T.StructField("Open", T.DoubleType()),
-        T.StructField("Close", T.DoubleType()),
-        T.StructField("Volume", T.DoubleType()),
-        T.StructField("Adj Close", T.DoubleType()),
-        T.StructField(_BROKEN, T.StringType()),
-    ]
-)
+
+# The columns of a price file.
+PRICE_COLUMNS = ("Date", "High", "Low", "Open", "Close", "Volume", "Adj Close")
 
 _MEASURES = ("High", "Low", "Open", "Close", "Volume", "adj_close")
 
@@ -27,28 +14,34 @@ _MEASURES = ("High", "Low", "Open", "Close", "Volume", "adj_close")
 def read_price_files(spark: SparkSession, path: str) -> DataFrame:
     """Every line of ``<ticker>.csv`` files; ``broken`` holds the text of unusable ones.
 
-    A line is unusable when it does not parse or lacks the date or a measure.
+    Values are found by the header of their own file, whatever the order of
+    its columns. A line is unusable when it has another number of cells than
+    the header, when a cell does not parse, or when its file's header lacks the
+    date or a measure. Headers are one line per file; they meet the lines by
+    file name.
     """
-    # whole lines are parsed even if a query needs few columns: otherwise a
-    # line would count as broken in one query and as good in another
-    lines = (
-        spark.read.schema(PRICE_FILE)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BROKEN)
-        .option("columnPruning", False)
-        .csv(path)
-        .withColumnsRenamed({"Date": "date", "Adj Close": "adj_close"})
+    file = F.col("_metadata.file_path").alias("_file")
+    ticker = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)\.csv", 1).alias("stock_ticker")
+    lines = spark.read.text(path).select(file, ticker, F.rtrim(F.col("value")).alias("_line"))
+    is_header = F.col("_line").rlike(r"(^|,)\s*Date\s*(,|$)")
+    cells = F.transform(F.split("_line", ","), lambda c: F.trim(c))
+    headers = lines.filter(is_header).groupBy("_file").agg(F.first(cells).alias("_names"))
+    data = lines.filter(~is_header & (F.col("_line") != "")).join(headers, "_file", "left")
+    values = data.withColumn("_cells", cells)
+    whole = F.size("_cells") == F.size("_names")
+
+    def cell(name: str):
+        at = F.array_position("_names", name)
+        return F.when(whole & (at > 0), F.get("_cells", (at - 1).cast("int")))
+
+    dated = values.select(
+        "stock_ticker",
+        "_line",
+        F.try_to_date(cell("Date"), "yyyy-MM-dd").alias("date"),
+        *(cell(c).try_cast("double").alias(c.lower().replace(" ", "_") if " " in c else c) for c in PRICE_COLUMNS[1:]),
     )
-    incomplete = F.concat_ws(",", *(F.col(c).cast("string") for c in ("date", *_MEASURES)))
     missing = F.greatest(*(F.col(c).isNull() for c in ("date", *_MEASURES)))
-    ticker = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)\.csv", 1)
-    return lines.select(
-        ticker.alias("stock_ticker"),
-        "date",
-        *_MEASURES,
-        F.coalesce(F.col(_BROKEN), F.when(missing, incomplete)).alias("broken"),
-    )
+    return dated.select("stock_ticker", "date", *_MEASURES, F.when(missing, F.col("_line")).alias("broken"))
 
 
 def good_prices(lines: DataFrame) -> DataFrame:

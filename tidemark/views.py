@@ -15,7 +15,6 @@ PRIORITY_SCORES = {
     "2-HIGH": "nasdaq100_score",
     "3-MEDIUM": "sp500_score",
 }
-SERIES_IDS = [f"{flag}-{status}" for flag in "ANR" for status in "FO"]
 
 
 # the sample tables; a given schema spares the job that would infer it from a file
@@ -151,5 +150,5 @@ def series_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5: one column per series."""
-    return series_monthly(spark, sf_dir).groupBy("date").pivot("series_id", SERIES_IDS).agg(F.max("value"))
+    """V5: one column per series that the data hold."""
+    return series_monthly(spark, sf_dir).groupBy("date").pivot("series_id").agg(F.max("value"))
