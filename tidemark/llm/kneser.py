@@ -33,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,12 +154,29 @@ def _starts(tags: list) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([n for n, _ in tags])])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, as they travel to their blocks twice."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = (t.as_py() for t in batch.column("text"))
+        columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+        columns["packed"] = pa.array([t if t is None else pack(t.encode("utf-8")) for t in texts], pa.binary())
+        yield pa.record_batch(columns)
+
+
+def _texts(documents: pa.Table) -> Iterator[str]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for packed in documents.column("packed"):
+        octets = packed.as_py()
+        yield "" if octets is None else unpack(octets).decode("utf-8")
+
+
 def _counted(documents: pa.Table, trusted: pa.Table) -> pa.Table:
     """(block, gram, n) of a block; n counts trusted documents only."""
     learn = set(trusted.column("doc").to_pylist())
     table = GramTable()
     counts, grams = np.zeros(0, np.int64), []
-    texts = ((t.as_py(), d in learn) for d, t in zip(documents.column("doc").to_pylist(), documents.column("text")))
+    texts = ((t, d in learn) for d, t in zip(documents.column("doc").to_pylist(), _texts(documents)))
     for codes, tags in _chunks((t, tag) for t, tag in texts if t):
         keys = _keys(codes)
         starts = _starts(tags)
@@ -197,11 +215,19 @@ def _held_out(doc: Column) -> Column:
     return F.crc32(doc.cast("string").cast("binary")) % HOLD_OUT == 0
 
 
+def _dealt(documents: DataFrame, blocks: int) -> DataFrame:
+    """(block, doc, text_hash, packed) from (doc, text)."""
+    kind = documents.schema["doc"].dataType.simpleString()
+    rows = documents.select(
+        _block(F.col("doc"), blocks).alias("block"), "doc", F.xxhash64("text").alias("text_hash"), "text"
+    )
+    return rows.mapInArrow(_packed, f"block int, doc {kind}, text_hash long, packed binary")
+
+
 def block_grams(documents: DataFrame, trusted: DataFrame, blocks: int) -> DataFrame:
     """(block, gram, n) from (doc, text) and the ids (doc) to learn from; texts are shuffled once."""
-    left = documents.select(_block(F.col("doc"), blocks).alias("block"), "doc", "text")
     right = trusted.select(_block(F.col("doc"), blocks).alias("block"), "doc")
-    both = left.groupBy("block").cogroup(right.groupBy("block"))
+    both = _dealt(documents, blocks).groupBy("block").cogroup(right.groupBy("block"))
     return both.applyInArrow(_counted, "block int, gram string, n long")
 
 
@@ -270,7 +296,7 @@ def _added_up(documents: pa.Table, costs: pa.Table) -> pa.Table:
         table.add(_row_keys(codes))
     chars = np.zeros(documents.num_rows, np.int64)
     total = np.zeros(documents.num_rows)
-    texts = ((t.as_py(), i) for i, t in enumerate(documents.column("text")))
+    texts = ((t, i) for i, t in enumerate(_texts(documents)))
     for codes, tags in _chunks((t, i) for t, i in texts if t):
         starts = _starts(tags)
         numbers = table.find(_keys(codes))
@@ -297,10 +323,7 @@ def _row_keys(codes: np.ndarray) -> np.ndarray:
 
 def scored(documents: DataFrame, answers: DataFrame, blocks: int) -> DataFrame:
     """(doc, text_hash, chars, cost) from (doc, text) and (block, gram, cost) for the n-grams each block reported."""
-    left = documents.select(
-        _block(F.col("doc"), blocks).alias("block"), "doc", F.xxhash64("text").alias("text_hash"), "text"
-    )
-    both = left.groupBy("block").cogroup(answers.groupBy("block"))
+    both = _dealt(documents, blocks).groupBy("block").cogroup(answers.groupBy("block"))
     kind = documents.schema["doc"].dataType.simpleString()
     return both.applyInArrow(_added_up, f"doc {kind}, text_hash long, chars long, cost double")
 
