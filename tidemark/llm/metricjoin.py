@@ -37,6 +37,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -74,11 +75,13 @@ def _set_hashes(shingles: np.ndarray) -> tuple[int, int]:
 
 
 _PART = pa.schema(
-    [("part", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary()),
+    [("part", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary()),
      ("shared", pa.binary()), ("about", pa.binary())]
 )
 _ABOUT = np.dtype([(name, "<i8") for name in ("doc", "text_hash", "n", "h1", "h2", "known")])
-_MET = "doc long, text_hash long, n long, h1 long, h2 long, shared long"
+_SENT = "part int, chunk long, hashes binary, docs binary, sizes binary, shared binary, about binary"
+_ANSWERED = "chunk long, docs binary, counts binary, about binary"
+_TOLD = "doc long, text_hash long, n long, h1 long, h2 long, shared long"
 
 
 def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,15 +124,16 @@ def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Ite
             inside = owners[cuts[p] : cuts[p + 1]]
             present, counts = np.unique(inside, return_counts=True)
             columns["part"].append(p)
+            columns["chunk"].append(chunk)
             columns["hashes"].append(single[cuts[p] : cuts[p + 1]].tobytes())
             columns["docs"].append(ids[present].tobytes())
             columns["sizes"].append(counts.astype("<u4").tobytes())
             columns["shared"].append(told[told_cuts[p] : told_cuts[p + 1]].tobytes())
-            columns["about"].append(rows[p::parts].tobytes())
+            columns["about"].append(rows.tobytes() if p == chunk % parts else b"")
         return pa.record_batch(columns, schema=_PART)
 
     first_ids: list[int] = []
-    size = 0
+    size, chunk = 0, TaskContext.get().partitionId() << 32
     for batch in batches:
         ids = zip(batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist())
         texts = zip(ids, (t.as_py() for t in batch.column("text")))
@@ -149,21 +153,17 @@ def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Ite
                 if size >= CHUNK_SHINGLES:
                     yield flush()
                     about, sets, seen, first_ids, size = [], [], {}, [], 0
+                    chunk += 1
     if about:
         yield flush()
 
 
 def _met(table: pa.Table) -> pa.Table:
-    """One part of the hash space: which documents' shingles others have too."""
-    hashes, docs, flags, rows = [], [], [], []
-    for k in range(table.num_rows):
-        hashes.append(np.frombuffer(table.column("hashes")[k].as_py(), "<u4"))
-        ids = np.frombuffer(table.column("docs")[k].as_py(), "<i8")
-        docs.append(np.repeat(ids, np.frombuffer(table.column("sizes")[k].as_py(), "<u4")))
-        flags.append(np.frombuffer(table.column("shared")[k].as_py(), "<u4"))
-        rows.append(np.frombuffer(table.column("about")[k].as_py(), _ABOUT))
-    every, docs, told = np.concatenate(hashes), np.concatenate(docs), np.concatenate(flags)
-    both = np.concatenate([every, told, told])  # a shared shingle counts as two
+    """One part of the hash space: of each chunk, which documents' shingles others have too, and how many."""
+    read = lambda name, kind: [np.frombuffer(x.as_py(), kind) for x in table.column(name)]
+    hashes, ids, sizes = read("hashes", "<u4"), read("docs", "<i8"), read("sizes", "<u4")
+    told = np.concatenate(read("shared", "<u4"))
+    both = np.concatenate([*hashes, told, told])  # a shared shingle counts as two
     order = np.argsort(both, kind="stable")
     ranked = both[order]
     again = np.zeros(len(both), bool)
@@ -171,25 +171,46 @@ def _met(table: pa.Table) -> pa.Table:
         same = ranked[1:] == ranked[:-1]
         again[order[1:][same]] = True
         again[order[:-1][same]] = True
-    who, counts = np.unique(docs[again[: len(every)]], return_counts=True)
-    about = np.concatenate(rows)
-    nothing = [None] * len(who)
-    columns = {"doc": pa.array(np.concatenate([about["doc"], who]), pa.int64())}
-    for name in ("text_hash", "n", "h1", "h2"):
-        columns[name] = pa.array([*about[name].tolist(), *nothing], pa.int64())
-    columns["shared"] = pa.array(np.concatenate([about["known"], counts]), pa.int64())
-    return pa.table(columns)
+    docs, counts, at = [], [], 0
+    for h, i, n in zip(hashes, ids, sizes):
+        begins = np.cumsum(n, dtype=np.int64) - n
+        own = np.add.reduceat(again[at : at + len(h)].astype(np.int64), begins) if len(n) else n
+        docs.append(i[own > 0].tobytes())
+        counts.append(own[own > 0].astype("<u4").tobytes())
+        at += len(h)
+    return pa.table(
+        {
+            "chunk": table.column("chunk"),
+            "docs": pa.array(docs, pa.binary()),
+            "counts": pa.array(counts, pa.binary()),
+            "about": table.column("about"),
+        }
+    )
+
+
+def _told(table: pa.Table) -> pa.Table:
+    """The documents of one chunk with the answers of all parts added up."""
+    read = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
+    about = read("about", _ABOUT)
+    ids, place = np.unique(read("docs", "<i8"), return_inverse=True)
+    sums = np.bincount(place, read("counts", "<u4"), len(ids)).astype(np.int64)
+    at = np.searchsorted(ids, about["doc"])
+    found = (at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == about["doc"] if len(ids) else False)
+    shared = about["known"] + np.where(found, sums[np.minimum(at, max(len(ids) - 1, 0))] if len(ids) else 0, 0)
+    columns = {name: pa.array(about[name], pa.int64()) for name in ("doc", "text_hash", "n", "h1", "h2")}
+    return pa.table(columns | {"shared": pa.array(shared, pa.int64())})
 
 
 def sketched(docs: DataFrame, measure: Measure) -> DataFrame:
-    """(doc, text_hash, n, h1, h2, shared) of each row of (doc, text_hash, text), and rows with nulls that add to
-    ``shared``."""
+    """(doc, text_hash, n, h1, h2, shared) of each row of (doc, text_hash, text).
+
+    Questions and answers travel as packed arrays, one per chunk of documents
+    and part of the hash space.
+    """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = docs.mapInArrow(
-        partial(_exchanged, measure.words, parts),
-        "part int, hashes binary, docs binary, sizes binary, shared binary, about binary",
-    )
-    return sent.groupBy("part").applyInArrow(_met, _MET)
+    sent = docs.mapInArrow(partial(_exchanged, measure.words, parts), _SENT)
+    answers = sent.groupBy("part").applyInArrow(_met, _ANSWERED)
+    return answers.groupBy("chunk").applyInArrow(_told, _TOLD)
 
 
 def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,8 +320,12 @@ def linked(members: DataFrame, sets: DataFrame, measure: Measure, pivots: int =
             )
             rest = rest.drop("apart").join(to_pivot, ["region", "doc"], "left")
             rest = rest.withColumn("apart", F.coalesce("apart", F.lit(0).cast("long")))  # the pivot itself
-            first = rest.join(chosen.select("region", F.col("p_doc").alias("doc")), ["region", "doc"])
-            firsts = shelf.put(first.select("region", "doc"), "firsts")
+            # from here on regions with the same pivot are one, named by it: the distances to it are the same
+            by_pivot = chosen.select("region", F.col("p_doc").alias("_first"))
+            rest = rest.join(by_pivot, "region").withColumn("region", F.col("_first")).drop("_first")
+            rest = rest.dropDuplicates(["region", "doc"])
+            chosen = chosen.select(F.col("p_doc").alias("region"), "p_doc").distinct()
+            firsts = shelf.put(chosen.select("region", F.col("p_doc").alias("doc")), "firsts")
         cells = firsts.join(labels, F.col("doc") == F.col("node"), "left")
         cells = cells.select("region", F.coalesce("component", "doc").alias("_cell"))
         rest = rest.join(cells, "region").withColumn("inside", F.col("component") == F.col("_cell")).drop("_cell")
@@ -343,12 +368,11 @@ def joined(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: st
     text = F.col(text_col)
     docs = df.select(_number(id_col, text_col).alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     rows = stored(sketched(docs, measure), "sketches")
-    about = rows.where(F.col("n").isNotNull()).withColumn("class", F.xxhash64("n", "h1", "h2"))
+    about = rows.withColumn("class", F.xxhash64("n", "h1", "h2"))
     some = about.where("n > 0")
     classes = stored(some.groupBy("class", "n", "h1", "h2").agg(F.min("doc").alias("rep")), "classes")
-    shared = rows.groupBy("doc").agg(F.sum("shared").alias("_all"))
     # equal sets of a chunk are told by one row: a class may have partners if any of its rows may
-    near = some.join(shared, "doc").where(measure.den * F.col("_all") >= measure.num * F.col("n"))
+    near = some.where(measure.den * F.col("shared") >= measure.num * F.col("n"))
     ask = classes.join(near.select("class").distinct(), "class").select("class", "h1", "h2", F.col("rep").alias("doc"))
     ask = stored(ask, "candidates")
     sets = docs.join(ask, "doc").mapInArrow(partial(_sets, measure.words), "doc long, n long, shingles array<long>")
