@@ -57,9 +57,9 @@ def test_ticker_page(spark):
 
 
 def test_links(spark):
-    pages = spark.createDataFrame([(1, '<ul><li class="x"><a href="/a">A &lt;\n</a></li><li>B</li></ul>')], "id int, html string")
+    pages = spark.createDataFrame([(1, '<ul><li class="x"><a href="/a">A &lt;\n</a></li><li>B</li><li><a class="c" href="/c">C</a></li></ul>')], "id int, html string")
     rows = markup.link_rows(pages, "html", ["id"]).orderBy("pos").collect()
-    assert [tuple(r) for r in rows] == [(1, 0, "/a", "A <"), (1, 1, "", "B")]
+    assert [tuple(r) for r in rows] == [(1, 0, "/a", "A <"), (1, 2, "/c", "C")]
 
 
 def test_nested_series(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,12 +147,12 @@ def _extract(
     dates = {n: d for n, d in shared.items() if todo.low is None or d > todo.low}
     rename = {"Country/Region": COUNTRY, "Long": "Long_"}
     rows = counts_by_day(deaths, confirmed, key, ids, dates).withColumnsRenamed(rename)
-    read = Observation()
-    observed = wh.load(raw, having(rows.observe(read, F.count(F.lit(1)).alias("n")), "Lat"))
+    observed = wh.load(raw, having(rows, "Lat"))
+    lost = deaths.filter(F.col("Lat").isNull()).count() * len(dates)
     places = having(deaths.selectExpr(*map(quoted, ids)).withColumnsRenamed(rename), "Lat")
     _add_places(wh, dim, places, rename.get(key, key), todo.end)
     finished(wh, raw, todo)
-    return Report(True, observed["n_rows"], {"without a position": read.get["n"] - observed["n_rows"]})
+    return Report(True, observed["n_rows"], {"without a position": lost})
 
 
 def _add_places(wh: Warehouse, dim: str, places: DataFrame, key: str, end: dt.date) -> None:
