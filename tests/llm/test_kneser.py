@@ -103,3 +103,31 @@ def test_without_trusted_documents_all_stay(spark, documents):
     none = spark.createDataFrame([], "doc_id long")
     assert kneser.keep_good(documents([(1, "a b"), (2, None)]), none).count() == 2
     assert kneser.keep_good(documents([]), none).count() == 0
+
+
+INSULTS = ["Vlottz", "Quipjaw", "Zugwump"]
+
+
+@pytest.mark.parametrize("n", [60, 3000])
+def test_few_odd_words_are_found_in_texts_of_any_length(spark, documents, n):
+    good = [(k, _text(k, n if k % 2 else 60), "en", "s") for k in range(300)]
+    words = [_text(5000 + k, n).split(" ") for k in range(30)]
+    for k, own in enumerate(words):
+        own[n // 2] = INSULTS[k % 3]
+    rude = [(1000 + k, " ".join(own), "en", "s") for k, own in enumerate(words)]
+    learn = spark.createDataFrame([(k,) for k in range(200)], "doc_id long")
+    lost = {r["doc_id"] for r in kneser.classified(documents(good + rude), learn).collect() if not r["kept"]}
+    recall = len(lost & {r[0] for r in rude}) / len(rude)
+    assert recall == 1 and len(lost & {r[0] for r in good}) <= 6
+
+
+def test_pieces_of_a_long_text_are_one_text(spark, documents, monkeypatch):
+    rows = [(k, _text(k, 40)) for k in range(20)] + [(50, "the  \n\n  of Zugwump in" * 3 + " " * 40), (51, "of")]
+    whole = [kneser._codes(t) for _, t in rows]
+    monkeypatch.setattr(kneser, "CHUNK", 7)
+    for (_, text), codes in zip(rows, whole):
+        pieces = []
+        for held, tags in kneser._chunks(iter([(text, 0)])):
+            starts = kneser._starts(tags)
+            pieces += [held[a + kneser.ORDER - 1 : b] for a, b in zip(starts, starts[1:])]
+        assert np.concatenate([kneser._BEFORE, *pieces]).tolist() == codes.tolist()

@@ -15,7 +15,10 @@ by document id, once to count and once to score:
 What travels are distinct n-grams per block, never one row per character, and
 no table is sent to all tasks. A document's cost per character is drawn towards
 the rate of its language by ``PRIOR`` characters, so that very short texts are
-not judged on a few letters. It is rejected above its language's threshold: the
+not judged on a few letters. Insults are a few words in hundreds and vanish in
+a mean, so the costliest run of ``RUN`` characters anywhere in the text, its
+peak, is a second score, which no length thins out. A document is rejected if
+either score is above its language's threshold: the
 ``quantile`` of the trusted documents that were held out of training (one in
 five), raised by ``margin``. Languages with fewer than ``LEAST`` of those, and
 documents without a language, take the quantile over all languages; without
@@ -42,6 +45,7 @@ from tidemark.scratch import Shelf, stored
 ORDER = 5
 START = "\x02"  # stands before the first characters of a text
 PRIOR = 100
+RUN = 6  # characters that the peak is the cost of
 LEAST = 20
 HOLD_OUT = 5
 CHUNK = 1 << 20  # code points looked up at once
@@ -60,12 +64,14 @@ def _classes() -> np.ndarray:
     return out
 
 
-def _codes(text: str) -> np.ndarray:
-    """Classes of the text's characters behind the start marks; runs of blanks are one."""
+_BEFORE = np.full(ORDER - 1, ord(START), np.uint32)
+
+
+def _codes(text: str, before: np.ndarray = _BEFORE) -> np.ndarray:
+    """Classes of the text's characters behind those ``before``; runs of blanks are one."""
     codes = _classes()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    blank = codes == 32
-    codes = codes[np.concatenate([[True], ~(blank[1:] & blank[:-1])])] if len(codes) else codes
-    return np.concatenate([np.full(ORDER - 1, ord(START), np.uint32), codes])
+    blank = np.concatenate([before[-1:], codes]) == 32
+    return np.concatenate([before, codes[~(blank[1:] & blank[:-1])]])
 
 
 def _keys(codes: np.ndarray) -> np.ndarray:
@@ -138,8 +144,10 @@ def _chunks(texts: Iterator[tuple[str, object]]) -> Iterator[tuple[np.ndarray, l
     tags: list[tuple[int, object]] = []
     size = 0
     for text, tag in texts:
+        before = _BEFORE
         for at in range(0, len(text), CHUNK):
-            codes = _codes(text[at : at + CHUNK])
+            codes = _codes(text[at : at + CHUNK], before)
+            before = codes[1 - ORDER :]
             held.append(codes)
             tags.append((len(codes), tag))
             size += len(codes)
@@ -288,14 +296,15 @@ def gram_costs(grams: DataFrame) -> DataFrame:
 
 
 def _added_up(documents: pa.Table, costs: pa.Table) -> pa.Table:
-    """(doc, text hash, chars, cost) of each row of a block."""
+    """(doc, text hash, chars, cost, peak) of each row of a block."""
     grams = costs.column("gram").to_pylist()
     codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
     table, price = GramTable(max(len(grams), 1)), costs.column("cost").to_numpy().astype(np.float64)
     if len(grams):
         table.add(_row_keys(codes))
     chars = np.zeros(documents.num_rows, np.int64)
-    total = np.zeros(documents.num_rows)
+    total, peak = np.zeros(documents.num_rows), np.zeros(documents.num_rows)
+    last, tail = -1, np.zeros(0)  # the end of the piece before, for runs that cross into the next
     texts = ((t, i) for i, t in enumerate(_texts(documents)))
     for codes, tags in _chunks((t, i) for t, i in texts if t):
         starts = _starts(tags)
@@ -306,30 +315,41 @@ def _added_up(documents: pa.Table, costs: pa.Table) -> pa.Table:
             ghosts = own[starts[k] + n - ORDER + 1 : starts[k + 1]].sum()
             chars[i] += n - ORDER + 1
             total[i] += sums[k] - ghosts
+            each = own[starts[k] : starts[k] + n - ORDER + 1]
+            each = np.concatenate([tail, each]) if i == last else each
+            peak[i] = max(peak[i], _peak(each))
+            last, tail = i, each[max(len(each) - RUN + 1, 0) :]
     return pa.table(
         {
             "doc": documents.column("doc"),
             "text_hash": documents.column("text_hash"),
             "chars": pa.array(chars, pa.int64()),
             "cost": pa.array(total, pa.float64()),
+            "peak": pa.array(peak, pa.float64()),
         }
     )
 
 
+def _peak(costs: np.ndarray) -> float:
+    """The highest sum of ``RUN`` neighbours; of fewer costs, of all."""
+    sums = np.concatenate([[0.0], np.cumsum(costs)])
+    return float((sums[RUN:] - sums[:-RUN]).max()) if len(costs) > RUN else float(sums[-1])
+
+
 def _row_keys(codes: np.ndarray) -> np.ndarray:
     """Hashes of n-grams that are rows of a matrix."""
     return _keys(np.ascontiguousarray(codes).reshape(-1))[::ORDER]
 
 
 def scored(documents: DataFrame, answers: DataFrame, blocks: int) -> DataFrame:
-    """(doc, text_hash, chars, cost) from (doc, text) and (block, gram, cost) for the n-grams each block reported."""
+    """(doc, text_hash, chars, cost, peak) from (doc, text) and (block, gram, cost) for the n-grams each block reported."""
     both = _dealt(documents, blocks).groupBy("block").cogroup(answers.groupBy("block"))
     kind = documents.schema["doc"].dataType.simpleString()
-    return both.applyInArrow(_added_up, f"doc {kind}, text_hash long, chars long, cost double")
+    return both.applyInArrow(_added_up, f"doc {kind}, text_hash long, chars long, cost double, peak double")
 
 
 def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, text_hash, chars, cost) per row, the model being learnt from the ids in ``trusted``."""
+    """(doc, text_hash, chars, cost, peak) per row, the model being learnt from the ids in ``trusted``."""
     blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     documents = df.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     learn = trusted.select(F.col(id_col).alias("doc")).where(~_held_out(F.col("doc"))).distinct()
@@ -352,15 +372,15 @@ def classified(
     quantile: float = 0.995,
     margin: float = 0.03,
 ) -> DataFrame:
-    """(id, text_hash, lang, perplexity, threshold, kept) for every row of ``df``."""
+    """(id, text_hash, lang, perplexity, threshold, peak, peak_limit, kept) for every row of ``df``."""
     costs = perplexities(df, trusted, id_col, text_col)
     keys = df.select(
         F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(lang_col).alias("lang")
     )
     # equal rows have equal costs, so one of them is enough to join
-    once = costs.groupBy("doc", "text_hash").agg(F.first("chars").alias("chars"), F.first("cost").alias("cost"))
+    once = costs.groupBy("doc", "text_hash").agg(*(F.first(c).alias(c) for c in ("chars", "cost", "peak")))
     same = F.col("k.doc").eqNullSafe(F.col("c.doc")) & (F.col("k.text_hash") == F.col("c.text_hash"))
-    rows = keys.alias("k").join(once.alias("c"), same, "left").select("k.*", "c.chars", "c.cost")
+    rows = keys.alias("k").join(once.alias("c"), same, "left").select("k.*", "c.chars", "c.cost", "c.peak")
     rows = stored(rows, "document-costs")
     apart = trusted.select(F.col(id_col).alias("doc")).where(_held_out(F.col("doc"))).distinct()
     sample = rows.where(F.col("chars") > 0).join(apart, "doc", "left_semi")
@@ -369,7 +389,8 @@ def classified(
     if overall is None:
         return rows.select(
             F.col("doc").alias(id_col), "text_hash", "lang", F.exp(F.col("cost") / F.col("chars")).alias("perplexity"),
-            F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"),
+            F.lit(None).cast("double").alias("threshold"), "peak", F.lit(None).cast("double").alias("peak_limit"),
+            F.lit(True).alias("kept"),
         )
     rates = sample.groupBy("lang").agg(rate.alias("rate"), F.count(F.lit(1)).alias("_n"))
     rates = rates.where(F.col("_n") >= LEAST).select(F.col("lang").alias("_lang"), "rate")
@@ -379,20 +400,23 @@ def classified(
         base = F.coalesce("rate", F.lit(float(overall)))
         return known.withColumn("_drawn", (F.col("cost") + PRIOR * base) / (F.col("chars") + PRIOR))
 
-    top = F.percentile_approx("_drawn", quantile, 10_000).alias("top")
+    tops = [F.percentile_approx(c, quantile, 10_000).alias(top) for c, top in (("_drawn", "top"), ("peak", "high"))]
     held = drawn(sample)
-    limits = held.groupBy("lang").agg(top, F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= LEAST)
-    limits = limits.select(F.col("lang").alias("_lang"), "top")
-    general = float(held.agg(top).first()[0])
+    limits = held.groupBy("lang").agg(*tops, F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= LEAST)
+    limits = limits.select(F.col("lang").alias("_lang"), "top", "high")
+    general = held.agg(*tops).first()
     out = drawn(rows).join(limits, F.col("lang") == F.col("_lang"), "left")
-    threshold = F.coalesce("top", F.lit(general)) * (1 + margin)
+    threshold = F.coalesce("top", F.lit(general["top"])) * (1 + margin)
+    peak_limit = F.coalesce("high", F.lit(general["high"])) * (1 + margin)
     return out.select(
         F.col("doc").alias(id_col),
         "text_hash",
         "lang",
         F.exp("_drawn").alias("perplexity"),
         F.exp(threshold).alias("threshold"),
-        (F.col("_drawn") <= threshold).alias("kept"),
+        "peak",
+        peak_limit.alias("peak_limit"),
+        ((F.col("_drawn") <= threshold) & (F.col("peak") <= peak_limit)).alias("kept"),
     )
 
 
