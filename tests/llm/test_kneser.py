@@ -131,3 +131,21 @@ def test_pieces_of_a_long_text_are_one_text(spark, documents, monkeypatch):
             starts = kneser._starts(tags)
             pieces += [held[a + kneser.ORDER - 1 : b] for a, b in zip(starts, starts[1:])]
         assert np.concatenate([kneser._BEFORE, *pieces]).tolist() == codes.tolist()
+
+
+@pytest.mark.parametrize("labelled", [0, 1, 4, 40])
+def test_a_language_that_labels_hardly_cover_keeps_its_clean_documents(spark, documents, labelled):
+    def other(seed, n):
+        r = random.Random(seed)
+        return " ".join(r.choice(["жизнь", "мир", "да", "книга", "не", "слово"]) for _ in range(n))
+
+    good = [(k, _text(k, 60), "en", "s") for k in range(300)]
+    rest = [(1000 + k, other(k, 40 + k % 30), "ru", "s") for k in range(100)]
+    none = [(2000 + k, other(k, 50), None, "s") for k in range(20)]
+    junk = [(3000 + k, "".join(random.Random(k).choice("#$%&*QZXJK") for _ in range(200)), "en", "s") for k in range(20)]
+    learn = spark.createDataFrame([(k,) for k in (*range(200), *range(1000, 1000 + labelled))], "doc_id long")
+    out = kneser.classified(documents(good + rest + none + junk), learn).collect()
+    lost = {r["doc_id"] for r in out if not r["kept"]}
+    assert len(lost & {r[0] for r in rest}) <= 5 and not lost & {r[0] for r in none} and lost >= {r[0] for r in junk}
+    assert len(lost & {r[0] for r in good}) <= 6 and len(out) == 440
+    assert {r["threshold"] is None for r in out if r["lang"] == "ru"} == {labelled == 0}

@@ -20,12 +20,15 @@ a mean, so the costliest run of ``RUN`` characters anywhere in the text, its
 peak, is a second score, which no length thins out. A document is rejected if
 either score is above its language's threshold: the
 ``quantile`` of the trusted documents that were held out of training (one in
-five), raised by ``margin``. Languages with fewer than ``LEAST`` of those, and
-documents without a language, take the quantile over all languages; without
-any trusted document nothing is rejected.
+five), raised by ``margin``. A quantile of few documents is drawn, by ``WEIGHT``
+documents, towards the median of all documents of the language times the ratio
+of quantile to median that held-out documents of all languages have; so a
+language that training hardly saw is measured by its own costs. In a language
+without trusted text, and without any trusted document, nothing is rejected; no
+language counts as one.
 
 Defined cases: null and empty texts have no characters, cost their language's
-rate and are kept; equal ids and repeated rows are scored row by row; ties at
+rate (null where it has no text at all) and are kept; equal ids and repeated rows are scored row by row; ties at
 the threshold are kept; other columns are left alone.
 """
 
@@ -46,7 +49,7 @@ ORDER = 5
 START = "\x02"  # stands before the first characters of a text
 PRIOR = 100
 RUN = 6  # characters that the peak is the cost of
-LEAST = 20
+WEIGHT = 20
 HOLD_OUT = 5
 CHUNK = 1 << 20  # code points looked up at once
 
@@ -381,42 +384,62 @@ def classified(
     once = costs.groupBy("doc", "text_hash").agg(*(F.first(c).alias(c) for c in ("chars", "cost", "peak")))
     same = F.col("k.doc").eqNullSafe(F.col("c.doc")) & (F.col("k.text_hash") == F.col("c.text_hash"))
     rows = keys.alias("k").join(once.alias("c"), same, "left").select("k.*", "c.chars", "c.cost", "c.peak")
+    known = trusted.select(F.col(id_col).alias("doc")).distinct().withColumn("_known", F.lit(True))
+    any_ = F.col("chars") > 0
+    known_, held = F.coalesce("_known", F.lit(False)) & any_, F.coalesce(_held_out(F.col("doc")), F.lit(False))
+    rows = rows.join(known, "doc", "left").withColumns({"_known": known_, "_held": known_ & held})
     rows = stored(rows, "document-costs")
-    apart = trusted.select(F.col(id_col).alias("doc")).where(_held_out(F.col("doc"))).distinct()
-    sample = rows.where(F.col("chars") > 0).join(apart, "doc", "left_semi")
-    rate = F.sum("cost") / F.sum("chars")
-    overall = sample.agg(rate).first()[0]
-    if overall is None:
-        return rows.select(
-            F.col("doc").alias(id_col), "text_hash", "lang", F.exp(F.col("cost") / F.col("chars")).alias("perplexity"),
-            F.lit(None).cast("double").alias("threshold"), "peak", F.lit(None).cast("double").alias("peak_limit"),
-            F.lit(True).alias("kept"),
-        )
-    rates = sample.groupBy("lang").agg(rate.alias("rate"), F.count(F.lit(1)).alias("_n"))
-    rates = rates.where(F.col("_n") >= LEAST).select(F.col("lang").alias("_lang"), "rate")
-
-    def drawn(frame: DataFrame) -> DataFrame:
-        known = frame.join(rates, F.col("lang") == F.col("_lang"), "left").drop("_lang")
-        base = F.coalesce("rate", F.lit(float(overall)))
-        return known.withColumn("_drawn", (F.col("cost") + PRIOR * base) / (F.col("chars") + PRIOR))
-
-    tops = [F.percentile_approx(c, quantile, 10_000).alias(top) for c, top in (("_drawn", "top"), ("peak", "high"))]
-    held = drawn(sample)
-    limits = held.groupBy("lang").agg(*tops, F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= LEAST)
-    limits = limits.select(F.col("lang").alias("_lang"), "top", "high")
-    general = held.agg(*tops).first()
-    out = drawn(rows).join(limits, F.col("lang") == F.col("_lang"), "left")
-    threshold = F.coalesce("top", F.lit(general["top"])) * (1 + margin)
-    peak_limit = F.coalesce("high", F.lit(general["high"])) * (1 + margin)
-    return out.select(
+    held, count = F.col("_held"), F.count_if("_held").alias("_n")
+
+    def at(c: Column, share: float, name: str) -> Column:
+        return F.percentile_approx(c, share, 10_000).alias(name)
+
+    def weighed(own: Column, other: Column) -> Column:
+        """``own`` as far as ``_n`` held-out documents say, else ``other``."""
+        return F.when(F.col("_n") > 0, (F.col("_n") * own + WEIGHT * other) / (F.col("_n") + WEIGHT)).otherwise(other)
+
+    # one row per language from here on; what all languages have together comes from the held-out documents
+    own_rate = F.sum(F.when(held, F.col("cost"))) / F.sum(F.when(held, F.col("chars")))
+    usual = at(F.when(any_, F.col("cost") / F.col("chars")), 0.5, "_usual")
+    rates = rows.groupBy("lang").agg(own_rate.alias("_own"), usual, count)
+    rates = rates.select(F.col("lang").alias("_lang"), weighed(F.col("_own"), F.col("_usual")).alias("rate"))
+    rates = stored(rates, "language-rates")
+    drawn = rows.join(rates, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn(
+        "_drawn", (F.col("cost") + PRIOR * F.col("rate")) / (F.col("chars") + PRIOR)
+    )
+    drawn = stored(drawn.drop("_lang", "rate"), "drawn-costs")
+    scores = ("_drawn", "peak")
+    limits = drawn.groupBy(F.col("lang").alias("_lang")).agg(
+        F.max("_known").alias("_known"), count,
+        *(at(F.when(any_, F.col(c)), 0.5, f"_mid{c}") for c in scores),
+        *(at(F.when(held, F.col(c)), quantile, f"_top{c}") for c in scores),
+    )
+    limits = stored(limits.where("_known").drop("_known"), "language-limits")
+    ratios = drawn.where(held).join(limits, F.col("lang").eqNullSafe(F.col("_lang")))
+    ratios = ratios.agg(*(at(F.col(c) / F.col(f"_mid{c}"), quantile, c) for c in scores)).first()
+    if ratios["_drawn"] is None:  # nothing was held out
+        limits = limits.where("false")
+    drawn = drawn.join(
+        limits.select(
+            "_lang",
+            *(
+                (weighed(F.col(f"_top{c}"), F.col(f"_mid{c}") * F.lit(ratios[c])) * (1 + margin)).alias(f"_limit{c}")
+                for c in scores
+            ),
+        ),
+        F.col("lang").eqNullSafe(F.col("_lang")),
+        "left",
+    )
+    within = (F.col("_drawn") <= F.col("_limit_drawn")) & (F.col("peak") <= F.col("_limitpeak"))
+    return drawn.select(
         F.col("doc").alias(id_col),
         "text_hash",
         "lang",
         F.exp("_drawn").alias("perplexity"),
-        F.exp(threshold).alias("threshold"),
+        F.exp("_limit_drawn").alias("threshold"),
         "peak",
-        peak_limit.alias("peak_limit"),
-        ((F.col("_drawn") <= threshold) & (F.col("peak") <= peak_limit)).alias("kept"),
+        F.col("_limitpeak").alias("peak_limit"),
+        F.coalesce(within, F.lit(True)).alias("kept"),
     )
 
 
