@@ -124,3 +124,12 @@ def test_components(spark):
     assert len(out) == len(found)
     assert found == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, 102: 100, 200: 200, 300: 200}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_equal_ids_and_rows_without_words_lose_no_document(spark, documents):
+    long = " ".join(f"w{k}" for k in range(40))
+    stay = [(5, long + " x"), (5, "quite other words than those"), (1, "a b c d e f g"), (1, "h i j k l m n"),
+            (None, None), (None, None), (None, " "), (3, ""), (3, ""), (7, "same text twice here now")]
+    go = [(9, long), (7, "same text twice here now"), (8, "SAME text twice here  now")]
+    kept = metricjoin.keep_one(documents(stay + go), Measure()).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(stay, key=repr)

@@ -47,6 +47,7 @@ from tidemark.llm.shingles import batched, mixed, shingle_sets
 from tidemark.scratch import Shelf, stored
 
 CHUNK_SHINGLES = 1 << 21
+WORD = r"[^\x20\x09-\x0D]"  # a character of a word, as ``shingle_sets`` has it
 NO_ID = 1 << 62  # numbers of rows without an id begin here
 
 
@@ -360,10 +361,12 @@ def linked(members: DataFrame, sets: DataFrame, measure: Measure, pivots: int =
 
 
 def joined(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, text_hash, class, n, component) for every row of ``df``.
+    """(doc, text_hash, class, n, component, group) for every row of ``df``.
 
     ``doc`` is the id, or a number from ``NO_ID`` on for rows without one;
-    ``component`` is the smallest ``doc`` that links lead to.
+    ``component`` is the smallest ``doc`` that links lead to. Components with
+    equal ids may share that name; ``group``, a class of the component, tells
+    them apart (null for rows without words).
     """
     text = F.col(text_col)
     docs = df.select(_number(id_col, text_col).alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -384,23 +387,21 @@ def joined(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: st
     named = classes.join(labels, F.col("class") == F.col("node"), "left")
     named = named.select("class", "rep", F.coalesce("component", "class").alias("_group"))
     least = named.groupBy("_group").agg(F.min("rep").alias("component"))
-    named = named.join(least, "_group").select("class", "component")
+    named = named.join(least, "_group").select("class", "component", F.col("_group").alias("group"))
     out = about.join(named, "class", "left")
-    return out.select("doc", "text_hash", "class", "n", F.coalesce("component", "doc").alias("component"))
+    return out.select("doc", "text_hash", "class", "n", F.coalesce("component", "doc").alias("component"), "group")
 
 
 def keep_one(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` with one document of each component, that with the smallest id; rows without words all stay."""
-    found = stored(joined(df, measure, id_col, text_col), "components")
-    own = F.when(F.col("n") > 0, F.lit(0)).otherwise(F.col("text_hash"))
-    alone = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
-    first = found.groupBy(alone.alias("_c"), (F.col("n") > 0).alias("_w"), own.alias("_o")).agg(
-        F.min(F.struct("doc", "text_hash")).alias("_first")
-    )
-    first = stored(first.select("_first.doc", "_first.text_hash"), "kept")
+    found = joined(df, measure, id_col, text_col).where("n > 0")
+    each = found.groupBy("group", "doc", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    first = each.groupBy("group").agg(F.min(F.struct("doc", "text_hash", "copies")).alias("_first"))
+    first = stored(first.select("_first.*"), "kept")
     keyed = df.withColumns({"_number": _number(id_col, text_col), "_hash": F.xxhash64(F.col(text_col))})
+    wordless = ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
     same = (F.col("_number") == F.col("doc")) & (F.col("_hash") == F.col("text_hash"))
-    kept = keyed.join(first, same, "left_semi")
-    if found.count() > found.select("doc", "text_hash").distinct().count():  # rows that repeat
+    kept = keyed.where(~wordless).join(first, same, "left_semi")
+    if not first.where("copies > 1").isEmpty():  # rows that repeat
         kept = kept.dropDuplicates(["_number", "_hash"])
-    return kept.drop("_number", "_hash")
+    return kept.union(keyed.where(wordless)).drop("_number", "_hash")
