@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -66,3 +70,28 @@ def test_many_turns(spark, n):
     out = chat.read_back(chat.render(chat.canonical_turns(chat.records_of_rows(df, "c", "id", "role", "text"))))
     row = out.select(F.size("read_turns").alias("n"), F.col("read_turns")[n - 1]["text"].alias("t")).first()
     assert row["n"] == n and row["t"] == "<x" * 500
+
+
+BEYOND = """
+from pyspark.sql import SparkSession, functions as F
+from tidemark.llm import chat
+
+conf = {"spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.sql.shuffle.partitions": "2"}
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+text = F.when(F.col("id") % 2 == 0, F.repeat(F.lit("<"), 1_000_000)).otherwise(F.lit("b"))
+df = spark.range(300).select(F.lit(1).alias("c"), "id", F.lit("user").alias("role"), text.alias("text"))
+few = [(2, 2, "assistant", "b"), (2, 1, None, None), (None, 1, "user", "x")]
+rows = df.union(spark.createDataFrame(few, "c int, id long, role string, text string"))
+out = chat.turns_of_rows(rows, "c", "id", "role", "text")
+size = F.aggregate("turns", F.lit(0), lambda total, t: total + F.length(t["text"]))
+found = out.select("c", F.size("turns").alias("n"), size.alias("size"), F.element_at("turns", -1)["role"].alias("role"))
+found = {r["c"]: (r["n"], r["size"], r["role"]) for r in found.collect()}
+assert found == {1: (300, 150_000_150, "user"), 2: (2, 1, "assistant"), None: (1, 1, "user")}, found
+"""
+
+
+def test_conversations_beyond_the_size_of_a_variant():
+    """In a process of its own, as the session of the tests has too little memory for a text of 150 MB."""
+    own = {"PYTHONPATH": str(Path(chat.__file__).parents[2]), "PYSPARK_SUBMIT_ARGS": "--driver-memory 8g pyspark-shell"}
+    done = subprocess.run([sys.executable, "-c", BEYOND], env=os.environ | own, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

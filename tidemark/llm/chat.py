@@ -130,7 +130,10 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: Sequen
 
 
 def records_of_rows(rows: DataFrame, key: str, order: str, role: str, text: str) -> DataFrame:
-    """One JSON record of the ``messages`` layout per conversation from a row per turn: (key, record)."""
+    """One JSON record of the ``messages`` layout per conversation from a row per turn: (key, record).
+
+    ``canonical_turns`` cannot parse records beyond the size of a variant; ``turns_of_rows`` has no such limit.
+    """
     turn = F.struct(
         F.col(order).alias("at"),
         F.coalesce(F.col(role), F.lit("")).alias("role"),
@@ -141,6 +144,25 @@ def records_of_rows(rows: DataFrame, key: str, order: str, role: str, text: str)
     return grouped.select(key, F.to_json(F.struct(listed.alias("messages"))).alias("record"))
 
 
+def turns_of_rows(rows: DataFrame, key: str, order: str, role: str, text: str) -> DataFrame:
+    """(key, turns) per conversation from a row per turn: (key, order, role, text).
+
+    Each row is a record of its own, so that only a single turn can pass the size
+    that a variant may have (128 MiB, beyond which parsing gives null). Such a
+    turn is read without parsing, as its layout is the one written here.
+    """
+    said = F.struct(F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("content"))
+    written = rows.select(F.col(key), F.col(order).alias("_at"), said.alias("_said"))
+    written = written.withColumn("_record", F.to_json(F.struct(F.array("_said").alias("messages"))))
+    mapped = canonical_turns(written, "_record")
+    as_is = F.struct(F.col("_said.role").alias("role"), F.col("_said.content").alias("text"))
+    one = F.coalesce(F.get("turns", F.lit(0)), as_is)
+    each = F.struct(F.col("_at").alias("at"), one["role"].alias("role"), one["text"].alias("text"))
+    grouped = mapped.groupBy(F.col(key)).agg(F.sort_array(F.collect_list(each)).alias("_turns"))
+    plain = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    return grouped.select(key, plain.alias("turns"))
+
+
 def _escaped(text: Column, escapes: Sequence[tuple[str, str]]) -> Column:
     for plain, code in escapes:
         text = F.replace(text, F.lit(plain), F.lit(code))

@@ -32,8 +32,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame(
         [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], rows.schema
     )
-    records = chat.records_of_rows(rows.union(probe), "conv_id", "turn", "role", "text")
-    read = chat.read_back(chat.render(chat.canonical_turns(records)))
+    turns = chat.turns_of_rows(rows.union(probe), "conv_id", "turn", "role", "text")
+    read = chat.read_back(chat.render(turns))
     turns = F.array_join(
         F.transform("read_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
