@@ -73,3 +73,27 @@ def test_defined_cases(spark, documents):
     assert sorted((r["doc_id"], r["text"] and r["text"][:5]) for r in kept.collect()) == [(1, "clean"), (2, None), (3, ""), (4, "many ")]
     assert spacedseed.without_overlaps(docs, items.where("false")).count() == 7
     assert spacedseed.without_overlaps(documents([]), items).count() == 0
+
+
+def test_broadcast_rows_are_small_whatever_the_items(spark, documents, monkeypatch):
+    sent = []
+    broadcast = spacedseed.F.broadcast
+    monkeypatch.setattr(spacedseed.F, "broadcast", lambda part: sent.append(part) or broadcast(part))
+    monkeypatch.setattr(spacedseed, "SLICE", 1000)
+    long, same = " ".join(_words(1, 600)), " ".join(_words(2, 20))
+    items = _items(spark, [(0, long)] + [(k, same) for k in range(1, 81)])
+    found = spacedseed.overlaps(documents([(1, long), (2, "x " + same), (3, "clean")]), items).collect()
+    assert {(x["doc_id"], x["item_id"], x["score"]) for x in found} == {(1, 0, 600)} | {(2, k, 20) for k in range(1, 81)}
+    assert all(set(dict(part.dtypes).values()) <= {"int", "bigint"} for part in sent)
+    assert max(part.count() for part in sent) <= 1200 and len(sent) == 2
+
+
+def test_a_seed_of_many_items_is_dealt_over_the_slices(spark, documents, monkeypatch):
+    sent = []
+    broadcast = spacedseed.F.broadcast
+    monkeypatch.setattr(spacedseed.F, "broadcast", lambda part: sent.append(part.count()) or broadcast(part))
+    monkeypatch.setattr(spacedseed, "SLICE", 200)
+    same = " ".join(_words(3, 10))
+    items = _items(spark, [(k, f"{same} t{k}") for k in range(60)])
+    found = spacedseed.overlaps(documents([(1, same)]), items).collect()
+    assert len(found) == 60 and max(sent) <= 300

@@ -7,9 +7,11 @@ over each other and compared word by word; the best run, one point for each
 equal word and one off for each other, counts as an overlap from ``least``
 points on. Words are lower-cased runs of letters and digits.
 
-Texts are never shuffled to be searched: the item side is sent to all tasks in
-slices of at most ``SLICE`` seeds, so that its size is bounded whatever the
-benchmark, and each slice is joined with the whole corpus.
+Texts are never shuffled to be searched: the seeds of the items, four numbers
+each and once for equal items, are sent to all tasks in slices of about ``SLICE``
+rows, so that their size is bounded whatever the benchmark, and each slice is
+joined with the whole corpus. What it finds is one row per document, item and
+offset; only then do the words of both come to it, by joins.
 
 Defined cases: null and empty texts have no words; items with fewer than
 ``least`` words cannot be told from chance and are left out, as are null items;
@@ -25,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.scratch import stored
+
 MASKS = ("1101011", "11100101", "1001101001")
 SLICE = 2_000_000
 LEAST = 8
@@ -38,7 +42,7 @@ def word_hashes(text: Column) -> Column:
 
 def _seeds(df: DataFrame, words: str, keep: Sequence[str], masks: Sequence[str]) -> DataFrame:
     """``keep`` columns with (place, seed) for every mask and every place where it fits; places count from 0."""
-    placed = df.select(*keep, F.explode(F.sequence(F.lit(0), F.size(words) - 1)).alias("place"))
+    placed = df.select(*keep, words, F.explode(F.sequence(F.lit(0), F.size(words) - 1)).alias("place"))
     hashed = []
     for number, mask in enumerate(masks):
         chosen = [F.get(words, F.col("place") + at) for at, used in enumerate(mask) if used == "1"]
@@ -87,38 +91,44 @@ def overlaps(
     least: int = LEAST,
 ) -> DataFrame:
     """(id, text_hash, item, score, first_word, n_words): the best overlap of each document and item that overlap."""
-    known = items.select(
-        F.col(item_col).alias("_item"), _trimmed(word_hashes(F.col(item_text_col))).alias("_theirs")
-    ).where(F.size("_theirs") >= least)
-    seeds = _seeds(known, "_theirs", ["_item", "_theirs"], masks).withColumnRenamed("place", "_at")
+    theirs = items.select(F.col(item_col).alias("_item"), _trimmed(word_hashes(F.col(item_text_col))).alias("_theirs"))
+    theirs = theirs.where(F.size("_theirs") >= least).withColumn("_key", F.xxhash64("_theirs")).distinct()
+    theirs = stored(theirs, "items")
+    known = theirs.select("_key", "_theirs").dropDuplicates(["_key"])
+    seeds = _seeds(known, "_theirs", ["_key"], masks).withColumnRenamed("place", "_at")
     slices = max(1, -(-seeds.count() // SLICE))
-    docs = df.select(
-        F.col(id_col).alias("_doc"), F.xxhash64(F.col(text_col)).alias("_text"), word_hashes(F.col(text_col)).alias("_own")
-    )
-    own = _seeds(docs, "_own", ["_doc", "_text", "_own"], masks)
+    docs = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_words"))
+    docs = docs.select("_doc", F.xxhash64("_words").alias("_text"), word_hashes(F.col("_words")).alias("_own"))
+    own = _seeds(docs, "_own", ["_doc", "_text"], masks)
     parts = []
     for k in range(slices):
-        part = seeds.where(F.pmod("seed", F.lit(slices)) == k) if slices > 1 else seeds
-        parts.append(own.join(F.broadcast(part), "seed"))  # at most about SLICE seeds
+        # by the whole row, so that a seed of very many items is in all slices
+        part = seeds.where(F.pmod(F.xxhash64("seed", "_key", "_at"), F.lit(slices)) == k) if slices > 1 else seeds
+        parts.append(own.join(F.broadcast(part), "seed"))  # about SLICE rows
     hits = reduce(DataFrame.union, parts)
+    hits = hits.select("_doc", "_text", "_key", (F.col("place") - F.col("_at")).alias("_off")).distinct()
+    hits = stored(hits, "hits").withColumnsRenamed({"_doc": "_id", "_text": "_hash"})
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
+    hits = docs.join(hits, same).join(known, "_key")
     # where both reach: from the start of the item or of the text on
-    low = F.greatest(F.lit(0), F.col("place") - F.col("_at"))
-    skip = F.greatest(F.lit(0), F.col("_at") - F.col("place"))
+    low, skip = F.greatest(F.lit(0), F.col("_off")), F.greatest(F.lit(0), -F.col("_off"))
     both = F.least(F.size("_own") - low, F.size("_theirs") - skip)
     # exploding a list of one keeps the comparison out of the join: only what lies over the item leaves it, not the text
     over = F.struct(F.slice("_own", low + 1, both).alias("own"), F.slice("_theirs", skip + 1, both).alias("theirs"))
-    hits = hits.select("_doc", "_text", "_item", low.alias("_low"), F.explode(F.array(over)).alias("_over"))
+    hits = hits.select("_doc", "_text", "_key", low.alias("_low"), F.explode(F.array(over)).alias("_over"))
     equal = F.zip_with("_over.own", "_over.theirs", lambda a, b: a == b)
-    runs = hits.select("_doc", "_text", "_item", "_low", _best_run(equal).alias("_run"))
+    runs = hits.select("_doc", "_text", "_key", "_low", _best_run(equal).alias("_run"))
     found = runs.where(F.col("_run.score") >= least).select(
-        "_doc", "_text", "_item",
+        "_doc", "_text", "_key",
         F.struct(
             F.col("_run.score").alias("score"),
             (-(F.col("_low") + F.col("_run.start"))).alias("first"),
             (F.col("_run.end") - F.col("_run.start")).alias("n_words"),
         ).alias("_best"),
     )
-    best = found.groupBy("_doc", "_text", "_item").agg(F.max("_best").alias("_best"))
+    best = found.groupBy("_doc", "_text", "_key").agg(F.max("_best").alias("_best"))
+    named = best.join(theirs.select("_key", "_item"), "_key")
+    best = named.groupBy("_doc", "_text", "_item").agg(F.max("_best").alias("_best"))
     return best.select(
         F.col("_doc").alias(id_col),
         F.col("_text").alias("text_hash"),
