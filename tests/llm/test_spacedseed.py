@@ -97,3 +97,30 @@ def test_a_seed_of_many_items_is_dealt_over_the_slices(spark, documents, monkeyp
     items = _items(spark, [(k, f"{same} t{k}") for k in range(60)])
     found = spacedseed.overlaps(documents([(1, same)]), items).collect()
     assert len(found) == 60 and max(sent) <= 300
+
+
+def test_short_items_and_items_with_changes(spark, documents):
+    items = [(n, _words(50 + n, n, 10**9)) for n in (*range(1, 13), 15)]
+    docs, expected = [], set()
+    for n, theirs in items:
+        docs.append((100 * n, " ".join(["x", *theirs, "y"])))
+        expected.add((100 * n, n))
+        for k in range(1, n - 1):  # one inner word is another
+            docs.append((100 * n + k, " ".join([*theirs[:k], "other", *theirs[k + 1 :]])))
+            if n >= 8:
+                expected.add((100 * n + k, n))
+    four = list(items[-1][1])
+    for k in (5, 7, 12, 13):
+        four[k] = f"changed{k}"
+    docs.append((9000, " ".join(four)))
+    expected.add((9000, 15))
+    found = spacedseed.overlaps(documents(docs), _items(spark, [(n, " ".join(w)) for n, w in items])).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in found} == expected
+
+
+def test_scripts_without_blanks(spark, documents):
+    item = "机器学习模型需要大量训练数据才能工作"
+    thai = "ภาษาไทยเขียนติดกันโดยไม่เว้นวรรค"
+    docs = documents([(1, f"今天我们说{item}。"), (2, item.replace("训", "测")), (3, "今天天气很好我们去公园散步"), (4, "xx " + thai), (5, "日本")])
+    found = spacedseed.overlaps(docs, _items(spark, [(1, item), (2, thai), (3, "天气很好"), (4, "本日")])).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in found} == {(1, 1), (2, 1), (4, 2), (3, 3)}

@@ -4,8 +4,12 @@ A seed is the hash of the words that a fixed mask selects from a window; where
 the mask has a 0 a word may differ. Seeds of the benchmark items are joined
 with seeds at every place of every text. Around a hit, item and text are laid
 over each other and compared word by word; the best run, one point for each
-equal word and one off for each other, counts as an overlap from ``least``
-points on. Words are lower-cased runs of letters and digits.
+equal word and one off for each other, counts as an overlap from
+``needed`` points on: ``least``, for items of fewer than twice as many words half
+of them, but no fewer than ``least`` - 2. Shorter items than ``least`` words
+count where they occur whole, found by a seed of all their words. Words are
+lower-cased runs of letters and digits; in scripts without blanks (Han, kana,
+Thai, Lao, Khmer, Burmese) each letter is a word.
 
 Texts are never shuffled to be searched: the seeds of the items, four numbers
 each and once for equal items, are sent to all tasks in slices of about ``SLICE``
@@ -13,8 +17,8 @@ rows, so that their size is bounded whatever the benchmark, and each slice is
 joined with the whole corpus. What it finds is one row per document, item and
 offset; only then do the words of both come to it, by joins.
 
-Defined cases: null and empty texts have no words; items with fewer than
-``least`` words cannot be told from chance and are left out, as are null items;
+Defined cases: null and empty texts have no words; items without words are left
+out, as are null items; an item of one word is found wherever that word is;
 items that repeat are found each; equal ids with other texts are separate; an
 empty benchmark finds nothing; extra columns are ignored.
 """
@@ -30,24 +34,41 @@ from pyspark.sql import functions as F
 from tidemark.scratch import stored
 
 MASKS = ("1101011", "11100101", "1001101001")
+SHORT = "1011101"  # with the others it finds eight words with any inner one changed
 SLICE = 2_000_000
 LEAST = 8
 
 
+#: Blocks of scripts that put no blanks between words.
+UNSPACED = (
+    r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uA9E0-\uA9FF\uAA60-\uAA7F\uF900-\uFAFF\uFF66-\uFF9F"
+    r"\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}]"
+)
+
+
 def word_hashes(text: Column) -> Column:
     """A hash per word; texts that begin or end with other characters have an empty word there."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    text = F.lower(F.coalesce(text, F.lit("")))
+    apart = F.regexp_replace(text, UNSPACED, " $0 ")
+    beyond = text.rlike(r"[\u0E00-\x{10FFFF}]")  # one comparison a character spares most texts the long list
+    words = F.split(F.when(beyond, apart).otherwise(text), r"[^\p{L}\p{N}]+")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def needed(n_words: Column, least: int) -> Column:
+    """Points that count as an overlap with an item of so many words."""
+    half = F.greatest(F.lit(least - 2), F.least(F.lit(least), F.floor(n_words / 2)))
+    return F.when(n_words < least, n_words).otherwise(half).cast("int")
+
+
 def _seeds(df: DataFrame, words: str, keep: Sequence[str], masks: Sequence[str]) -> DataFrame:
     """``keep`` columns with (place, seed) for every mask and every place where it fits; places count from 0."""
     placed = df.select(*keep, words, F.explode(F.sequence(F.lit(0), F.size(words) - 1)).alias("place"))
     hashed = []
-    for number, mask in enumerate(masks):
+    for mask in masks:
         chosen = [F.get(words, F.col("place") + at) for at, used in enumerate(mask) if used == "1"]
         fits = F.col("place") + len(mask) <= F.size(words)
-        hashed.append(F.when(fits, F.xxhash64(F.lit(number), *chosen)))
+        hashed.append(F.when(fits, F.xxhash64(F.lit(mask), *chosen)))
     many = placed.select(*keep, "place", F.explode(F.array(*hashed)).alias("seed"))
     return many.where(F.col("seed").isNotNull())
 
@@ -92,14 +113,25 @@ def overlaps(
 ) -> DataFrame:
     """(id, text_hash, item, score, first_word, n_words): the best overlap of each document and item that overlap."""
     theirs = items.select(F.col(item_col).alias("_item"), _trimmed(word_hashes(F.col(item_text_col))).alias("_theirs"))
-    theirs = theirs.where(F.size("_theirs") >= least).withColumn("_key", F.xxhash64("_theirs")).distinct()
+    theirs = theirs.where(F.size("_theirs") > 0).withColumn("_key", F.xxhash64("_theirs")).distinct()
     theirs = stored(theirs, "items")
     known = theirs.select("_key", "_theirs").dropDuplicates(["_key"])
-    seeds = _seeds(known, "_theirs", ["_key"], masks).withColumnRenamed("place", "_at")
+    long, short = F.size("_theirs") >= least, F.size("_theirs") < 2 * least - 1
+    lengths = known.where(short).select(F.size("_theirs").alias("n")).distinct().collect()  # fewer than 2 * least
+    whole = ["1" * n for n in sorted(r["n"] for r in lengths) if n < least]
+    extra = [SHORT] if any(r["n"] >= least for r in lengths) else []
+    seeds = _seeds(known.where(long), "_theirs", ["_key"], masks)
+    if extra:
+        seeds = seeds.union(_seeds(known.where(long & short), "_theirs", ["_key"], extra))
+    for mask in whole:
+        seeds = seeds.union(_seeds(known.where(F.size("_theirs") == len(mask)), "_theirs", ["_key"], [mask]))
+    seeds = seeds.withColumnRenamed("place", "_at")
+    masks = list(dict.fromkeys([*masks, *extra, *whole]))
     slices = max(1, -(-seeds.count() // SLICE))
     docs = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_words"))
-    docs = docs.select("_doc", F.xxhash64("_words").alias("_text"), word_hashes(F.col("_words")).alias("_own"))
-    own = _seeds(docs, "_own", ["_doc", "_text"], masks)
+    docs = docs.withColumn("_text", F.xxhash64("_words"))
+    words = word_hashes(F.col("_words")).alias("_own")
+    own = _seeds(docs.select("_doc", "_text", words), "_own", ["_doc", "_text"], masks)
     parts = []
     for k in range(slices):
         # by the whole row, so that a seed of very many items is in all slices
@@ -109,16 +141,17 @@ def overlaps(
     hits = hits.select("_doc", "_text", "_key", (F.col("place") - F.col("_at")).alias("_off")).distinct()
     hits = stored(hits, "hits").withColumnsRenamed({"_doc": "_id", "_text": "_hash"})
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
-    hits = docs.join(hits, same).join(known, "_key")
+    hits = docs.join(hits, same).select("_doc", "_text", "_key", "_off", words).join(known, "_key")
     # where both reach: from the start of the item or of the text on
     low, skip = F.greatest(F.lit(0), F.col("_off")), F.greatest(F.lit(0), -F.col("_off"))
     both = F.least(F.size("_own") - low, F.size("_theirs") - skip)
     # exploding a list of one keeps the comparison out of the join: only what lies over the item leaves it, not the text
     over = F.struct(F.slice("_own", low + 1, both).alias("own"), F.slice("_theirs", skip + 1, both).alias("theirs"))
-    hits = hits.select("_doc", "_text", "_key", low.alias("_low"), F.explode(F.array(over)).alias("_over"))
+    hits = hits.select("_doc", "_text", "_key", low.alias("_low"), F.size("_theirs").alias("_size"),
+                       F.explode(F.array(over)).alias("_over"))
     equal = F.zip_with("_over.own", "_over.theirs", lambda a, b: a == b)
-    runs = hits.select("_doc", "_text", "_key", "_low", _best_run(equal).alias("_run"))
-    found = runs.where(F.col("_run.score") >= least).select(
+    runs = hits.select("_doc", "_text", "_key", "_low", "_size", _best_run(equal).alias("_run"))
+    found = runs.where(F.col("_run.score") >= needed(F.col("_size"), least)).select(
         "_doc", "_text", "_key",
         F.struct(
             F.col("_run.score").alias("score"),
