@@ -8,7 +8,7 @@ import pytest
 
 from tidemark.llm import metricjoin
 from tidemark.llm.components import components
-from tidemark.llm.metricjoin import Measure
+from tidemark.llm.jaccard import Measure
 from tidemark.llm.shingles import shingle_sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,3 +133,17 @@ def test_equal_ids_and_rows_without_words_lose_no_document(spark, documents):
     go = [(9, long), (7, "same text twice here now"), (8, "SAME text twice here  now")]
     kept = metricjoin.keep_one(documents(stay + go), Measure()).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(stay, key=repr)
+
+
+def test_ids_of_all_64_bits(spark, documents):
+    low, high = -(1 << 63), (1 << 63) - 1
+    rows = [((1 << 62) + 5, "a b c d e f g"), ((1 << 62) + 6, "A b c d e f g"), (low, "h i j"), (high, "H i j")]
+    expected = [(low, 1, low), ((1 << 62) + 5, 3, (1 << 62) + 5), ((1 << 62) + 6, 3, (1 << 62) + 5), (high, 1, low)]
+    assert _got(documents(rows), Measure()) == expected
+
+
+def test_columns_with_the_names_used_inside_survive(spark, documents):
+    df = documents([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y")])
+    df = df.withColumnsRenamed({"lang": "doc", "source": "text_hash"})
+    kept = metricjoin.keep_one(df, Measure())
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]

@@ -6,10 +6,11 @@ at most ``r`` = 1 - similarity. The join never forms all pairs of a group:
 1. ``sketched``: documents are measured in tasks that exchange only shingle
    hashes. A document of whose shingles more than the share ``r`` occur in no
    other document has no partner and is done. Equal sets become one class.
-2. ``regions``: the remaining classes are laid out by single shingles, rarest
-   first; to share a region is necessary for a link, and a document enters as
-   many regions as the triangle inequality of the symmetric difference asks for
-   (its first n - ceil(t n) + 1 shingles). Regions with equal members are one.
+2. ``regions``: the remaining classes are laid out by single shingles, those first
+   that are rare in a frequency sketch of fixed size; to share a region is necessary
+   for a link, whatever the order, and a document enters as many regions as the
+   triangle inequality of the symmetric difference asks for (its first
+   n - ceil(t n) + 1 shingles; no others are exploded). Regions with equal members are one.
 3. ``linked``: every region elects a pivot and the distances of its members to
    it are computed. Members linked to the pivot are its cell; they are connected
    and need no comparison with each other. Only what the triangle inequality
@@ -24,15 +25,17 @@ skip pairs that cannot link. ``components`` then joins the links.
 
 Defined cases: documents without words have an empty set, link with nothing and
 are their own component; fewer words than a shingle has make one shingle; rows
-without an id take part and never name a component other rows could name;
-rows with equal ids are rows of their own; equal texts are one class however
-many they are; an empty table gives an empty result; extra columns are ignored.
+without an id take part and never name a component that has other rows; ids are
+integers of 64 bits, all of them; rows with equal ids are rows of their own; equal
+texts are one class however many they are; an empty table gives an empty result;
+extra columns, whatever their names, are ignored by ``joined`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import partial, reduce
 
 import numpy as np
@@ -43,43 +46,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemark.llm.components import components
-from tidemark.llm.shingles import batched, mixed, shingle_sets
+from tidemark.llm.jaccard import (
+    WORD,
+    Measure,
+    class_of,
+    distinct_regions,
+    each_set,
+    named,
+    representatives,
+    set_hashes,
+    sets_of,
+    similarities,
+    texts,
+)
 from tidemark.scratch import Shelf, stored
 
 CHUNK_SHINGLES = 1 << 21
-WORD = r"[^\x20\x09-\x0D]"  # a character of a word, as ``shingle_sets`` has it
-NO_ID = 1 << 62  # numbers of rows without an id begin here
-
-
-@dataclass(frozen=True)
-class Measure:
-    """Shingles of ``words`` words; a link from a similarity of ``num`` / ``den`` on."""
-
-    words: int = 5
-    num: int = 4
-    den: int = 5
-
-    def links(self, inter: Column, union: Column) -> Column:
-        return self.den * inter >= self.num * union
-
-
-def _number(id_col: str, text_col: str) -> Column:
-    """The id, or for rows without one a large number made of the text."""
-    own = F.shiftrightunsigned(F.xxhash64(F.col(text_col)), 2) + F.lit(NO_ID)
-    return F.coalesce(F.col(id_col).cast("long"), own)
-
-
-def _set_hashes(shingles: np.ndarray) -> tuple[int, int]:
-    """Two sums that stand for a set."""
-    again = mixed(shingles + np.uint64(0x632BE59BD9B4E019))
-    return tuple(int(x.sum().view(np.int64)) for x in (shingles, again))
-
-
+COUNTER_BITS = 24  # of the frequency sketch
+SLICE = 1 << 20
+PART_BYTES = 1 << 26  # of text whose shingles meet in a part of the hash space
 _PART = pa.schema(
     [("part", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary()),
      ("shared", pa.binary()), ("about", pa.binary())]
 )
-_ABOUT = np.dtype([(name, "<i8") for name in ("doc", "text_hash", "n", "h1", "h2", "known")])
+_ABOUT = np.dtype([(name, "<i8") for name in ("doc", "has_id", "text_hash", "n", "h1", "h2", "known")])
 _SENT = "part int, chunk long, hashes binary, docs binary, sizes binary, shared binary, about binary"
 _ANSWERED = "chunk long, docs binary, counts binary, about binary"
 _TOLD = "doc long, text_hash long, n long, h1 long, h2 long, shared long"
@@ -119,7 +109,7 @@ def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Ite
         order = np.argsort(told_place, kind="stable")
         told = told[order].astype("<u4")
         told_cuts = np.searchsorted(told_place[order], np.arange(parts + 1))
-        ids = np.array([first_ids[k] for k in range(len(sets))], "<i8")
+        ids = np.array(places, "<i8")
         columns: dict[str, list] = {name: [] for name in _PART.names}
         for p in range(parts):
             inside = owners[cuts[p] : cuts[p + 1]]
@@ -133,28 +123,25 @@ def _exchanged(words: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Ite
             columns["about"].append(rows.tobytes() if p == chunk % parts else b"")
         return pa.record_batch(columns, schema=_PART)
 
-    first_ids: list[int] = []
+    places: list[int] = []  # of the documents that tell the sets, in the chunk
     size, chunk = 0, TaskContext.get().partitionId() << 32
     for batch in batches:
-        ids = zip(batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist())
-        texts = zip(ids, (t.as_py() for t in batch.column("text")))
-        for tags, some in batched(texts):
-            for (doc, text_hash), shingles in zip(tags, shingle_sets(some, words)):
-                h1, h2 = _set_hashes(shingles)
-                key = (len(shingles), h1, h2)
-                if len(shingles) and key not in seen:
-                    seen[key] = len(sets)
-                    sets.append(shingles)
-                    first_ids.append(doc)
-                    size += len(shingles)
-                    at = seen[key]
-                else:
-                    at = -1  # its set is told by another document of the chunk
-                about.append((doc, text_hash, len(shingles), h1, h2, at))
-                if size >= CHUNK_SHINGLES:
-                    yield flush()
-                    about, sets, seen, first_ids, size = [], [], {}, [], 0
-                    chunk += 1
+        for (doc, text_hash), shingles in each_set(words, batch, "doc", "text_hash"):
+            h1, h2 = set_hashes(shingles)
+            key = (len(shingles), h1, h2)
+            if len(shingles) and key not in seen:
+                seen[key] = len(sets)
+                sets.append(shingles)
+                places.append(len(about))
+                size += len(shingles)
+                at = seen[key]
+            else:
+                at = -1  # its set is told by another document of the chunk
+            about.append((doc or 0, doc is not None, text_hash, len(shingles), h1, h2, at))
+            if size >= CHUNK_SHINGLES:
+                yield flush()
+                about, sets, seen, places, size = [], [], {}, [], 0
+                chunk += 1
     if about:
         yield flush()
 
@@ -193,13 +180,10 @@ def _told(table: pa.Table) -> pa.Table:
     """The documents of one chunk with the answers of all parts added up."""
     read = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
     about = read("about", _ABOUT)
-    ids, place = np.unique(read("docs", "<i8"), return_inverse=True)
-    sums = np.bincount(place, read("counts", "<u4"), len(ids)).astype(np.int64)
-    at = np.searchsorted(ids, about["doc"])
-    found = (at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == about["doc"] if len(ids) else False)
-    shared = about["known"] + np.where(found, sums[np.minimum(at, max(len(ids) - 1, 0))] if len(ids) else 0, 0)
-    columns = {name: pa.array(about[name], pa.int64()) for name in ("doc", "text_hash", "n", "h1", "h2")}
-    return pa.table(columns | {"shared": pa.array(shared, pa.int64())})
+    sums = np.bincount(read("docs", "<i8"), read("counts", "<u4"), len(about)).astype(np.int64)
+    columns = {name: pa.array(about[name], pa.int64()) for name in ("text_hash", "n", "h1", "h2")}
+    ids = pa.array(about["doc"], pa.int64(), mask=about["has_id"] == 0)
+    return pa.table({"doc": ids} | columns | {"shared": pa.array(about["known"] + sums, pa.int64())})
 
 
 def sketched(docs: DataFrame, measure: Measure) -> DataFrame:
@@ -208,61 +192,85 @@ def sketched(docs: DataFrame, measure: Measure) -> DataFrame:
     Questions and answers travel as packed arrays, one per chunk of documents
     and part of the hash space.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bytes_in = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), bytes_in // PART_BYTES)
     sent = docs.mapInArrow(partial(_exchanged, measure.words, parts), _SENT)
     answers = sent.groupBy("part").applyInArrow(_met, _ANSWERED)
     return answers.groupBy("chunk").applyInArrow(_told, _TOLD)
 
 
-def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, n, shingles) of the rows that have the set they stand for; ``doc`` numbers the set."""
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frequency sketch of a task's sets, in slices."""
+    counters = np.zeros(1 << COUNTER_BITS, np.uint8)
     for batch in batches:
-        tags = zip(*(batch.column(c).to_pylist() for c in ("class", "h1", "h2")))
-        for some, texts in batched(zip(tags, (t.as_py() for t in batch.column("text")))):
-            ids, sets = [], []
-            for (doc, h1, h2), shingles in zip(some, shingle_sets(texts, words)):
-                if _set_hashes(shingles) == (h1, h2):
-                    ids.append(doc)
-                    sets.append(shingles.view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            values = np.concatenate([*sets, np.zeros(0, np.int64)])
-            yield pa.record_batch(
-                {
-                    "doc": pa.array(ids, pa.int64()),
-                    "n": pa.array(np.diff(offsets), pa.int64()),
-                    "shingles": pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64())),
-                }
-            )
+        column = batch.column("shingles")
+        for k in range(batch.num_rows):
+            own = _counter(column[k].values.to_numpy(zero_copy_only=False).view(np.uint64))
+            counters[own] = np.minimum(counters[own], 254) + 1
+    for k in range(0, len(counters), SLICE):
+        part = counters[k : k + SLICE]
+        if part.any():
+            yield pa.record_batch({"slice": pa.array([k // SLICE], pa.int32()), "counts": pa.array([zlib.compress(part, 1)], pa.binary())})
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of the slices of a task; counts stop at the largest byte."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, counts in zip(batch.column("slice").to_pylist(), batch.column("counts")):
+            own = np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
+            sums[k] = np.minimum(sums[k].astype(np.uint16) + own, 255).astype(np.uint8) if k in sums else own
+    for k, total in sums.items():
+        yield pa.record_batch({"slice": pa.array([k], pa.int32()), "counts": pa.array([zlib.compress(total, 1)], pa.binary())})
 
 
-def regions(sets: DataFrame, measure: Measure) -> DataFrame:
-    """(region, doc, n, own): classes by the first of their shingles, rarest first; ``own`` counts shingles that no
-    other class has. Regions of one member are left out."""
-    each = sets.select("doc", "n", F.explode("shingles").alias("s"))
-    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = each.join(often, "s").groupBy("doc", "n")
-    ranked = shared.agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("_ranked"))
-    # shingles of one document only come first in the order, and need no region
-    room = F.floor(F.col("n") - F.ceil(F.col("n") * measure.num / measure.den) + 1) - (F.col("n") - F.size("_ranked"))
-    first = F.slice("_ranked", F.lit(1), room.cast("int")).alias("_first")
-    ranked = ranked.where(room > 0).select("doc", "n", (F.col("n") - F.size("_ranked")).alias("own"), first)
-    placed = ranked.select(F.explode("_first.s").alias("region"), "doc", "n", "own")
-    placed = stored(placed, "regions")
-    key = F.xxhash64("doc").cast("decimal(38,0)")
-    alike = placed.groupBy("region").agg(
-        F.count(F.lit(1)).alias("_c"), F.sum(key).alias("_s"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("_x")
-    )
-    alike = alike.where("_c > 1").groupBy("_c", "_s", "_x").agg(F.min("region").alias("region")).select("region")
-    return stored(placed.join(alike, "region"), "regions")
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """How many of the sets have a shingle of each range of hashes, a byte each: 16 megabytes, whatever the input.
+
+    The slices of the tasks are added up in two steps.
+    """
+    schema = "slice int, counts binary"
+    slices = sets.select("shingles").mapInArrow(_counted, schema).withColumn("bin", F.xxhash64("counts") % 64)
+    bins = slices.repartition("slice", "bin").select("slice", "counts").mapInArrow(_added, schema)
+    sketch = np.zeros(1 << COUNTER_BITS, np.uint8)
+    for row in bins.repartition("slice").mapInArrow(_added, schema).collect():
+        sketch[row["slice"] * SLICE :][:SLICE] = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
+    return sketch
+
+
+def _first(measure: Measure, sketch: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first shingles of each set, those that are rare by the sketch before others."""
+    for batch in batches:
+        column, firsts = batch.column("shingles"), []
+        for k in range(batch.num_rows):
+            shingles = column[k].values.to_numpy(zero_copy_only=False).view(np.uint64)
+            room = len(shingles) - -(-len(shingles) * measure.num // measure.den) + 1
+            firsts.append(shingles[np.lexsort((shingles, sketch[_counter(shingles)]))[:room]].view(np.int64))
+        offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
+        values = pa.array(np.concatenate([*firsts, np.zeros(0, np.int64)]), pa.int64())
+        yield pa.record_batch(
+            {"doc": batch.column("doc"), "n": batch.column("n"), "first": pa.ListArray.from_arrays(offsets, values)}
+        )
 
 
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, inter, union) of pairs of classes."""
-    left = sets.select(F.col("doc").alias("a"), F.col("n").alias("_na"), F.col("shingles").alias("_sa"))
-    right = sets.select(F.col("doc").alias("b"), F.col("n").alias("_nb"), F.col("shingles").alias("_sb"))
-    joined = pairs.join(left, "a").join(right, "b")
-    inter = F.size(F.array_intersect("_sa", "_sb")).cast("long")
-    return joined.select("a", "b", inter.alias("inter"), (F.col("_na") + F.col("_nb") - inter).alias("union"))
+def regions(sets: DataFrame, own: DataFrame, measure: Measure) -> DataFrame:
+    """(region, doc, n, own): classes by the first of their shingles, those rare in a sketch of all sets first.
+
+    ``own`` (doc, own) counts shingles that no other document has. Regions of one member are left out.
+    """
+    rows = sets.select("doc", "n", "shingles").mapInArrow(
+        partial(_first, measure, frequencies(sets)), "doc long, n long, first array<long>"
+    )
+    each = stored(rows, "firsts").select("doc", "n", F.posexplode("first").alias("_place", "region"))
+    # the smaller of two sets that link has a common shingle even earlier
+    early = F.col("_place") <= F.col("n") - F.ceil(F.col("n") * 2 * measure.num / (measure.num + measure.den))
+    met = each.groupBy("region").agg(F.count(F.lit(1)).alias("_c"), F.max(early).alias("_early"))
+    placed = stored(each.join(met.where("_c > 1 and _early").select("region"), "region").select("region", "doc", "n"), "regions")
+    return stored(distinct_regions(placed).join(own, "doc").select("region", "doc", "n", "own"), "regions")
 
 
 def _may_link(measure: Measure, sizes: Column, apart: Column) -> Column:
@@ -307,7 +315,7 @@ def linked(members: DataFrame, sets: DataFrame, measure: Measure, pivots: int =
         asked = met.select("a", "b").distinct()
         for before in known:
             asked = asked.join(before.select("a", "b"), ["a", "b"], "left_anti")
-        known.append(shelf.put(_distances(asked, sets), f"distances-{level}"))
+        known.append(shelf.put(similarities(asked, sets), f"distances-{level}"))
         every = reduce(DataFrame.union, known)
         links = every.where(measure.links(F.col("inter"), F.col("union")))
         new = known[-1].where(measure.links(F.col("inter"), F.col("union")))
@@ -361,47 +369,38 @@ def linked(members: DataFrame, sets: DataFrame, measure: Measure, pivots: int =
 
 
 def joined(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, text_hash, class, n, component, group) for every row of ``df``.
-
-    ``doc`` is the id, or a number from ``NO_ID`` on for rows without one;
-    ``component`` is the smallest ``doc`` that links lead to. Components with
-    equal ids may share that name; ``group``, a class of the component, tells
-    them apart (null for rows without words).
-    """
-    text = F.col(text_col)
-    docs = df.select(_number(id_col, text_col).alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    """(doc, text_hash, class, n, component, group) for every row of ``df``, see ``jaccard.named``."""
+    docs = texts(df, id_col, text_col)
     rows = stored(sketched(docs, measure), "sketches")
-    about = rows.withColumn("class", F.xxhash64("n", "h1", "h2"))
-    some = about.where("n > 0")
-    classes = stored(some.groupBy("class", "n", "h1", "h2").agg(F.min("doc").alias("rep")), "classes")
     # equal sets of a chunk are told by one row: a class may have partners if any of its rows may
-    near = some.where(measure.den * F.col("shared") >= measure.num * F.col("n"))
-    ask = classes.join(near.select("class").distinct(), "class").select("class", "h1", "h2", F.col("rep").alias("doc"))
-    ask = stored(ask, "candidates")
-    sets = docs.join(ask, "doc").mapInArrow(partial(_sets, measure.words), "doc long, n long, shingles array<long>")
-    sets = stored(sets, "shingle-sets")
-    total = sets.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc").alias("d")).first()
-    if total["n"] > total["d"]:  # rows that repeat
-        sets = stored(sets.dropDuplicates(["doc"]), "shingle-sets")
-    labels = linked(regions(sets, measure), sets, measure)
-    named = classes.join(labels, F.col("class") == F.col("node"), "left")
-    named = named.select("class", "rep", F.coalesce("component", "class").alias("_group"))
-    least = named.groupBy("_group").agg(F.min("rep").alias("component"))
-    named = named.join(least, "_group").select("class", "component", F.col("_group").alias("group"))
-    out = about.join(named, "class", "left")
-    return out.select("doc", "text_hash", "class", "n", F.coalesce("component", "doc").alias("component"), "group")
+    near = rows.where("n > 0").groupBy(class_of().alias("class"), "n").agg(F.max("shared").alias("shared"))
+    near = near.where(measure.den * F.col("shared") >= measure.num * F.col("n"))
+    wanted = representatives(rows).join(near.select("class", "shared"), "class")
+    wanted = stored(wanted, "candidates")
+    own = wanted.select(F.col("class").alias("doc"), (F.col("n") - F.col("shared")).alias("own"))
+    sets = sets_of(docs, wanted, measure.words)
+    return named(rows.drop("shared"), linked(regions(sets, own, measure), sets, measure))
 
 
 def keep_one(df: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` with one document of each component, that with the smallest id; rows without words all stay."""
-    found = joined(df, measure, id_col, text_col).where("n > 0")
-    each = found.groupBy("group", "doc", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
-    first = each.groupBy("group").agg(F.min(F.struct("doc", "text_hash", "copies")).alias("_first"))
+    return one_of_each(df, joined(df, measure, id_col, text_col), id_col, text_col)
+
+
+def one_of_each(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``df`` that come first in their group of ``found``, by id and then by the hash of the text."""
+    each = found.where("n > 0").groupBy("group", "doc", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_hash", "copies")
+    first = each.groupBy("group").agg(F.min(order).alias("_first"))
     first = stored(first.select("_first.*"), "kept")
-    keyed = df.withColumns({"_number": _number(id_col, text_col), "_hash": F.xxhash64(F.col(text_col))})
-    wordless = ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
-    same = (F.col("_number") == F.col("doc")) & (F.col("_hash") == F.col("text_hash"))
-    kept = keyed.where(~wordless).join(first, same, "left_semi")
+    words = F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
+    rows, kept = uuid.uuid4().hex, uuid.uuid4().hex
+    d, k = df.where(words).alias(rows), first.alias(kept)
+    number, text_hash = F.col(f"`{rows}`.`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{rows}`.`{text_col}`"))
+    same = number.eqNullSafe(F.col(f"`{kept}`.doc")) & (text_hash == F.col(f"`{kept}`.text_hash"))
+    stays = d.join(k, same, "left_semi")
     if not first.where("copies > 1").isEmpty():  # rows that repeat
-        kept = kept.dropDuplicates(["_number", "_hash"])
-    return kept.union(keyed.where(wordless)).drop("_number", "_hash")
+        marks = [f"{rows}_id", f"{rows}_text"]
+        numbered = stays.withColumns({marks[0]: F.col(id_col).cast("long"), marks[1]: F.xxhash64(F.col(text_col))})
+        stays = numbered.dropDuplicates(marks).drop(*marks)
+    return stays.union(df.where(~words))
