@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import binpack, chat, kneser, langmix, linedup, metricjoin, raking, spacedseed, tokenfile, weakrules
+from tidemark.llm import (
+    binpack,
+    bursttrie,
+    chat,
+    kneser,
+    langmix,
+    linedup,
+    metricjoin,
+    raking,
+    resample,
+    spacedseed,
+    tensorhash,
+    tokenfile,
+    weakrules,
+)
+from tidemark.llm.jaccard import Measure
 from tidemark.scratch import scratch_folder, stored
 
 
@@ -121,9 +135,12 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under links of 85 in 100 four-word shingles."""
-    found = metricjoin.joined(_table(spark, sf_dir, "documents"), metricjoin.Measure(words=4, num=85, den=100))
-    own = lambda c: F.when(F.col(c) < metricjoin.NO_ID, F.col(c))
-    return found.select(own("doc").alias("doc_id"), F.col("n").alias("n_shingles"), own("component").alias("component_id"))
+    found = metricjoin.joined(_table(spark, sf_dir, "documents"), Measure(words=4, num=85, den=100))
+    return _components(found)
+
+
+def _components(found: DataFrame) -> DataFrame:
+    return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +156,26 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards ``benchmark``, the five in a hundred with the highest scores ranked."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = resample.fit(docs, _table(spark, sf_dir, "benchmark"))
+    scores = stored(resample.scored(docs, model), "scores")
+    return resample.drawn(scores, percent=5).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of 80 in 100 two-word shingles, and which document of each stays."""
+    found = tensorhash.near_duplicates(_table(spark, sf_dir, "documents"), Measure(words=2, num=80, den=100))
+    return _components(found).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def op13_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each opened by turns of its group's first one."""
+    rows = bursttrie.turns(_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return bursttrie.trie(bursttrie.regrafted(stored(rows, "turns")))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -152,10 +189,42 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_runs,
         op9_metric_join,
         op10_kneser_ney,
+        op11_importance_resampling,
+        op12_tensor_minhash,
+        op13_burst_trie,
     )
 }
 
-LLM_QUERIES["pipeline"] = corpus_pipeline.run
+#: Checksum of the bytes that a list ``octets`` holds, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], octets), lambda c, o: list_reduce(
+    [xor(c, o), 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT],
+    lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
+
+#: The bytes of a text in UTF-8.
+_OCTETS = "list_transform(range(octet_length(encode({0}))), lambda i: CAST('0x' || hex(encode({0}))[2*i+1:2*i+2] AS BIGINT))"
+
+_LINKED_SQL = r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - {words} + 2),
+                lambda i: array_to_string(w[i:i + {words} - 1], ' '))) END AS s FROM words
+    ), items AS (
+        SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+    ), links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b USING (g)
+        WHERE a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= {least} * greatest(a.n, b.n)
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {least} * (a.n + b.n - count(*))
+    ), reached AS (
+        SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+    ), named AS (
+        SELECT x, min(y) AS y FROM reached GROUP BY x
+    )
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id{more}
+    FROM sets LEFT JOIN named ON doc_id = x
+"""
 
 LLM_SQL: dict[str, str] = {
     "op2_chat_format": r"""
@@ -194,4 +263,84 @@ LLM_SQL: dict[str, str] = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op9_metric_join": _LINKED_SQL.format(words=4, least=85, more=""),
+    "op11_importance_resampling": rf"""
+        WITH words AS (
+            SELECT 0 AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents
+            UNION ALL
+            SELECT 1, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') FROM benchmark
+        ), runs AS (
+            SELECT side, id, unnest(list_concat(w,
+                list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM words
+        ), features AS (
+            SELECT f, {_OCTETS.format("f")} AS octets FROM (SELECT DISTINCT f FROM runs)
+        ), buckets AS (
+            SELECT f, {_CRC32} % 10000 AS bucket FROM features
+        ), counted AS (
+            SELECT side, id, bucket, count(*) AS n FROM runs JOIN buckets USING (f) GROUP BY ALL
+        ), sums AS (
+            SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t
+            FROM counted GROUP BY bucket
+        ), totals AS (
+            SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(s_all AS DOUBLE) + 10000)
+                / ((CAST(s AS DOUBLE) + 1) * (CAST(t_all AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM sums, totals
+        ), weights AS (
+            SELECT id, sum(n) AS n, sum(n * gain) AS weight FROM counted JOIN gains USING (bucket) WHERE side = 0 GROUP BY id
+        ), scored AS (
+            SELECT id AS doc_id, len(w) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+                CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln(
+                (CAST(('0x' || sha256('42:' || id)[1:8]) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+            FROM words LEFT JOIN weights USING (id) WHERE side = 0
+        ), placed AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS total
+            FROM scored WHERE n_words >= 20
+        )
+        SELECT scored.doc_id, n_features, weight, score, CASE WHEN place <= 5 * total // 100 THEN place END AS rank
+        FROM scored LEFT JOIN placed USING (doc_id)
+    """,
+    "op12_tensor_minhash": _LINKED_SQL.format(
+        words=2, least=80, more=", doc_id = least(doc_id, coalesce(y, doc_id)) AS kept"
+    ),
+    "op13_burst_trie": rf"""
+        WITH own AS (
+            SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), octets AS (
+            SELECT conv_id, turns, {_OCTETS.format("CAST(conv_id AS VARCHAR)")} AS octets FROM own
+        ), cut AS (
+            SELECT conv_id, turns, {_CRC32} % 4 AS h FROM octets
+        ), built AS (
+            SELECT c.conv_id, list_concat(coalesce(b.turns[1:h], []), c.turns[h + 1:]) AS turns
+            FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+        ), paths AS (
+            SELECT conv_id, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM built
+        ), members AS (
+            SELECT conv_id, depth, n, turns[1:depth] AS path FROM paths
+        ), nodes AS (
+            SELECT depth, path, min(conv_id) AS conv, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends
+            FROM members GROUP BY depth, path
+        ), own_tokens AS (
+            SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1)
+                * len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS tokens FROM nodes
+        ), families AS (
+            SELECT n.*, p.conv AS parent, count(c.conv) AS children
+            FROM own_tokens n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+            LEFT JOIN nodes c ON c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path GROUP BY ALL
+        ), above AS (
+            SELECT unnest(range(depth + 1)) AS top, path, tokens, children FROM families
+        ), sums AS (
+            SELECT top, path[1:top] AS path, count(*) FILTER (children = 0) AS leaves, sum(tokens) AS saved
+            FROM above GROUP BY ALL
+        )
+        SELECT conv AS conv_id, CAST(f.depth AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, children AS n_children,
+            leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+        FROM families f JOIN sums s ON s.top = f.depth AND s.path = f.path
+    """,
 }
