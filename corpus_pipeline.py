@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import binpack, kneser, metricjoin, raking, spacedseed
+from tidemark.llm.jaccard import Measure
 from tidemark.scratch import stored
 
 SHARDS = 8
@@ -31,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 8 in 10 five-word shingles."""
-    return metricjoin.keep_one(docs, metricjoin.Measure(words=5, num=4, den=5))
+    return metricjoin.keep_one(docs, Measure(words=5, num=4, den=5))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
