@@ -45,6 +45,16 @@ def increment(
     return df if end is None else df.filter(F.col(date) <= end)
 
 
+def increment_by_entity(
+    df: DataFrame, marks: DataFrame, entity: str, date: str = "date", lookback_days: int = 0
+) -> DataFrame:
+    """Rows after the mark of their own entity in (entity, latest); all rows of an entity without one."""
+    known = marks.select(F.col("entity").alias("_entity"), F.col("latest").alias("_latest"))
+    marked = df.join(known, F.col(entity) == F.col("_entity"), "left")
+    late = F.col("_latest").isNull() | (F.col(date) > F.date_sub("_latest", lookback_days))
+    return marked.filter(late).drop("_entity", "_latest")
+
+
 def diff_with_seed(
     new: DataFrame,
     stored: DataFrame | None,

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import dateid
 from tidemark.operators.aggregate import last_per_key, month_rollup
-from tidemark.operators.incremental import is_resume
+from tidemark.operators.incremental import increment_by_entity, is_resume
 from tidemark.operators.quality import missing_entities
 from tidemark.operators.select import in_range
 from tidemark.operators.windows import forward_fill
@@ -21,7 +22,8 @@ from tidemark.sinks.texts import write_text_list
 from tidemark.sinks.warehouse import Warehouse
 from tidemark.sources.files import read_series_csv, read_text_list
 from tidemark.sources.markup import ticker_rows
-from tidemark.sources.prices import good_prices, quarantined, read_price_files
+from tidemark.sources.prices import file_versions, good_prices, list_price_files, quarantined, read_price_files
+from tidemark.storage import Folders
 
 # Index series and the score columns they fill.
 INDEX_COLUMNS = {"djia": "dowjones_score", "nasdaq100": "nasdaq100_score", "sp500": "sp500_score"}
@@ -83,6 +85,10 @@ def extract_sp500_tickers(
     return Report(True, observed["n_rows"])
 
 
+#: What a price row is known by.
+PRICE = ("stock_ticker", "date")
+
+
 def extract_batch_stock(
     wh: Warehouse,
     price_dir: str,
@@ -93,24 +99,48 @@ def extract_batch_stock(
 ) -> Report:
     """Price files to raw rows; broken lines and tickers without rows are set aside.
 
-    A first load takes all days from ``start`` on, without it all there are. A
-    file that cannot be used does not stop the others. The folder is parsed
-    once, its lines are kept until good and broken ones are stored.
+    Only files are parsed that are new, that have changed, or that hold rows
+    after the end of the last load: a ledger knows the versions that were read.
+    A file that was only added to gives the rows after its ticker's own mark, so
+    it does not matter when it comes. Any other change replaces the rows and the
+    broken lines that the file gave before. A first load of a file takes all days
+    from ``start`` on, without it all there are; ``lookback_days`` reads all files
+    again. Rows of other tickers stay, whatever day they are of. A file that
+    cannot be used does not stop the others. Names of files to read are the one
+    thing that is collected.
     """
     name = "stock_price_raw"
-    todo = bounds(wh.mark(name), end or dt.date.today(), lookback_days)
-    if todo is None:
+    end = end or dt.date.today()
+    files = list_price_files(wh.spark, price_dir)
+    ledger = wh.ledger(name)
+    settled = (F.coalesce("last_date", "until") <= F.col("until")) | (F.col("until") >= F.lit(end))
+    seen = ledger.filter(settled).select("file", "length", "modified", F.lit(True).alias("_seen"))
+    todo = files.join(seen, ["file", "length", "modified"], "left")
+    if not lookback_days:
+        todo = todo.filter(F.col("_seen").isNull())
+    todo = stored(todo.drop("_seen"), "files")
+    paths = [row.path for row in todo.select("path").collect()]
+    if not paths:
         return UP_TO_DATE
-    first = start if todo.low is None else todo.low + dt.timedelta(days=1)
-    lines = stored(read_price_files(wh.spark, price_dir), "price-lines")
-    observed = wh.load(name, in_range(good_prices(lines), first, todo.end))
-    broken = _set_aside(lines, error_dir)
-    recent = wh.read(name, after=None if first is None else first - dt.timedelta(days=1), until=todo.end)
+    mark = wh.mark(name)
+    lines = stored(read_price_files(wh.spark, paths), "price-lines")
+    versions = stored(file_versions(todo, lines, ledger, end), "file-versions")
+    good = good_prices(lines).filter(F.col("date") <= F.lit(end)).join(versions.select("file", "grew"), "file")
+    whole = in_range(good.filter(~F.col("grew")), start, end)
+    added = increment_by_entity(good.filter("grew"), wh.entity_marks(name), "stock_ticker", lookback_days=lookback_days)
+    rows = whole.unionByName(added)
+    changed = versions.filter("known and not grew").select("stock_ticker")
+    observed = wh.merge(name, rows, PRICE, None if changed.isEmpty() else changed)
+    broken = _set_aside(wh, lines, versions, error_dir)
+    recent = wh.read(name, after=mark if is_resume(mark) and mark < end else None, until=end)
     tickers = wh.read("stock_ticker_raw").select(F.col("ticker").alias("stock_ticker"))
     write_text_list(missing_entities(tickers, recent, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
+    latest = good.groupBy(F.col("stock_ticker").alias("entity")).agg(F.max("date").alias("latest"))
+    wh.raise_entity_marks(name, latest)
+    wh.note_files(name, versions)
     if observed["max_date"] is None:
-        return UP_TO_DATE
-    finished(wh, name, todo, observed["max_date"])
+        return Report(False, 0, {"broken lines": broken})
+    finished(wh, name, Bounds(observed["min_date"] - dt.timedelta(days=1), end), observed["max_date"])
     return Report(True, observed["n_rows"], {"broken lines": broken})
 
 
@@ -119,29 +149,41 @@ def extract_single_date_stock(
 ) -> Report:
     """Prices of one day, for the tickers of a text list or of the ticker table.
 
-    The day is stored again if it was there before. The mark stays.
+    The rows of these tickers are stored again if they were there before, those
+    of others stay. Only files of these tickers are parsed. Marks stay.
     """
-    lines = stored(read_price_files(wh.spark, price_dir), "price-lines")
+    name = "stock_price_raw"
     if ticker_list is None:
         tickers = wh.read("stock_ticker_raw").select(F.col("ticker").alias("stock_ticker"))
     else:
         tickers = read_text_list(wh.spark, ticker_list, "stock_ticker")
-    prices = in_range(good_prices(lines), date, date).join(tickers.distinct(), "stock_ticker", "left_semi")
-    observed = wh.load("stock_price_raw", prices)
-    broken = _set_aside(lines, error_dir)
-    loaded = wh.read("stock_price_raw", after=date - dt.timedelta(days=1), until=date)
+    files = list_price_files(wh.spark, price_dir).join(tickers.distinct(), "stock_ticker", "left_semi")
+    files = stored(files, "files")
+    paths = [row.path for row in files.select("path").collect()]
+    if not paths:
+        return UP_TO_DATE
+    lines = stored(read_price_files(wh.spark, paths), "price-lines")
+    observed = wh.merge(name, in_range(good_prices(lines), date, date), PRICE)
+    broken = _set_aside(wh, lines, files, error_dir)
+    loaded = wh.read(name, after=date - dt.timedelta(days=1), until=date)
     write_text_list(missing_entities(tickers, loaded, "stock_ticker"), "stock_ticker", f"{error_dir}/no_rows")
-    if wh.mark("stock_price_raw") >= date:
-        finished(wh, "stock_price_raw", Bounds(date - dt.timedelta(days=1), date))
+    if wh.mark(name) >= date:
+        finished(wh, name, Bounds(date - dt.timedelta(days=1), date))
     return Report(True, observed["n_rows"], {"broken lines": broken})
 
 
-def _set_aside(lines: DataFrame, error_dir: str) -> int:
-    """Add the broken lines of a run to those of earlier runs; how many there were."""
-    found = Observation()
-    broken = quarantined(lines).observe(found, F.count(F.lit(1)).alias("n"))
-    broken.write.mode("append").json(f"{error_dir}/broken_lines")
-    return found.get["n"]
+_BROKEN = "file string, stock_ticker string, broken string"
+
+
+def _set_aside(wh: Warehouse, lines: DataFrame, files: DataFrame, error_dir: str) -> int:
+    """The broken lines of these files in place of those that earlier versions of them gave; how many there are."""
+    folders, kept = Folders(wh.spark), f"{error_dir}/broken_lines"
+    broken = stored(quarantined(lines), "broken-lines")
+    before = wh.spark.read.schema(_BROKEN).json(kept) if folders.exists(kept) else wh.spark.createDataFrame([], _BROKEN)
+    fresh = f"{error_dir}/_broken_lines_{uuid.uuid4().hex}"
+    before.join(files.select("file"), "file", "left_anti").unionByName(broken).write.json(fresh)
+    folders.move(fresh, kept)
+    return broken.count()
 
 
 def extract_major_stock_indexes(

@@ -20,7 +20,9 @@ from tidemark.schemas import TABLES
 from tidemark.scratch import scratch_folder, stored
 from tidemark.sinks.texts import write_text_list
 from tidemark.sinks.warehouse import Warehouse
+from tidemark.storage import Folders
 from tidemark.sources import files, markup, nested
+from tidemark.sources.prices import PRICE_COLUMNS
 from tidemark.streaming import daily
 from tidemark import views
 
@@ -850,6 +852,84 @@ def warehouse_marks(spark, sf):
     return marks.select("table_name", dates.iso_text(F.col("latest_date")).alias("latest"))
 
 
+PRICE_START, PRICE_SPLIT, PRICE_END = dt.date(1998, 1, 15), dt.date(1998, 2, 10), dt.date(1998, 3, 10)
+PRICE_LOADS = ("stock_ticker_raw", "stock_price_raw", "stock_price_fact", "stock_price_monthly_fact")
+
+
+def _prices(spark, sf) -> DataFrame:
+    ticker = F.translate("stock_ticker", "#", "")
+    return stored(views.price_daily(spark, sf).withColumn("stock_ticker", ticker), "prices")
+
+
+def _price_lines(prices: DataFrame, high=F.col("High").cast("string")) -> DataFrame:
+    """(stock_ticker, line) of price files; their headers are lines as well."""
+    values = [F.col(c).cast("string") for c in ("Low", "Open", "Close", "Volume", "adj_close")]
+    lines = prices.select("stock_ticker", F.concat_ws(",", dates.iso_text(F.col("date")), high, *values).alias("line"))
+    header = F.lit(",".join(PRICE_COLUMNS)).alias("line")
+    return lines.unionByName(prices.select("stock_ticker").distinct().select("stock_ticker", header))
+
+
+def _land_prices(lines: DataFrame, folder: str) -> None:
+    """One ``<ticker>.csv`` per ticker in a folder, over earlier ones of the same tickers."""
+    folders, fresh = Folders(lines.sparkSession), scratch_folder(lines.sparkSession, "landing")
+    lines.repartition("stock_ticker").write.partitionBy("stock_ticker").text(fresh)
+    for part in folders.names(fresh):
+        (file,) = (f for f in folders.files(f"{fresh}/{part}") if f.startswith("part-"))
+        folders.move(f"{fresh}/{part}/{file}", f"{folder}/{part.partition('=')[2]}.csv")
+
+
+def _some(share: int):
+    return F.substring("stock_ticker", 6, 9).cast("int") % share == 0  # of Brand<number>
+
+
+@query
+def price_merge(spark, sf):
+    """Files of some tickers come late, one day is loaded again for a few; no row is lost."""
+    prices, folder, errors = _prices(spark, sf), scratch_folder(spark, "landed"), scratch_folder(spark, "errors")
+    wh = _warehouse(spark, PRICE_LOADS)
+    for part in (~_some(3), _some(3)):
+        _land_prices(_price_lines(prices.filter(part)), folder)
+        markets.extract_batch_stock(wh, folder, errors, PRICE_SPLIT, start=PRICE_START)
+    few = scratch_folder(spark, "few")
+    write_text_list(prices.filter(_some(5)).select("stock_ticker").distinct(), "stock_ticker", few)
+    markets.extract_single_date_stock(wh, folder, errors, dt.date(1998, 2, 2), few)
+    markets.extract_batch_stock(wh, folder, errors, PRICE_END)
+    return present(wh.read("stock_price_raw"))
+
+
+@query
+def late_ticker_equals_full(spark, sf):
+    """A file that comes when all others have been loaded, without looking back."""
+    prices, folder, errors = _prices(spark, sf), scratch_folder(spark, "landed"), scratch_folder(spark, "errors")
+    wh = _warehouse(spark, PRICE_LOADS)
+    for part in (~_some(4), _some(4)):
+        _land_prices(_price_lines(prices.filter(part)), folder)
+        markets.extract_batch_stock(wh, folder, errors, PRICE_END, start=PRICE_START)
+        markets.transform_raw_to_fact_stock(wh)
+        markets.aggregate_fact_to_monthly_fact_stock(wh)
+    return present(wh.read("stock_price_monthly_fact").drop("dateid", "year", "month", "month_name"), 7)
+
+
+@query
+def price_quarantine(spark, sf):
+    """Broken lines of files loaded twice, then of some files that have been mended."""
+    prices, folder, errors = _prices(spark, sf), scratch_folder(spark, "landed"), scratch_folder(spark, "errors")
+    day = F.dayofmonth("date")
+    high = F.when(day == 7, "oops").when(day == 9, "1,2").otherwise(F.col("High").cast("string"))
+    wh = _warehouse(spark, PRICE_LOADS)
+    for lines in (_price_lines(prices, high), None, _price_lines(prices.filter(_some(3)))):
+        if lines is not None:
+            _land_prices(lines, folder)
+        markets.extract_batch_stock(wh, folder, errors, PRICE_SPLIT, start=PRICE_START)
+    broken = spark.read.schema("stock_ticker string, broken string").json(f"{errors}/broken_lines")
+    first = F.substring("broken", 1, 10)
+    stored_rows = wh.read("stock_price_raw").groupBy("stock_ticker").agg(F.count(F.lit(1)).alias("n_stored"))
+    told = broken.groupBy("stock_ticker").agg(
+        F.count(F.lit(1)).alias("n_broken"), F.min(first).alias("first"), F.max(first).alias("last")
+    )
+    return stored_rows.join(told, "stock_ticker", "left").na.fill(0, ["n_broken"])
+
+
 # -- quality ----------------------------------------------------------------
 
 

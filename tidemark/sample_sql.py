@@ -208,6 +208,31 @@ SQL: dict[str, str] = {
                     {', '.join(f'ROUND(AVG({s}), 7) AS {s}' for s in SCORES)} FROM idx GROUP BY 1)
         SELECT {iso('date')}, {month_keys()}, {', '.join(SCORES)} FROM m""",
     ),
+    "price_merge": with_views(
+        "price",
+        f"""SELECT replace(stock_ticker, '#', '') AS stock_ticker, {iso('date')}, High, Low, Open, Close, Volume, adj_close
+        FROM price WHERE date BETWEEN DATE '1998-01-15' AND DATE '1998-03-10'""",
+    ),
+    "late_ticker_equals_full": with_views(
+        "price",
+        f""", m AS (SELECT replace(stock_ticker, '#', '') AS stock_ticker, CAST(date_trunc('month', date) AS DATE) AS date,
+                    {', '.join(f'ROUND(AVG({c}), 7) AS {c}' for c in ('High', 'Low', 'Open', 'Close', 'adj_close'))},
+                    SUM(Volume) AS Volume FROM price
+                    WHERE date BETWEEN DATE '1998-01-15' AND DATE '1998-03-10' GROUP BY 1, 2)
+        SELECT stock_ticker, {iso('date')}, High, Low, Open, Close, Volume, adj_close FROM m""",
+    ),
+    "price_quarantine": with_views(
+        "price",
+        """, lines AS (SELECT replace(stock_ticker, '#', '') AS stock_ticker, date,
+                    day(date) IN (7, 9) AND CAST(substr(replace(stock_ticker, '#', ''), 6) AS INTEGER) % 3 <> 0 AS broken
+                    FROM price)
+        SELECT stock_ticker,
+            count(*) FILTER (NOT broken AND date BETWEEN DATE '1998-01-15' AND DATE '1998-02-10') AS n_stored,
+            count(*) FILTER (broken) AS n_broken, min(strftime(date, '%Y-%m-%d')) FILTER (broken) AS first,
+            max(strftime(date, '%Y-%m-%d')) FILTER (broken) AS last
+        FROM lines GROUP BY stock_ticker
+        HAVING n_stored > 0""",
+    ),
     "price_fact": with_views(
         "price", f"SELECT {dateid('date')}, stock_ticker, {iso('date')}, High, Low, Open, Close, Volume, adj_close FROM price"
     ),

@@ -315,6 +315,24 @@ _ALL = [
 TABLES: dict[str, Table] = {table.name: table for table in _ALL}
 
 
+#: What loads know of their inputs, beside the tables: marks by entity, and the versions of files that were read.
+ENTITY_MARKS = _table(
+    "entity_marks",
+    _fields("table_name string!", "entity string!", "latest date!"),
+    key=("table_name", "entity"),
+    layout=("table_name",),
+)
+FILE_LEDGER = _table(
+    "file_ledger",
+    _fields(
+        "table_name string!", "file string!", "length long!", "modified timestamp!", "until date!", "last_date date",
+        "n_rows long!", "digest long!",
+    ),
+    key=("table_name", "file"),
+    layout=("table_name",),
+)
+
+
 def conform(df: DataFrame, table: Table | str) -> DataFrame:
     """DQ1: the declared columns in the declared order and types.
 

@@ -26,6 +26,11 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
+    def files(self, path: str) -> list[str]:
+        """Names of the files in a folder."""
+        fs, target = self._at(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+
     def mark(self, path: str) -> None:
         """An empty file; to create one is atomic."""
         fs, target = self._at(path)
