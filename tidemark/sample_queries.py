@@ -861,8 +861,9 @@ def _prices(spark, sf) -> DataFrame:
     return stored(views.price_daily(spark, sf).withColumn("stock_ticker", ticker), "prices")
 
 
-def _price_lines(prices: DataFrame, high=F.col("High").cast("string")) -> DataFrame:
+def _price_lines(prices: DataFrame, high=None) -> DataFrame:
     """(stock_ticker, line) of price files; their headers are lines as well."""
+    high = F.col("High").cast("string") if high is None else high
     values = [F.col(c).cast("string") for c in ("Low", "Open", "Close", "Volume", "adj_close")]
     lines = prices.select("stock_ticker", F.concat_ws(",", dates.iso_text(F.col("date")), high, *values).alias("line"))
     header = F.lit(",".join(PRICE_COLUMNS)).alias("line")
