@@ -124,3 +124,13 @@ def test_scripts_without_blanks(spark, documents):
     docs = documents([(1, f"今天我们说{item}。"), (2, item.replace("训", "测")), (3, "今天天气很好我们去公园散步"), (4, "xx " + thai), (5, "日本")])
     found = spacedseed.overlaps(docs, _items(spark, [(1, item), (2, thai), (3, "天气很好"), (4, "本日")])).collect()
     assert {(x["doc_id"], x["item_id"]) for x in found} == {(1, 1), (2, 1), (4, 2), (3, 3)}
+
+
+def test_a_text_of_one_word_is_hashed_once_whatever_its_hits(spark, documents):
+    items = _items(spark, [(1, "ha"), (2, "ha " * 12), (3, "ha ho")])
+    n = 40_000
+    docs = documents([(1, "ha " * n + "end"), (2, "ho " * n), (3, "nothing of it"), (4, None)])
+    found = {(x["doc_id"], x["item_id"]): x for x in spacedseed.overlaps(docs, items).collect()}
+    assert set(found) == {(1, 1), (1, 2)}
+    assert found[1, 1]["score"] == 1 and found[1, 2]["score"] == 12
+    assert found[1, 2]["first_word"] == 0 and found[1, 2]["n_words"] == 12

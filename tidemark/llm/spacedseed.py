@@ -141,7 +141,10 @@ def overlaps(
     hits = hits.select("_doc", "_text", "_key", (F.col("place") - F.col("_at")).alias("_off")).distinct()
     hits = stored(hits, "hits").withColumnsRenamed({"_doc": "_id", "_text": "_hash"})
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
-    hits = docs.join(hits, same).select("_doc", "_text", "_key", "_off", words).join(known, "_key")
+    # texts are hashed once, whatever their hits: exploding a list of one keeps the hashing below the join
+    hit = docs.join(hits.select("_id", "_hash").distinct(), same, "left_semi")
+    hit = hit.select("_doc", "_text", F.explode(F.array(words)).alias("_own"))
+    hits = hit.join(hits.join(known, "_key"), same)  # items come to the hits first, so no text is shuffled per hit
     # where both reach: from the start of the item or of the text on
     low, skip = F.greatest(F.lit(0), F.col("_off")), F.greatest(F.lit(0), -F.col("_off"))
     both = F.least(F.size("_own") - low, F.size("_theirs") - skip)
