@@ -9,7 +9,7 @@ import pytest
 from test_metricjoin import _edited, _expected, _families
 
 from tidemark.llm import tensorhash
-from tidemark.llm.jaccard import Measure
+from tidemark.llm.jaccard import Measure, own_counts
 from tidemark.llm.tensorhash import Tensor, partial_keys
 
 
@@ -65,3 +65,8 @@ def test_keys_do_not_depend_on_the_order_or_the_blocks(monkeypatch):
     monkeypatch.setattr(tensorhash, "_BLOCK", 7)
     assert (partial_keys(shingles[::-1], tensor, tensor.functions()) == keys).all()
     assert len(set(keys.tolist())) == 2 * tensor.size
+
+
+def test_shingles_of_ones_own_are_counted(spark):
+    sets = spark.createDataFrame([(1, [1, 2, 3]), (2, [2, 3]), (3, [3, 7, 8, 9])], "doc long, shingles array<long>")
+    assert {tuple(r) for r in own_counts(sets).collect()} == {(1, 1), (3, 3)}

@@ -90,6 +90,13 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return stored(sets.dropDuplicates(["doc"]), "shingle-sets") if total["n"] > total["d"] else sets
 
 
+def own_counts(sets: DataFrame) -> DataFrame:
+    """(doc, own): how many shingles of a set are in no other of the sets; sets without such shingles have no row."""
+    each = sets.select("doc", F.explode("shingles").alias("_shingle"))
+    met = each.groupBy("_shingle").agg(F.count(F.lit(1)).alias("_c"), F.min("doc").alias("doc"))
+    return met.where("_c = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("own"))
+
+
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, inter, union) of pairs of classes."""
     left = sets.select(F.col("doc").alias("a"), F.col("n").alias("_na"), F.col("shingles").alias("_sa"))

@@ -13,6 +13,8 @@ Pairs of partial keys are only formed where both occur in another document, whic
 is necessary for a table key to occur there. Tables' buckets are candidates only:
 links are confirmed on whole sets, each bucket starting from one member, without
 forming all pairs of a bucket (``metricjoin.linked``). There is no cap on buckets.
+The shingles that no other candidate has are counted, as they tell how far
+documents are apart at least: pairs that cannot link by that are not compared.
 
 Defined cases, as for the Jaccard join: documents without words link with nothing and
 are their own component; fewer words than a shingle has make one shingle; rows
@@ -33,7 +35,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.jaccard import Measure, class_of, distinct_regions, each_set, named, set_hashes, sets_of, texts
+from tidemark.llm.jaccard import (
+    Measure,
+    class_of,
+    distinct_regions,
+    each_set,
+    named,
+    own_counts,
+    set_hashes,
+    sets_of,
+    texts,
+)
 from tidemark.llm.metricjoin import linked, one_of_each
 from tidemark.llm.shingles import mixed
 from tidemark.scratch import stored
@@ -111,7 +123,8 @@ def near_duplicates(
     members = buckets(classes, tensor)
     wanted = classes.drop("keys").join(members.select(F.col("doc").alias("class")).distinct(), "class")
     sets = sets_of(docs, stored(wanted, "candidates"), measure.words)
-    members = members.withColumn("own", F.lit(0).cast("long"))
+    members = members.join(own_counts(sets), "doc", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+    members = stored(members.select("region", "doc", "n", "own"), "members")
     return named(rows.drop("keys"), linked(members, sets, measure))
 
 
