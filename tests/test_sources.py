@@ -5,6 +5,7 @@ import json
 
 import landed
 import pytest
+from pyspark.sql import types as T
 from tidemark.plans.cases import US_IDS
 from tidemark.sources import files, jdbc, markup, nested, prices, seeds
 from tidemark.sinks.texts import write_json, write_text_list
@@ -27,6 +28,32 @@ def test_series_csv_bounds_and_missing_values(spark, tmp_path):
     ]
 
 
+def test_wide_files_of_a_folder_are_read_by_their_own_headers(spark, tmp_path):
+    ids = T.StructType([T.StructField("Place", T.StringType()), T.StructField("Lat", T.DoubleType())])
+    (tmp_path / "a b.csv").write_text("Place,Lat,1/22/20,1/23/20\nX,1.5,1,2\nY,,3,4\n")
+    (tmp_path / "c.csv").write_text("Lat,Place,1/24/20,1/23/20\n1.5,X,5,2\n,Z,7,6\n")
+    df = files.read_wide_csv(spark, str(tmp_path), ids)
+    assert dict(df.dtypes)["1/24/20"] == "int"
+    got = df.select("Place", "Lat", "1/22/20", "1/23/20", "1/24/20").collect()
+    assert {tuple(r) for r in got} == {("X", 1.5, 1, 2, 5), ("Y", None, 3, 4, None), ("Z", None, None, 6, 7)}
+
+
+def test_other_orders_of_columns_keep_rows_that_repeat(spark, tmp_path):
+    schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("people", T.LongType())])
+    (tmp_path / "a.csv").write_text("code;people;note\nAT;9;n\nAT;9;n\n")
+    (tmp_path / "b.csv").write_text("people;note;code\n8;n;CH\n")
+    got = files.read_delimited(spark, str(tmp_path), schema).collect()
+    assert sorted(tuple(r) for r in got) == [("AT", 9), ("AT", 9), ("CH", 8)]
+
+
+def test_series_of_several_files_meet_by_date(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,djia\n2020-01-22,1\n2020-01-23,.\n")
+    (tmp_path / "b.csv").write_text("nasdaq100,date\n7,2020-01-23\n")
+    assert files.csv_header(spark, str(tmp_path)) == ["date", "djia", "nasdaq100"]
+    got = files.read_series_csv(spark, str(tmp_path), ["djia", "nasdaq100"]).collect()
+    assert {tuple(r) for r in got} == {(dt.date(2020, 1, 22), 1.0, None), (dt.date(2020, 1, 23), None, 7.0)}
+
+
 def test_price_lines(spark, tmp_path):
     lines = prices.read_price_files(spark, landed.price_files(tmp_path))
     assert prices.good_prices(lines).count() == 61
