@@ -3,7 +3,8 @@
 A record is a JSON object of some layout: messages, prompt and completion,
 instruction and input. ``fingerprint`` hashes its nested field paths, the hash
 selects a declarative ``Mapping``, and the mapping's expression gives canonical
-turns. ``render`` writes turns into one text per conversation with a loss mask,
+turns. ``records_of_rows`` is the other direction: it writes rows of turns as
+records, each conversation in the layout its hash deals it. ``render`` writes turns into one text per conversation with a loss mask,
 ``read_back`` is its inverse. All of it is built-in functions.
 
 Template: ``<|role|>``, a line feed, the text, ``<|end|>``, a line feed. Inside
@@ -19,7 +20,7 @@ turns and layout (it is kept, not dropped). Extra columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,8 @@ OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 TEXT_ESCAPES = (("%", "%25"), ("<", "%3C"), ("[", "%5B"))
 ROLE_ESCAPES = (*TEXT_ESCAPES, ("|", "%7C"), ("\n", "%0A"))
 TURNS = "array<struct<role:string,text:string>>"
+LARGE = 1 << 24  # bytes of a record from which on parsing to a variant may fail: 20 million characters a text, 128 MiB
+WHOLE = {"maxStringLen": str(2**31 - 1)}
 
 
 @dataclass(frozen=True)
@@ -47,22 +50,57 @@ class Mapping:
     roles: tuple[tuple[str, str], ...] = ()
 
     def turns(self, record: Column) -> Column:
+        """Canonical turns of a variant."""
+        return self._canonical(lambda path, kind: F.variant_get(record, path, kind))
+
+    def _canonical(self, field: Callable[[str, str], Column]) -> Column:
         if self.messages:
             path, role, text = self.messages
-            listed = F.variant_get(record, path, f"array<struct<`{role}`:string,`{text}`:string>>")
             return F.transform(
-                listed,
+                field(path, f"array<struct<`{role}`:string,`{text}`:string>>"),
                 lambda m: F.struct(
                     self._renamed(F.coalesce(m[role], F.lit(""))).alias("role"),
                     F.coalesce(m[text], F.lit("")).alias("text"),
                 ),
             )
         turns = [
-            F.struct(F.lit(role).alias("role"), F.variant_get(record, path, "string").alias("text"))
-            for path, role in self.fields
+            F.struct(F.lit(role).alias("role"), field(path, "string").alias("text")) for path, role in self.fields
         ]
         return F.filter(F.array(*turns), lambda t: t["text"].isNotNull())
 
+    def written(self, role: Column, text: Column) -> Column:
+        """One turn as a JSON record of this layout; null if the layout cannot say this role."""
+        if self.messages:
+            path, as_role, as_text = self.messages
+            taken = F.lit(False)  # a role that reading would rename
+            given = role
+            for old, new in self.roles:
+                taken = taken | (role == old)
+                given = F.when(role == new, F.lit(old)).otherwise(given)
+            turn = F.struct(given.alias(as_role), text.alias(as_text))
+            return F.when(~taken, F.to_json(F.struct(F.array(turn).alias(_key(path)))))
+        places, members = {}, []
+        for path, as_role in self.fields:
+            first = places.setdefault(as_role, path) == path
+            members.append(F.when(F.lit(first) & (role == as_role), text).alias(_key(path)))
+        record = F.to_json(F.struct(*members), {"ignoreNullFields": "false"})
+        return F.when(role.isin(*places), record)
+
+    def keys(self) -> list[list[str]]:
+        """The sorted outer field names that records of this layout may have."""
+        if self.messages:
+            return [[_key(self.messages[0])]]
+        return [sorted(p.removeprefix("OBJECT<").removesuffix(">").split(", ")) for p in self.paths]
+
+    def turns_of_text(self, record: Column) -> Column:
+        """As ``turns``, from JSON text, for records that are too large for a variant."""
+        if self.messages:
+            path, role, text = self.messages
+            schema = f"`{_key(path)}` array<struct<`{role}`:string,`{text}`:string>>"
+        else:
+            schema = ", ".join(f"`{_key(path)}` string" for path, _ in self.fields)
+        return self._canonical(lambda path, _: F.from_json(record, schema, WHOLE)[_key(path)])
+
     def _renamed(self, role: Column) -> Column:
         out = role
         for old, new in self.roles:
@@ -70,6 +108,10 @@ class Mapping:
         return out
 
 
+def _key(path: str) -> str:
+    return path.removeprefix("$.")
+
+
 def _listed(outer: str, role: str, text: str) -> tuple[str, ...]:
     both = ", ".join(sorted((role, text)))
     return (f"OBJECT<{outer}: ARRAY<OBJECT<{both}>>>", f"OBJECT<{outer}: ARRAY<>>")
@@ -110,7 +152,10 @@ def fingerprint(paths: Column) -> Column:
 
 
 def canonical_turns(records: DataFrame, record: str = "record", mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
-    """Adds ``layout`` and ``turns`` (canonical) for a column of JSON texts."""
+    """Adds ``layout`` and ``turns`` (canonical) for a column of JSON texts.
+
+    A record that is too large for a variant has no nested field paths; its outer field names choose the mapping.
+    """
     spark = records.sparkSession
     shapes = [(path, m.name) for m in mappings for path in m.paths]
     hashed = spark.createDataFrame(shapes, "path string, name string").select(fingerprint(F.col("path")), "name")
@@ -120,47 +165,52 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: Sequen
     parsed = records.withColumn("_variant", F.try_parse_json(F.col(record)))
     parsed = parsed.withColumn("_print", fingerprint(field_paths(F.col("_variant"))))
     known = F.col("_variant").isNotNull()
-    layout = turns = None
-    for m in mappings:
+    large = ~known & (F.octet_length(record) >= LARGE)
+    outer = F.sort_array(F.json_object_keys(F.col(record)))
+    layout = turns = F.lit(None)
+    for m in reversed(mappings):
         chosen = known & F.col("_print").isin(layouts[m.name])
-        layout = F.when(chosen, F.lit(m.name)) if layout is None else layout.when(chosen, F.lit(m.name))
-        given = m.turns(F.col("_variant")).cast(TURNS)
-        turns = F.when(chosen, given) if turns is None else turns.when(chosen, given)
+        whole = large & F.coalesce(outer.isin([F.array(*map(F.lit, keys)) for keys in m.keys()]), F.lit(False))
+        layout = F.when(chosen | whole, F.lit(m.name)).otherwise(layout)
+        turns = (
+            F.when(chosen, m.turns(F.col("_variant")).cast(TURNS))
+            .when(whole, m.turns_of_text(F.col(record)).cast(TURNS))
+            .otherwise(turns)
+        )
     return parsed.withColumns({"layout": layout, "turns": turns}).drop("_variant", "_print")
 
 
-def records_of_rows(rows: DataFrame, key: str, order: str, role: str, text: str) -> DataFrame:
-    """One JSON record of the ``messages`` layout per conversation from a row per turn: (key, record).
+def records_of_rows(
+    rows: DataFrame, key: str, order: str, role: str, text: str, mappings: Sequence[Mapping] = MAPPINGS
+) -> DataFrame:
+    """One JSON record per turn, (key, order, record), in the layout that the hash of the conversation deals it.
 
-    ``canonical_turns`` cannot parse records beyond the size of a variant; ``turns_of_rows`` has no such limit.
+    A role that the dealt layout has no place for is written in the first layout
+    of ``mappings``, which must take every role.
     """
-    turn = F.struct(
-        F.col(order).alias("at"),
-        F.coalesce(F.col(role), F.lit("")).alias("role"),
-        F.coalesce(F.col(text), F.lit("")).alias("content"),
-    )
-    grouped = rows.groupBy(F.col(key)).agg(F.sort_array(F.collect_list(turn)).alias("_turns"))
-    listed = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return grouped.select(key, F.to_json(F.struct(listed.alias("messages"))).alias("record"))
+    said = [F.coalesce(F.col(c), F.lit("")) for c in (role, text)]
+    dealt = F.pmod(F.xxhash64(F.col(key)), F.lit(len(mappings)))
+    record = F.lit(None).cast("string")
+    for k, m in enumerate(mappings):
+        record = F.when(dealt == k, m.written(*said)).otherwise(record)
+    return rows.select(F.col(key), F.col(order), F.coalesce(record, mappings[0].written(*said)).alias("record"))
 
 
-def turns_of_rows(rows: DataFrame, key: str, order: str, role: str, text: str) -> DataFrame:
-    """(key, turns) per conversation from a row per turn: (key, order, role, text).
+def turns_of_records(
+    records: DataFrame, key: str, order: str, record: str = "record", mappings: Sequence[Mapping] = MAPPINGS
+) -> DataFrame:
+    """(key, turns, n_unknown) per conversation from records with any number of turns, in the order given.
 
-    Each row is a record of its own, so that only a single turn can pass the size
-    that a variant may have (128 MiB, beyond which parsing gives null). Such a
-    turn is read without parsing, as its layout is the one written here.
+    Records of an unknown fingerprint give no turns; ``n_unknown`` tells how many a conversation has.
     """
-    said = F.struct(F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("content"))
-    written = rows.select(F.col(key), F.col(order).alias("_at"), said.alias("_said"))
-    written = written.withColumn("_record", F.to_json(F.struct(F.array("_said").alias("messages"))))
-    mapped = canonical_turns(written, "_record")
-    as_is = F.struct(F.col("_said.role").alias("role"), F.col("_said.content").alias("text"))
-    one = F.coalesce(F.get("turns", F.lit(0)), as_is)
-    each = F.struct(F.col("_at").alias("at"), one["role"].alias("role"), one["text"].alias("text"))
-    grouped = mapped.groupBy(F.col(key)).agg(F.sort_array(F.collect_list(each)).alias("_turns"))
-    plain = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return grouped.select(key, plain.alias("turns"))
+    mapped = canonical_turns(records.select(key, order, record), record, mappings)
+    given = F.coalesce(F.col("turns"), F.array().cast(TURNS))
+    each = F.struct(F.col(order).alias("at"), given.alias("turns"))
+    grouped = mapped.groupBy(F.col(key)).agg(
+        F.sort_array(F.collect_list(each)).alias("_all"),
+        F.sum(F.col("layout").isNull().cast("long")).alias("n_unknown"),
+    )
+    return grouped.select(key, F.flatten(F.transform("_all", lambda r: r["turns"])).alias("turns"), "n_unknown")
 
 
 def _escaped(text: Column, escapes: Sequence[tuple[str, str]]) -> Column:

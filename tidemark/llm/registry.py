@@ -41,12 +41,13 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -7, formatted and read back."""
+    """All conversations and conversation -7, dealt over all layouts, formatted and read back."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(
         [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], rows.schema
     )
-    turns = chat.turns_of_rows(rows.union(probe), "conv_id", "turn", "role", "text")
+    records = chat.records_of_rows(rows.union(probe), "conv_id", "turn", "role", "text")
+    turns = chat.turns_of_records(records, "conv_id", "turn")
     read = chat.read_back(chat.render(turns))
     turns = F.array_join(
         F.transform("read_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
@@ -59,6 +60,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "n_unknown",
     )
 
 
@@ -243,7 +245,8 @@ LLM_SQL: dict[str, str] = {
             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
             CAST(sum(CASE WHEN learnt THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
             sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (learnt), '')) AS loss_sha256,
-            CAST(sum(role_chars + text_chars + 13) AS BIGINT) AS formatted_chars
+            CAST(sum(role_chars + text_chars + 13) AS BIGINT) AS formatted_chars,
+            CAST(0 AS BIGINT) AS n_unknown
         FROM measured GROUP BY conv_id
     """,
     "op8_line_runs": r"""
