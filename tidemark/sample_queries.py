@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark.functions import dates, values
 from tidemark.operators import aggregate, incremental, joins, quality, reshape, select, windows
 from tidemark.plans import cases, consolidate, dashboard, labour, markets, steps
+from tidemark.plans.run import Landed, load_all
 from tidemark.schemas import TABLES
 from tidemark.scratch import scratch_folder, stored
 from tidemark.sinks.texts import write_text_list
@@ -736,6 +737,68 @@ def county_files_loaded(spark, sf):
     return present(wh.read("covid19_us_fact"))
 
 
+def _global_files(spark, sf) -> tuple[str, str]:
+    """Month-end counts as the wide files of countries: confirmed, deaths.
+
+    A country has a row of its own and one per province, which the loads leave out; one has no position.
+    """
+    nations = views.table(spark, sf, "nation").join(
+        views.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    provinces = nations.select(F.col("n_name").alias("state"), F.col("r_name").alias("Country/Region"))
+    files = []
+    for measure in cases.COUNTS:
+        whole = _wide(spark, sf, _country_cumulative(spark, sf), "country", measure).na.fill(0)
+        parts = _wide(spark, sf, _state_cumulative(spark, sf), "state", measure).na.fill(0)
+        whole = whole.withColumnRenamed("country", "Country/Region").withColumn("Province/State", F.lit(None).cast("string"))
+        parts = parts.join(provinces, "state").withColumnRenamed("state", "Province/State")
+        nowhere = whole.limit(1).withColumn("Country/Region", F.lit("nowhere, at sea")).withColumn("Lat", F.lit(None).cast("double"))
+        rows = whole.unionByName(parts).withColumn("Lat", F.lit(41.15)).unionByName(nowhere)
+        files.append(_csv(rows.withColumn("Long", F.lit(-20.5))))
+    return files[0], files[1]
+
+
+GLOBAL_TABLES = ("covid19_global_raw", "covid19_global_dim", "covid19_global_fact", "covid19_global_monthly_fact")
+
+
+@query
+def global_files_loaded(spark, sf):
+    """Wide files of countries loaded in two steps by their marks, then months."""
+    confirmed, deaths = _global_files(spark, sf)
+    wh = _warehouse(spark, GLOBAL_TABLES)
+    for end in SLICE:
+        cases.extract_global(wh, confirmed, deaths, end)
+        cases.transform_raw_to_fact_global(wh)
+        cases.aggregate_fact_to_monthly_fact_global(wh)
+    return present(wh.read("covid19_global_monthly_fact"))
+
+
+class _LostBefore(Warehouse):
+    """A warehouse whose driver is lost when the index levels are to be stored."""
+
+    def load(self, name: str, new: DataFrame) -> dict[str, object]:
+        if name == "stock_index_fact":
+            raise InterruptedError(name)
+        return super().load(name, new)
+
+
+@query
+def whole_run_resumed(spark, sf):
+    """Every job in order from landed files of counties, countries and indexes; lost midway, run again, then a later day."""
+    us, world = _county_files(spark, sf), _global_files(spark, sf)
+    levels = views.index_daily(spark, sf).withColumn("date", F.add_months("date", SHIFT_MONTHS))
+    series = {score: name for name, score in markets.INDEX_COLUMNS.items()}
+    landed = Landed(*us, *world, indexes=_csv(levels.withColumnsRenamed(series)))
+    wh = _warehouse(spark, tuple(TABLES))
+    try:
+        load_all(_LostBefore(spark, wh.root), landed, SLICE[0])
+    except InterruptedError:
+        pass  # the jobs before have stored their tables and marks
+    for end in SLICE:
+        load_all(wh, landed, end)
+    return present(wh.read("covid_stock_fact"))
+
+
 @query
 def country_file_loaded(spark, sf):
     """A file with ``;`` to the country dimension."""

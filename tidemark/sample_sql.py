@@ -153,6 +153,23 @@ _UNPIVOT = with_views(
 _FFILL = with_views("idx", f"SELECT {iso('date')}, {fills(SCORES)} FROM idx")
 _TOTALS = with_views("both_day", TOTALS_DAILY)
 
+def _month_grid(place: str) -> str:
+    """Month-end counts of every place in every month, 20 years later: what the landed wide files hold."""
+    return f""", {place}_m AS (SELECT {place}, CAST(date_trunc('month', date) + INTERVAL 20 YEAR AS DATE) AS date,
+                    MAX(confirmed) AS confirmed, MAX(deaths) AS deaths FROM {place}_cum GROUP BY 1, 2),
+        {place}_months AS (SELECT CAST(unnest(generate_series(MIN(date), MAX(date), INTERVAL 1 MONTH)) AS DATE) AS date
+                           FROM {place}_m),
+        {place}_grid AS (SELECT g.{place}, g.date, COALESCE(m.confirmed, 0) AS confirmed, COALESCE(m.deaths, 0) AS deaths
+                 FROM (SELECT DISTINCT {place}, {place}_months.date FROM {place}_m CROSS JOIN {place}_months) g
+                 LEFT JOIN {place}_m m ON m.{place} = g.{place} AND m.date = g.date
+                 WHERE g.date <= DATE '2020-10-31')"""
+
+
+def _grid_totals(place: str, prefix: str) -> str:
+    sums = ", ".join(f"CAST(SUM({c}) AS BIGINT) AS {prefix}_{c}" for c in COUNTS)
+    return f"{prefix}_month AS (SELECT date, {sums} FROM {place}_grid GROUP BY date)"
+
+
 SQL: dict[str, str] = {
     "q2_topk_state": with_views(
         "state_cum",
@@ -469,6 +486,22 @@ SQL: dict[str, str] = {
         SELECT {dateid('date')}, state AS "Province_State", {iso('date')}, confirmed, deaths, {diffs(COUNTS, 'state')}
         FROM grid WHERE grid.date <= DATE '2020-10-31'""",
     ),
+    "global_files_loaded": with_views(
+        "country_cum",
+        _month_grid("country")
+        + f""" SELECT country AS "Country_Region", {iso('date')}, {month_keys()}, confirmed, deaths, {diffs(COUNTS, 'country')}
+        FROM country_grid""",
+    ),
+    "whole_run_resumed": with_views(
+        "state_cum country_cum idx",
+        _month_grid("state")
+        + _month_grid("country")
+        + f""", {_grid_totals('state', 'us')}, {_grid_totals('country', 'global')},
+        days AS (SELECT *, {diffs(TOTALS)} FROM us_month JOIN global_month USING (date)),
+        levels AS (SELECT CAST(date + INTERVAL 20 YEAR AS DATE) AS date, {fills(SCORES, initial='0')} FROM idx),
+        joined AS (SELECT days.*, {', '.join(SCORES)} FROM days LEFT JOIN levels ON days.date = levels.date)
+        SELECT {dateid('date')}, * REPLACE (strftime(date, '%Y-%m-%d') AS date, {fills(SCORES)}) FROM joined""",
+    ),
     "country_file_loaded": """
         SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS code, n_name AS "Name", r_name AS "Continent",
                n_nationkey * CAST(1.5 AS DOUBLE) AS "SurfaceArea", n_nationkey + 1900 AS "IndepYear",
