@@ -794,6 +794,8 @@ def whole_run_resumed(spark, sf):
         load_all(_LostBefore(spark, wh.root), landed, SLICE[0])
     except InterruptedError:
         pass  # the jobs before have stored their tables and marks
+    else:
+        raise AssertionError("the first run was not lost")
     for end in SLICE:
         load_all(wh, landed, end)
     return present(wh.read("covid_stock_fact"))
