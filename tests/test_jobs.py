@@ -270,6 +270,34 @@ def test_null_in_a_required_column_stops_the_load(spark, tmp_path):
     assert wh.mark("covid19_us_raw") == dt.date(1990, 1, 1)
 
 
+def test_counts_beyond_32_bits_are_loaded(spark, tmp_path):
+    add = 3_000_000_000
+
+    def grown(path, places):
+        head, *lines = open(path).read().splitlines()
+        more = lambda line: [str(int(v) + add) for v in line.rsplit(",", 3)[1:]]
+        lines = [",".join([line.rsplit(",", 3)[0], *more(line)]) if any(p in line for p in places) else line for line in lines]
+        open(path, "w").write("\n".join([head, *lines]) + "\n")
+
+    us, world = landed.us_files(tmp_path, 3), landed.global_files(tmp_path, 3)
+    for path in us:
+        grown(path, ["Alabama"])
+    for path in world:
+        grown(path, ["Italy"])
+    wh = warehouse(spark, tmp_path / "wh", [n for n in TABLES if n.startswith(("latest", "covid19_us", "covid19_global"))])
+    cases.extract_us(wh, *us)
+    cases.transform_raw_to_fact_us(wh)
+    cases.extract_global(wh, *world)
+    cases.transform_raw_to_fact_global(wh)
+    last = F.col("date") == landed.days(3)[-1]
+    counts = {r[0]: tuple(r)[1:] for r in wh.read("covid19_us_fact").filter(last).select("Province_State", *cases.COUNTS).collect()}
+    counties = [c for c in landed.COUNTIES if c[2] == "Alabama"]
+    per_day = sum(landed.confirmed(c, 2) for c in counties), sum(landed.deaths(c, 2) for c in counties)
+    assert counts["Alabama"] == tuple(2 * add + n for n in per_day)
+    rows = wh.read("covid19_global_fact").filter(last).select("Country_Region", *cases.COUNTS).collect()
+    assert {r[0]: tuple(r)[1:] for r in rows}["Italy"] == (add + 83, add + 0)
+
+
 def test_country_dimension(loads):
     rows = {r.code: r for r in loads[0].read("country_dim").collect()}
     assert rows["ITA"].LocalName == "Italia" and rows["ITA"].IndepYear == 1861

@@ -23,6 +23,7 @@ from tidemark.sources.files import read_delimited, read_wide_csv
 
 COUNTS = ("confirmed", "deaths")
 TOTALS = ("us_confirmed", "us_deaths", "global_confirmed", "global_deaths")
+COUNT = T.LongType()
 STATE = "Province_State"
 COUNTRY = "Country_Region"
 
@@ -178,8 +179,8 @@ def extract_us(
 ) -> Report:
     """B1: the county files to raw rows and, on the first load, the county dimension."""
     frames = (
-        read_wide_csv(wh.spark, deaths_csv, US_IDS),
-        read_wide_csv(wh.spark, confirmed_csv, US_IDS),
+        read_wide_csv(wh.spark, deaths_csv, US_IDS, COUNT),
+        read_wide_csv(wh.spark, confirmed_csv, US_IDS, COUNT),
     )
     return _extract(
         wh, "covid19_us_raw", "covid19_us_dim", frames, "UID", US_IDS.names, end, skip_first, lookback_days
@@ -196,8 +197,8 @@ def extract_global(
 ) -> Report:
     """B2: the country files to raw rows and, on the first load, the country list."""
     frames = (
-        country_rows(read_wide_csv(wh.spark, deaths_csv, GLOBAL_IDS)),
-        country_rows(read_wide_csv(wh.spark, confirmed_csv, GLOBAL_IDS)),
+        country_rows(read_wide_csv(wh.spark, deaths_csv, GLOBAL_IDS, COUNT)),
+        country_rows(read_wide_csv(wh.spark, confirmed_csv, GLOBAL_IDS, COUNT)),
     )
     ids = ["Country/Region", "Lat", "Long"]
     return _extract(

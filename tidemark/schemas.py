@@ -1,7 +1,7 @@
 """The star schema: columns, keys and layout of every table, and conforming to them.
 
-Case counts that are sums are ``long``: a sum over many sources must not
-overflow. Percentages are ``decimal(18,5)``, dates are ``date``, the
+Case counts are ``long``: those of the files are running totals, which need
+not fit 32 bits. Percentages are ``decimal(18,5)``, dates are ``date``, the
 high-water mark is a ``timestamp``.
 """
 
@@ -130,7 +130,7 @@ _ALL = [
     ),
     _table(
         "covid19_us_raw",
-        [*_US_PLACE, *_fields("date date!", "confirmed int!", "deaths int!")],
+        [*_US_PLACE, *_fields("date date!", "confirmed long!", "deaths long!")],
         lengths=_PLACE_LENGTHS,
         layout=BY_DATE,
     ),
@@ -152,7 +152,7 @@ _ALL = [
     _table(
         "covid19_global_raw",
         _fields(
-            "Country_Region string", "Lat double!", "Long_ double!", "date date!", "confirmed int!", "deaths int!"
+            "Country_Region string", "Lat double!", "Long_ double!", "date date!", "confirmed long!", "deaths long!"
         ),
         lengths={"Country_Region": 64},
         layout=BY_DATE,
