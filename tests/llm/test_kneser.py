@@ -6,7 +6,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from tidemark.llm import kneser
 
@@ -149,3 +151,23 @@ def test_a_language_that_labels_hardly_cover_keeps_its_clean_documents(spark, do
     assert len(lost & {r[0] for r in rest}) <= 5 and not lost & {r[0] for r in none} and lost >= {r[0] for r in junk}
     assert len(lost & {r[0] for r in good}) <= 6 and len(out) == 440
     assert {r["threshold"] is None for r in out if r["lang"] == "ru"} == {labelled == 0}
+
+
+def test_memory_of_a_block_holds_no_list_of_its_grams():
+    import tracemalloc
+
+    r = random.Random(5)
+    text = "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(400_000))
+    packed = zstandard.ZstdCompressor(level=1).compress(text.encode())
+    documents = pa.table({"block": pa.array([0], pa.int32()), "doc": [1], "text_hash": [7], "packed": pa.array([packed], pa.binary())})
+    grams = kneser._counted(documents, pa.table({"doc": [1]}))
+    assert grams.num_rows > 399_000
+    # as Spark hands them over, some thousand rows at a time
+    names = pa.chunked_array([grams.column("gram").combine_chunks()[k : k + 10_000] for k in range(0, grams.num_rows, 10_000)])
+    costs = pa.table({"gram": names, "cost": pa.array(np.full(grams.num_rows, 0.5, np.float32))})
+    tracemalloc.start()
+    found = kneser._added_up(documents, costs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.column("chars").to_pylist() == [400_000] and found.column("cost").to_pylist() == [200_000.0]
+    assert peak < 80e6, peak

@@ -51,7 +51,7 @@ PRIOR = 100
 RUN = 6  # characters that the peak is the cost of
 WEIGHT = 20
 HOLD_OUT = 5
-CHUNK = 1 << 20  # code points looked up at once
+CHUNK = 1 << 18  # code points looked up at once
 
 
 @lru_cache(maxsize=1)
@@ -204,7 +204,7 @@ def _counted(documents: pa.Table, trusted: pa.Table) -> pa.Table:
             table.add(fresh)
             cut = codes[new[where][:, None] + np.arange(ORDER)]
             text = cut.astype("<u4").tobytes().decode("utf-32-le", "replace")
-            grams.extend(text[ORDER * i : ORDER * i + ORDER] for i in range(len(fresh)))
+            grams.append(pa.array([text[ORDER * i : ORDER * i + ORDER] for i in range(len(fresh))], pa.string()))
             numbers = table.find(keys)
         counts = np.concatenate([counts, np.zeros(len(table) - len(counts), np.int64)])
         counts += np.bincount(numbers[real & weight[: len(keys)]], minlength=len(table))
@@ -212,7 +212,7 @@ def _counted(documents: pa.Table, trusted: pa.Table) -> pa.Table:
     return pa.table(
         {
             "block": pa.array([block] * len(table), pa.int32()),
-            "gram": pa.array(grams, pa.string()),
+            "gram": pa.chunked_array(grams, pa.string()),
             "n": pa.array(counts, pa.int64()),
         }
     )
@@ -300,11 +300,10 @@ def gram_costs(grams: DataFrame) -> DataFrame:
 
 def _added_up(documents: pa.Table, costs: pa.Table) -> pa.Table:
     """(doc, text hash, chars, cost, peak) of each row of a block."""
-    grams = costs.column("gram").to_pylist()
-    codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
-    table, price = GramTable(max(len(grams), 1)), costs.column("cost").to_numpy().astype(np.float64)
-    if len(grams):
-        table.add(_row_keys(codes))
+    table, price = GramTable(max(costs.num_rows, 1)), costs.column("cost").to_numpy().astype(np.float64)
+    keys = [_row_keys(_matrix(grams)) for grams in costs.column("gram").chunks if len(grams)]
+    if keys:
+        table.add(np.concatenate(keys))
     chars = np.zeros(documents.num_rows, np.int64)
     total, peak = np.zeros(documents.num_rows), np.zeros(documents.num_rows)
     last, tail = -1, np.zeros(0)  # the end of the piece before, for runs that cross into the next
@@ -339,6 +338,11 @@ def _peak(costs: np.ndarray) -> float:
     return float((sums[RUN:] - sums[:-RUN]).max()) if len(costs) > RUN else float(sums[-1])
 
 
+def _matrix(grams: pa.Array) -> np.ndarray:
+    """Code points of n-grams, a row each."""
+    return np.frombuffer("".join(grams.to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+
+
 def _row_keys(codes: np.ndarray) -> np.ndarray:
     """Hashes of n-grams that are rows of a matrix."""
     return _keys(np.ascontiguousarray(codes).reshape(-1))[::ORDER]
