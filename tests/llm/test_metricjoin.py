@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import random
 import re
+from functools import partial
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import metricjoin
+from tidemark.llm import jaccard, metricjoin
 from tidemark.llm.components import components
 from tidemark.llm.jaccard import Measure
 from tidemark.llm.shingles import shingle_sets
@@ -147,3 +149,16 @@ def test_columns_with_the_names_used_inside_survive(spark, documents):
     df = df.withColumnsRenamed({"lang": "doc", "source": "text_hash"})
     kept = metricjoin.keep_one(df, Measure())
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_only_texts_that_may_be_wanted_meet_the_wanted(spark):
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 1000 > 0, F.col("id")).alias("doc"), F.xxhash64("id").alias("text_hash"), F.lit("a b c d").alias("text")
+    )
+    wanted = rows.where("text_hash % 50 = 0").select("doc", "text_hash")
+    keyed = rows.withColumn("key", F.xxhash64("doc", "text_hash"))
+    bitmap = jaccard.row_filter(wanted)
+    passing = keyed.mapInArrow(partial(jaccard._passing, bitmap), rows.schema).select("doc", "text_hash").collect()
+    asked = {tuple(r) for r in wanted.collect()}
+    assert asked <= {tuple(r) for r in passing} and len(passing) < 1.5 * len(asked)
+    assert not jaccard.row_filter(wanted.where("false")).any()

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.shingles import batched, mixed, shingle_sets
 from tidemark.scratch import stored
 
+BITMAP = 32768  # bits of a part of the filter, as ``bitmap_construct_agg`` has them
+BITS_EACH = 16
+MOST_BITS = 1 << 27
+PROBES = 4
 WORD = r"[^\x20\x09-\x0D]"  # a character of a word, as ``shingle_sets`` has it
 
 
@@ -78,9 +82,48 @@ def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
+def _places(key: Column, bits: int) -> Column:
+    """The bits of a filter that stand for a key, as ``_passing`` finds them."""
+    low, high = key.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(key, 32).bitwiseOR(1)
+    return F.array(*((low + i * high) % bits for i in range(PROBES)))
+
+
+def row_filter(rows: DataFrame) -> np.ndarray:
+    """A Bloom filter of the rows (doc, text_hash), whose size follows their number up to ``MOST_BITS``."""
+    bits = BITMAP
+    while bits < min(MOST_BITS, BITS_EACH * rows.count()):
+        bits *= 2
+    places = rows.select(F.explode(_places(F.xxhash64("doc", "text_hash"), bits)).alias("_place"))
+    places = places.select(F.expr(f"_place DIV {BITMAP}").alias("_part"), (F.col("_place") % BITMAP).alias("_bit"))
+    # places are dealt by their part first: tasks would else send a bitmap of each part
+    maps = places.repartition("_part").groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in maps.collect():
+        out[row["_part"] * (BITMAP // 8) :][: BITMAP // 8] = np.frombuffer(row["_map"], np.uint8)
+    return out
+
+
+def _passing(bitmap: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose key the filter may hold, without the key."""
+    for batch in batches:
+        keys = batch.column("key").to_numpy().view(np.uint64)
+        low, high = keys & np.uint64(0xFFFFFFFF), keys >> np.uint64(32) | np.uint64(1)
+        there = np.ones(len(keys), bool)
+        for i in range(PROBES):
+            place = (low + np.uint64(i) * high) % np.uint64(8 * len(bitmap))
+            there &= (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        yield batch.filter(pa.array(there)).select(["doc", "text_hash", "text"])
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(doc, n, shingles), ``doc`` being the class, for classes of (class, h1, h2, doc, text_hash)."""
-    d, w = docs.alias("d"), wanted.select("class", "h1", "h2", "doc", "text_hash").alias("w")
+    """(doc, n, shingles), ``doc`` being the class, for classes of (class, h1, h2, doc, text_hash).
+
+    Of the texts only those that pass a Bloom filter of the wanted rows are shuffled to meet them.
+    """
+    keyed = docs.withColumn("key", F.xxhash64("doc", "text_hash"))
+    schema = "doc long, text_hash long, text string"
+    passing = keyed.mapInArrow(partial(_passing, row_filter(wanted)), schema)
+    d, w = passing.alias("d"), wanted.select("class", "h1", "h2", "doc", "text_hash").alias("w")
     same = F.col("d.doc").eqNullSafe(F.col("w.doc")) & (F.col("d.text_hash") == F.col("w.text_hash"))
     asked = d.join(w, same).select("class", "h1", "h2", "text")
     schema = "doc long, n long, shingles array<long>"
