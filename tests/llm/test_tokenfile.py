@@ -35,6 +35,31 @@ def test_outliers_are_exceptions(percentile):
         assert len(stream) < len(pfor.encode(values, 100.0)) / 3
 
 
+@pytest.mark.parametrize("width", range(1, 20))
+def test_every_width_is_packed_bit_by_bit(width):
+    r = np.random.default_rng(width)
+    rows = r.integers(0, 2**width, (3, pfor.BLOCK), np.uint64)
+    bits = (rows[..., None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
+    plain = np.packbits(bits.astype(np.uint8).reshape(3, -1), axis=-1, bitorder="little")
+    assert (pfor._pack(rows, width) == plain).all()
+    assert pfor._bits(rows).tolist() == [[int(v).bit_length() for v in row] for row in rows]
+
+
+def test_letters_without_accents_are_not_spelt_anew(monkeypatch):
+    encoder, asked = tokenfile.WordEncoder(PATH), []
+    real = encoder._letters
+
+    class Watched(dict):
+        def __getitem__(self, code):
+            asked.append(code)
+            return real[code]
+
+    encoder._letters = Watched()
+    text = "plain Words, größer and plain"
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder._tokenizer.encode(text, add_special_tokens=False).ids
+    assert set(map(ord, "größer")) <= set(asked) and ord("d") not in asked
+
+
 ALPHABET = "abcXYZ .,!?'\n\t \x01\x0b\x85 éÉßµªİıſAngströḿ̇中文ñ123_$<|endoftext|>😀"
 
 

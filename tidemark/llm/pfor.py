@@ -14,6 +14,8 @@ block is read without the ones before it.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 BLOCK = 512
@@ -22,8 +24,16 @@ _STARTS = 24
 _CHUNK = 2048  # blocks packed at once, which bounds the memory for single bits
 
 
+@lru_cache(maxsize=1)
+def _small_bits() -> np.ndarray:
+    """Bits that each number below 2 ** 16 needs."""
+    return np.array([n.bit_length() for n in range(1 << 16)], np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
+    if values.size and values.max() < 1 << 16:
+        return _small_bits()[values.astype(np.uint16)]
     out = np.zeros(values.shape, np.uint8)
     rest = values.copy()
     for step in (32, 16, 8, 4, 2, 1):
@@ -40,6 +50,12 @@ def _pack(rows: np.ndarray, width: int) -> np.ndarray:
     low = rows if width == 64 else rows & ((np.uint64(1) << np.uint64(width)) - np.uint64(1))
     if width == 16:
         return low.astype("<u2").view(np.uint8).reshape(len(rows), -1)
+    if width < 16:  # eight values are ``width`` bytes: two words of four values each, shifted together
+        shifts = np.arange(4, dtype=np.uint64) * np.uint64(width)
+        four = np.bitwise_or.reduce(low.reshape(len(rows), -1, 4) << shifts, axis=-1)
+        a, b = four[:, ::2], four[:, 1::2]
+        both = np.stack([a | (b << np.uint64(4 * width)), b >> np.uint64(64 - 4 * width)], axis=-1)
+        return both.astype("<u8").view(np.uint8).reshape(len(rows), -1, 16)[..., :width].reshape(len(rows), -1)
     octets = low.astype("<u8")[..., None].view(np.uint8)[..., : (width + 7) // 8]
     bits = np.unpackbits(octets, axis=-1, bitorder="little")[..., :width]
     return np.packbits(bits.reshape(len(rows), -1), axis=-1, bitorder="little")

@@ -82,7 +82,7 @@ class WordEncoder:
         simple, other, cores = [], [], set()
         for w in words:
             core = w[:-1] if w[-1] in self._marks else w
-            if core.isalpha() and max(core) <= "\xff":
+            if core.isalpha() and (core.isascii() or max(core) <= "\xff"):
                 simple.append((w, core := core.lower()))
                 if core not in known:
                     if core in before:
@@ -95,7 +95,8 @@ class WordEncoder:
                 other.append(w)
         tokenize, letters = self._tokenizer.model.tokenize, self._letters
         for core in cores:
-            known[core] = array("I", [t.id for t in tokenize(core.translate(letters))]).tobytes()
+            spelt = core if core.isascii() else core.translate(letters)
+            known[core] = array("I", [t.id for t in tokenize(spelt)]).tobytes()
         for w, core in simple:
             if w != core:
                 known[w] = known[core] + (self._marks[w[-1]] if len(w) > len(core) else b"")
@@ -111,12 +112,15 @@ class WordEncoder:
         if len(self._known) > CACHED_WORDS:  # words in use come over from the generation before
             self._before, self._known = self._known, {"": b""}
         known, before = self._known, self._before
-        if new := [w for w in set(words) if w not in known]:
+        found = list(map(known.get, words))
+        if None in found:
+            new = {w for w, ids in zip(words, found) if ids is None}
             for w in new:
                 if w in before:
                     known[w] = before[w]
             self._learn([w for w in new if w not in known])
-        return b"".join([known[w] for w in words])
+            found = list(map(known.get, words))
+        return b"".join(found)
 
 
 @lru_cache(maxsize=2)
