@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shingles import batched, mixed, shingle_sets
-from tidemark.scratch import stored
+from tidemark.scratch import Shelf, stored
 
 BITMAP = 32768  # bits of a part of the filter, as ``bitmap_construct_agg`` has them
 BITS_EACH = 16
@@ -122,12 +122,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """
     keyed = docs.withColumn("key", F.xxhash64("doc", "text_hash"))
     schema = "doc long, text_hash long, text string"
-    passing = keyed.mapInArrow(partial(_passing, row_filter(wanted)), schema)
+    shelf = Shelf(docs.sparkSession)
+    # put down, as a task that filters and makes sets as well would hold two Python processes
+    passing = shelf.put(keyed.mapInArrow(partial(_passing, row_filter(wanted)), schema), "passing")
     d, w = passing.alias("d"), wanted.select("class", "h1", "h2", "doc", "text_hash").alias("w")
     same = F.col("d.doc").eqNullSafe(F.col("w.doc")) & (F.col("d.text_hash") == F.col("w.text_hash"))
     asked = d.join(w, same).select("class", "h1", "h2", "text")
     schema = "doc long, n long, shingles array<long>"
     sets = stored(asked.mapInArrow(partial(_sets, words), schema), "shingle-sets")
+    shelf.drop("passing")
     total = sets.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc").alias("d")).first()
     # rows that repeat give their set more than once
     return stored(sets.dropDuplicates(["doc"]), "shingle-sets") if total["n"] > total["d"] else sets
